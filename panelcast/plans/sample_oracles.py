@@ -209,8 +209,8 @@ FROM p QUALIFY row_number() OVER (PARTITION BY city ORDER BY date DESC) = 1""",
     + """, m AS (SELECT * FROM hf WHERE target_24h IS NOT NULL AND target_48h IS NOT NULL
             AND target_72h IS NOT NULL),
 ranked AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS i, count(*) OVER () AS n FROM m),
-cut AS (SELECT min(time) AS at FROM ranked WHERE i = CAST(floor(n * 0.8) AS BIGINT))
-SELECT city, CASE WHEN time < at THEN 'train' ELSE 'test' END AS part, count(*) AS n,
+cut AS (SELECT min(time) AS cutoff FROM ranked WHERE i = CAST(floor(n * 0.8) AS BIGINT))
+SELECT city, CASE WHEN time < cutoff THEN 'train' ELSE 'test' END AS part, count(*) AS n,
        min(time) AS first, max(time) AS last FROM m, cut GROUP BY 1, 2""",
     "expanding_folds": _with(_P)
     + """, days AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n
@@ -319,3 +319,67 @@ UNION ALL SELECT city, as_of_date + horizon, round(prediction, 6), 'Forecast' FR
        printf('%.1f', temperature) AS temperature, printf('%.0f', humidity) AS humidity,
        printf('%.1f', wind_speed) AS wind_speed, printf('%.0f', pressure) AS pressure FROM p""",
 }
+
+
+# --- least squares, solved in SQL ------------------------------------------------
+
+_REDUNDANT = ("change_rate", "pm25_trend")
+_KEYS = tuple(_LEVELS)
+
+
+def _least_squares(h: int) -> str:
+    """Gauss-Jordan elimination of the centred normal equations, a pivot a step."""
+    derived = {n: _DERIVED[n] for n in _BY_HORIZON[h] if n not in _REDUNDANT}
+    names = (*_MEASURES, "day_of_week", "month", *_FEATURES, *derived)
+    plain = ", ".join((*_MEASURES, "day_of_week", "month", *_FEATURES))
+    extra = "".join(f", {sql} AS {name}" for name, sql in derived.items())
+    keys = ", ".join(
+        f"CASE WHEN city = '{k}' THEN 1.0 WHEN city = '{_KEYS[-1]}' THEN -1.0 ELSE 0.0 END"
+        for k in _KEYS[:-1]
+    )
+    vector = ", ".join(f"CAST({n} - m{h}.mean_{n} AS DOUBLE)" for n in names)
+    size = len(names) + len(_KEYS)
+    return f"""x{h} AS (SELECT city, date, {plain}{extra}, target_{h}d AS y FROM t),
+m{h} AS (SELECT avg(y) AS mean_y, {", ".join(f"avg({n}) AS mean_{n}" for n in names)}
+      FROM x{h} WHERE date <= DATE '2000-06-30'),
+v{h} AS (SELECT [{vector}, {keys}, 1.0, y - mean_y]::DOUBLE[] AS v FROM x{h}, m{h}
+      WHERE date <= DATE '2000-06-30'),
+c{h} AS (SELECT i, j, sum(v[i] * v[j]) AS s FROM v{h}, range(1, {size + 1}) a(i), range(1, {size + 2}) b(j)
+      GROUP BY 1, 2),
+r{h} AS (SELECT i, list(s ORDER BY j) AS row FROM c{h} GROUP BY 1),
+g{h}(k, g) AS (SELECT 0, list(row ORDER BY i) FROM r{h}
+  UNION ALL SELECT k + 1, list_transform(g, lambda r, i: CASE WHEN i = k + 1
+      THEN list_transform(r, lambda e: e / g[k + 1][k + 1])
+      ELSE list_transform(r, lambda e, j: e - r[k + 1] * g[k + 1][j] / g[k + 1][k + 1]) END)
+  FROM g{h} WHERE k < {size}),
+b{h} AS (SELECT list_transform(g, lambda r: r[{size + 1}]) AS b FROM g{h} WHERE k = {size}),
+z{h} AS (SELECT city, date, {plain}{extra} FROM latest),
+q{h} AS (SELECT city, date AS as_of_date, {h} AS horizon, mean_y
+      + list_dot_product([{vector}, {keys}, 1.0]::DOUBLE[], b) AS prediction FROM z{h}, m{h}, b{h}),
+e{h} AS (SELECT y AS actual, mean_y
+      + list_dot_product([{vector}, {keys}, 1.0]::DOUBLE[], b) AS predicted FROM x{h}, m{h}, b{h}
+      WHERE date BETWEEN DATE '2000-07-01' AND DATE '2001-08-01')"""
+
+
+_OLS = _with(*_TRAIN, _LATEST, *(_least_squares(h) for h in (1, 2, 3))).replace(
+    "WITH", "WITH RECURSIVE", 1
+)
+
+ORACLES["linear_forecast"] = (
+    _OLS
+    + ", q AS ("
+    + " UNION ALL ".join(f"SELECT * FROM q{h}" for h in (1, 2, 3))
+    + f""")
+SELECT city, as_of_date, CAST(horizon AS BIGINT) AS horizon, as_of_date + horizon AS target_date,
+       round(prediction, 4) AS prediction, {_band('prediction')} AS category,
+       prediction > 150 AS alert FROM q"""
+)
+
+ORACLES["linear_metrics"] = _OLS + "\nUNION ALL ".join(
+    f"""SELECT CAST({h} AS BIGINT) AS horizon, 'linear' AS model, count(*) AS n,
+       round(avg(abs(actual - predicted)), 5) AS mae,
+       round(sqrt(avg((actual - predicted) * (actual - predicted))), 5) AS rmse,
+       round(1 - sum((actual - predicted) * (actual - predicted))
+                 / (var_pop(actual) * count(*)), 5) AS r2 FROM e{h}"""
+    for h in (1, 2, 3)
+)

@@ -30,7 +30,7 @@ CATALOG = T.StructType(
 )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("text").load(path)
     except AnalysisException as error:
@@ -72,7 +72,7 @@ class KeyedTable:
     description: str | None = None
 
     def exists(self) -> bool:
-        return _exists(self.spark, self.path)
+        return path_exists(self.spark, self.path)
 
     def read(
         self,
@@ -151,7 +151,7 @@ class PanelStore:
 
     def tables(self) -> DataFrame:
         """One row per table and version."""
-        if not _exists(self.spark, self._catalog_path):
+        if not path_exists(self.spark, self._catalog_path):
             return self.spark.createDataFrame([], CATALOG)
         return self.spark.read.schema(CATALOG).parquet(self._catalog_path)
 
