@@ -383,3 +383,35 @@ ORACLES["linear_metrics"] = _OLS + "\nUNION ALL ".join(
                  / (var_pop(actual) * count(*)), 5) AS r2 FROM e{h}"""
     for h in (1, 2, 3)
 )
+
+# --- sources, sinks, streams ------------------------------------------------------
+
+_WEATHER = _MEASURES[2:]
+
+ORACLES.update(
+    {
+        "payload_air": _with(_H) + f"SELECT city, time, {_r('pm2_5', 'pm10')} FROM h",
+        "payload_weather": _with(_W) + f"SELECT city, time, {_r(*_WEATHER)} FROM w",
+        "payload_current": _with(_H)
+        + f"""SELECT time, {_r('pm2_5', 'pm10')} FROM h
+QUALIFY row_number() OVER (PARTITION BY city ORDER BY time DESC) = 1""",
+        "csv_round_trip": _with(_P) + f"SELECT city, date, {_r(*_MEASURES)} FROM p",
+        "merged_csv": _with(_H, _W)
+        + f""", a AS (SELECT time, avg(pm2_5) AS pm2_5, avg(pm10) AS pm10 FROM h GROUP BY 1),
+b AS (SELECT time, {", ".join(f"avg({m}) AS {m}" for m in _WEATHER)} FROM w GROUP BY 1)
+SELECT a.time, {_r(*_MEASURES)} FROM a JOIN b ON a.time = b.time""",
+        "key_locations": """SELECT n_name AS city, count(*) AS n,
+       round(CAST(any_value(n_nationkey) AS DOUBLE) * 1.5, 6) AS lat,
+       round(CAST(any_value(n_regionkey) AS DOUBLE) * 2.5, 6) AS lon
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
+        "stored_tables": _with(_P)
+        + """SELECT 'daily_measures' AS name, CAST(1 AS BIGINT) AS version, 'city,date' AS primary_key,
+       'date' AS event_time, count(*) AS rows FROM p
+UNION ALL SELECT 'daily_features', 2, 'city,date', 'date', count(*) FROM p""",
+        "stream_refresh": _with(_H, _W, _DAY_MEANS)
+        + f"SELECT city, date, {_r(*_MEASURES)}, n_obs FROM d",
+        "stream_daily_mean": _with(_H)
+        + f"""SELECT city, CAST(time AS DATE) AS date, round(avg(pm2_5), 6) AS pm2_5,
+       round(avg(pm10), 6) AS pm10, count(*) AS n_obs FROM h GROUP BY 1, 2""",
+    }
+)

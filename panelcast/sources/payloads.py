@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,31 +19,88 @@ from panelcast.spec import (
 )
 
 
-def hourly_rows(payloads: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+# When and from which file a row landed: of two copies of an hour, the one
+# landed last holds.
+LANDED = ("landed_at", "landed_file")
+
+
+def hourly_rows(
+    payloads: DataFrame, fields: Mapping[str, str], keep: Sequence[str] = ()
+) -> DataFrame:
     """Unroll ``hourly{time[], field[], ...}`` to one row per city and hour."""
     names = ["time", *fields]
     zipped = F.arrays_zip(*(F.col(f"hourly.{n}").alias(n) for n in names))
-    rows = payloads.select("city", F.inline(zipped).alias(*names))
+    rows = payloads.select("city", *keep, F.inline(zipped).alias(*names))
     return nan_to_null(
         rows.select(
             "city",
             parse_time("time").alias("time"),
             *(F.col(source).alias(target) for source, target in fields.items()),
+            *keep,
         )
     )
 
 
-def _json(spark: SparkSession, path: str, schema: T.StructType, stream: bool) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(schema).json(path)
+def _hourly(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fields: Mapping[str, str],
+    stream: bool,
+    landed: bool,
+    files_per_batch: int | None,
+) -> DataFrame:
+    reader = (spark.readStream if stream else spark.read).schema(schema)
+    if stream and files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    payloads = reader.json(path)
+    if not landed:
+        return hourly_rows(payloads, fields)
+    when, file = LANDED
+    stamped = payloads.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias(when),
+        F.col("_metadata.file_name").alias(file),
+    )
+    return hourly_rows(stamped, fields, LANDED)
+
+
+def read_air(
+    spark: SparkSession,
+    path: str,
+    stream: bool = False,
+    landed: bool = False,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Air rows; ``landed`` adds the file's time and name."""
+    return _hourly(spark, path, AIR_PAYLOAD, AIR_FIELDS, stream, landed, files_per_batch)
+
 
+def read_weather(
+    spark: SparkSession,
+    path: str,
+    stream: bool = False,
+    landed: bool = False,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Weather rows under their measure names."""
+    return _hourly(spark, path, WEATHER_PAYLOAD, WEATHER_FIELDS, stream, landed, files_per_batch)
 
-def read_air(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    return hourly_rows(_json(spark, path, AIR_PAYLOAD, stream), AIR_FIELDS)
 
+def write_payloads(hourly: DataFrame, fields: Mapping[str, str], path: str) -> None:
+    """Land hourly rows as payload documents, one per city and day.
 
-def read_weather(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    return hourly_rows(_json(spark, path, WEATHER_PAYLOAD, stream), WEATHER_FIELDS)
+    A document holds the hours of one day, so its arrays stay short.
+    """
+    hour = F.struct(
+        F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        *(F.col(target).alias(source) for source, target in fields.items()),
+    )
+    days = hourly.groupBy("city", F.to_date("time").alias("_day")).agg(
+        F.array_sort(F.collect_list(hour)).alias("_hours")
+    )
+    arrays = F.struct(*(F.col(f"_hours.{n}").alias(n) for n in ("time", *fields)))
+    days.select("city", arrays.alias("hourly")).write.mode("append").json(path)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
