@@ -20,7 +20,7 @@ def derived_columns() -> dict[str, Column]:
         F.col(c) for c in ("pm25_lag_1", "pm25_lag_3", "pm25_lag_7", "pm25_rolling_7")
     )
     return {
-        "change_rate": (lag1 - lag3) / F.lit(3.0),
+        "aqi_change_rate": (lag1 - lag3) / F.lit(3.0),
         "volatility_7": F.abs(lag1 - mean7),
         "wind_stagnation": F.try_divide(F.col("humidity"), F.col("wind_speed") + F.lit(1.0)),
         "pressure_humidity": F.col("pressure") * F.col("humidity") / F.lit(1000.0),
@@ -31,12 +31,12 @@ def derived_columns() -> dict[str, Column]:
 
 # Derived features each horizon's model uses on top of the inputs.
 DERIVED_BY_HORIZON = {
-    1: ("change_rate",),
+    1: ("aqi_change_rate",),
     2: (
-        "change_rate", "volatility_7", "wind_stagnation",
+        "aqi_change_rate", "volatility_7", "wind_stagnation",
         "pressure_humidity", "pm25_trend", "pm25_rolling_max_7",
     ),
-    3: ("change_rate", "volatility_7", "wind_stagnation", "pressure_humidity"),
+    3: ("aqi_change_rate", "volatility_7", "wind_stagnation", "pressure_humidity"),
 }
 
 

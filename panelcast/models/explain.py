@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.numbers import direction, direction_colour
+from panelcast.models.absorb import AbsorbedLinear
 from panelcast.models.fit import Fitted
 from panelcast.models.matrix import LINEAR_RELATIONS
 from panelcast.operators.clean import sample_rows
@@ -49,14 +50,19 @@ def minimum_norm(
     return dict(zip(names, vector.tolist(), strict=True))
 
 
-def linear_weights(fitted: Fitted, features: Sequence[str] | None = None) -> dict[str, float]:
+def linear_weights(
+    fitted: Fitted | AbsorbedLinear, features: Sequence[str] | None = None
+) -> dict[str, float]:
     """Weight per feature of a linear pipeline, the key left out.
 
     ``features`` may add features the model left out as redundant; they get the
     share the minimum-norm solution gives them.
     """
-    own = fitted.model.stages[-1].coefficients.toArray()[: len(fitted.features)]
-    weights = dict(zip(fitted.features, own.tolist(), strict=True))
+    if isinstance(fitted, AbsorbedLinear):
+        own = fitted.weights
+    else:
+        own = fitted.model.stages[-1].coefficients.toArray()[: len(fitted.features)].tolist()
+    weights = dict(zip(fitted.features, own, strict=True))
     added = {
         f: LINEAR_RELATIONS[f] for f in features or () if f in LINEAR_RELATIONS and f not in weights
     }
@@ -65,7 +71,7 @@ def linear_weights(fitted: Fitted, features: Sequence[str] | None = None) -> dic
 
 def linear_attribution(
     rows: DataFrame,
-    fitted: Fitted,
+    fitted: Fitted | AbsorbedLinear,
     background: DataFrame,
     keys: Sequence[str] = ("city", "date"),
     features: Sequence[str] | None = None,
@@ -110,7 +116,7 @@ def _orders(players: int, pairs: int, seed: int) -> list[list[int]]:
 
 def shapley_attribution(
     rows: DataFrame,
-    fitted: Fitted,
+    fitted: Fitted | AbsorbedLinear,
     background: DataFrame,
     keys: Sequence[str] = ("city", "date"),
     pairs: int = 4,

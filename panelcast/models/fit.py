@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.derived import TARGETS, feature_names
 from panelcast.functions.numbers import log_target
-from panelcast.models.matrix import FEATURES, linear_feature_names, matrix_stages
+from panelcast.models.absorb import AbsorbedLinear, fit_absorbed
+from panelcast.models.matrix import FEATURES, linear_feature_names, matrix_stages, spread
+from panelcast.operators.reshape import MAX_LEVEL_COLUMNS, TooManyLevels
 
 SEED = 42
 # Spark's own limit, standing in for "no depth limit".
@@ -68,6 +70,11 @@ class Fitted:
     key: str | None = "city"
     params: dict[str, Any] = field(default_factory=dict)
 
+    form = "pipeline"
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
     def score(self, df: DataFrame, prediction: str = "prediction") -> DataFrame:
         """``df`` with one more column; its rows and columns stay as they are."""
         scored = self.model.transform(df)
@@ -83,10 +90,13 @@ def fit(
     key: str | None = "city",
     centred: bool = False,
     log: bool = False,
+    max_levels: int = MAX_LEVEL_COLUMNS,
 ) -> Fitted:
     """Fit on rows whose label is known. ``log`` fits log1p of the label and
     returns predictions on the label's own scale."""
-    stages = matrix_stages(train, features, key, centred)
+    stages = matrix_stages(train, features, key, centred, max_levels)
+    if not isinstance(estimator, LinearRegression):
+        train = spread(train, [*features, *([key] if key else []), label])
     if log:
         train = train.withColumn(LOG_LABEL, log_target(label))
         estimator = estimator.copy(
@@ -101,11 +111,21 @@ def fit(
     return Fitted(name, Pipeline(stages=stages).fit(train), tuple(features), key)
 
 
-def fit_linear(train: DataFrame, horizon: int, key: str | None = "city") -> Fitted:
-    """Least squares of a horizon's target, key effects summing to zero."""
-    return fit(
-        train, linear(), linear_feature_names(horizon), TARGETS[horizon], "linear", key, centred=True
-    )
+def fit_linear(
+    train: DataFrame, horizon: int, key: str | None = "city", max_levels: int = MAX_LEVEL_COLUMNS
+) -> Fitted | AbsorbedLinear:
+    """Least squares of a horizon's target with an effect per key.
+
+    Up to ``max_levels`` keys get a column each, effects summing to zero; beyond
+    it the effects are absorbed, which gives the same forecasts.
+    """
+    names, label = linear_feature_names(horizon), TARGETS[horizon]
+    try:
+        return fit(
+            train, linear(), names, label, "linear", key, centred=True, max_levels=max_levels
+        )
+    except TooManyLevels:
+        return fit_absorbed(train, names, label, key)
 
 
 def fit_forest(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted:

@@ -12,15 +12,16 @@ from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from panelcast.functions.derived import feature_names
-from panelcast.operators.reshape import MAX_LEVEL_COLUMNS, key_levels
+from panelcast.operators.reshape import MAX_LEVEL_COLUMNS, TooManyLevels, key_levels
 
 FEATURES = "features"
 
 # Derived features that are exact linear combinations of inputs: name -> weights.
 LINEAR_RELATIONS = {
-    "change_rate": {"pm25_lag_1": 1.0 / 3.0, "pm25_lag_3": -1.0 / 3.0},
+    "aqi_change_rate": {"pm25_lag_1": 1.0 / 3.0, "pm25_lag_3": -1.0 / 3.0},
     "pm25_trend": {"pm25_lag_1": 1.0, "pm25_lag_7": -1.0},
 }
 
@@ -64,13 +65,16 @@ def matrix_stages(
     """Pipeline stages that end in the ``features`` vector.
 
     Up to ``max_levels`` keys become a column each; more become one sparse
-    vector, so the plan does not widen with the number of keys.
+    vector, so the plan does not widen with the number of keys. Centred codes
+    have no sparse form: there, too many keys are an error.
     """
     if key is None:
         return [VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")]
     try:
         levels = key_levels(train, key, max_levels)
-    except ValueError:
+    except TooManyLevels:
+        if centred:
+            raise
         return [
             StringIndexer(
                 inputCol=key,
@@ -95,6 +99,12 @@ def matrix_stages(
     return stages
 
 
-def tidy(scored: DataFrame, keep: Sequence[str], prediction: str = "prediction") -> DataFrame:
-    """The scored rows without the columns the pipeline added."""
-    return scored.select(*keep, prediction)
+def spread(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The training columns over all cores, rows placed by their content.
+
+    Growing trees passes over the rows once per level, so a small table in few
+    files would keep most cores idle. Placement by content keeps a seeded forest
+    the same however the rows were stored.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.select(*columns).repartition(cores, F.xxhash64(*columns))

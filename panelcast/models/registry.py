@@ -1,6 +1,6 @@
 """Saved models with their metrics, by name and version.
 
-``<root>/_models`` holds a row per version; the pipeline lies next to it. One
+``<root>/_models`` holds a row per version; the model lies next to it. One
 writer at a time registers versions of a name.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.models.absorb import AbsorbedLinear
 from panelcast.models.fit import Fitted
 from panelcast.sources.store import path_exists
 
@@ -21,6 +22,7 @@ MODELS = T.StructType(
         T.StructField("name", T.StringType(), False),
         T.StructField("version", T.IntegerType(), False),
         T.StructField("kind", T.StringType()),
+        T.StructField("form", T.StringType(), False),
         T.StructField("description", T.StringType()),
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("features", T.ArrayType(T.StringType()), False),
@@ -49,27 +51,29 @@ class ModelRegistry:
     def register(
         self,
         name: str,
-        fitted: Fitted,
+        fitted: Fitted | AbsorbedLinear,
         metrics: Mapping[str, float],
         description: str | None = None,
     ) -> int:
-        """Save the pipeline as the next version, with metrics as measured."""
+        """Save the model as the next version, with metrics as measured."""
         last = self.models().where(F.col("name") == name).agg(F.max("version")).first()[0]
         version = (last or 0) + 1
-        fitted.model.write().overwrite().save(self._path(name, version))
+        fitted.save(self._path(name, version))
         row = (
-            name, version, fitted.name, description,
+            name, version, fitted.name, fitted.form, description,
             {k: float(v) for k, v in metrics.items()}, list(fitted.features), fitted.key,
         )
         self.spark.createDataFrame([row], MODELS).write.mode("append").parquet(self._rows_path)
         return version
 
-    def load(self, name: str, version: int | str = "latest") -> Fitted:
+    def load(self, name: str, version: int | str = "latest") -> Fitted | AbsorbedLinear:
         rows = self.models().where(F.col("name") == name)
         if version != "latest":
             rows = rows.where(F.col("version") == version)
         row = rows.orderBy(F.col("version").desc()).first()
         if row is None:
             raise KeyError(f"no model {name} version {version}")
-        model = PipelineModel.load(self._path(name, row.version))
-        return Fitted(row.kind, model, tuple(row.features), row.key)
+        path = self._path(name, row.version)
+        if row.form == AbsorbedLinear.form:
+            return AbsorbedLinear.load(self.spark, path, row.kind, row.features, row.key)
+        return Fitted(row.kind, PipelineModel.load(path), tuple(row.features), row.key)

@@ -7,19 +7,18 @@ included. Here fold ``i`` trains only on rows before it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import product
 from typing import Any
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.models.fit import Fitted, boosted, forest
-from panelcast.models.matrix import FEATURES, matrix_stages
+from panelcast.models.matrix import FEATURES, matrix_stages, spread
+from panelcast.models.together import together
 from panelcast.operators.metrics import r2_column
 from panelcast.operators.split import expanding_folds, fold_number
 
@@ -70,7 +69,7 @@ def expanding_search(
     matrix = Pipeline(stages=matrix_stages(train, features, key)).fit(train)
     plan = expanding_folds(train, time, folds)
     assembled = (
-        matrix.transform(train)
+        matrix.transform(spread(train, [*features, *([key] if key else []), label, time]))
         .withColumn("_fold", fold_number(train, plan, time))
         .select(FEATURES, label, "_fold")
         .persist()
@@ -85,8 +84,7 @@ def expanding_search(
 
     try:
         jobs = [(place, fold) for place in range(len(tries)) for fold in plan.numbers]
-        with ThreadPoolExecutor(parallelism) as pool:
-            found = list(pool.map(inheritable_thread_target(spark)(lambda job: run(*job)), jobs))
+        found = together(spark, lambda job: run(*job), jobs, parallelism)
         rows = [
             (place, str(tries[place]), fold, score)
             for (place, fold), score in zip(jobs, found, strict=True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.operators.ranks import quantiles
+from panelcast.operators.ranks import quantiles, read_tallies, tally_columns
 
 
 def _long(row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
@@ -68,21 +68,26 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
     if columns is None:
         columns = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    points = quantiles(df, columns, list(QUARTILES.values()))
     stats = df.agg(
+        *tally_columns(columns),
         *(
             F.struct(
                 F.count(c).alias("count"),
                 F.avg(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
                 F.min(c).cast("double").alias("min"),
-                *(
-                    F.lit(v).cast("double").alias(name)
-                    for name, v in zip(QUARTILES, points[c], strict=True)
-                ),
                 F.max(c).cast("double").alias("max"),
-            ).alias(c)
+            ).alias(f"_stats_{c}")
             for c in columns
-        )
+        ),
+    ).first()
+    points = quantiles(df, columns, list(QUARTILES.values()), tallies=read_tallies(stats, columns))
+    rows = [
+        (c, s["count"], s.mean, s.std, s.min, *points[c], s.max)
+        for c, s in ((c, stats[f"_stats_{c}"]) for c in columns)
+    ]
+    quartiles = ", ".join(f"{q} double" for q in QUARTILES)
+    return df.sparkSession.createDataFrame(
+        rows,
+        f"column string, count bigint, mean double, std double, min double, {quartiles}, max double",
     )
-    return _long(stats, columns, "stats").select("column", "stats.*")

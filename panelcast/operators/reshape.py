@@ -47,6 +47,10 @@ def to_long(
     return labelled.unpivot(list(ids), list(columns.values()), name, value)
 
 
+class TooManyLevels(ValueError):
+    """A key has more levels than may become columns."""
+
+
 def key_levels(df: DataFrame, key: str, limit: int = MAX_LEVEL_COLUMNS) -> list[str]:
     """The distinct keys in order, if there are at most ``limit``; else an error.
 
@@ -54,7 +58,7 @@ def key_levels(df: DataFrame, key: str, limit: int = MAX_LEVEL_COLUMNS) -> list[
     """
     rows = df.select(key).where(F.col(key).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} levels of {key}: encode them as a sparse vector")
+        raise TooManyLevels(f"more than {limit} levels of {key}: encode them as a sparse vector")
     return sorted(r[0] for r in rows)
 
 

@@ -54,8 +54,9 @@ def event_time_split(
 
 def chronological_cutoff(df: DataFrame, time: str, share: float = 0.8) -> Any:
     """The time of row ``int(n * share)`` in time order: where the test part starts."""
-    total = count_values(df, [time])[time]
-    return order_statistics(df, {time: [int(total * share)]}, counts={time: total})[time][0]
+    tallies = count_values(df, [time])
+    rank = int(tallies[time].count * share)
+    return order_statistics(df, {time: [rank]}, tallies=tallies)[time][0]
 
 
 def chronological_tag(df: DataFrame, time: str, share: float = 0.8) -> Column:
@@ -91,12 +92,13 @@ def expanding_folds(df: DataFrame, time: str = "date", splits: int = 3) -> Folds
     """
     times = df.select(time).distinct().persist()
     try:
-        total = count_values(times, [time])[time]
+        tallies = count_values(times, [time])
+        total = tallies[time].count
         size = total // (splits + 1)
         if size == 0:
             raise ValueError(f"{total} distinct times are too few for {splits} folds")
         ranks = [total - (splits - i) * size for i in range(splits)]
-        starts = order_statistics(times, {time: ranks}, counts={time: total})[time]
+        starts = order_statistics(times, {time: ranks}, tallies=tallies)[time]
     finally:
         times.unpersist()
     return Folds(tuple(starts))

@@ -135,9 +135,7 @@ def with_halo(
     after it. What travels between chunks is at most ``before + after`` rows per
     chunk, whatever the length of the series.
     """
-    base = df.withColumn(
-        CHUNK, F.date_trunc(chunk, F.col(spec.time).cast("timestamp")).cast("date")
-    )
+    base = df.withColumn(CHUNK, F.date_trunc(chunk, F.col(spec.time).cast("timestamp")))
     slim = base.select(*spec.keys, CHUNK, F.col(spec.time), F.col(value))
     edges = None
     for size, last in ((before, True), (after, False)):

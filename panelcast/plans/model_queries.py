@@ -9,10 +9,11 @@ from panelcast.functions.derived import TARGETS, with_derived
 from panelcast.models import explain
 from panelcast.models.fit import fit_boosted, fit_forest, fit_linear, fit_log_forest
 from panelcast.models.registry import ModelRegistry
+from panelcast.models.together import together
 from panelcast.operators import clean, metrics, split
 from panelcast.operators.reshape import union_frames
 from panelcast.plans import features, serve, train
-from panelcast.plans.sample_queries import BOUNDS, H, panel, rounded, trainable
+from panelcast.plans.sample_queries import BOUNDS, H, panel, rounded
 from panelcast.plans.views import horizon_matrix
 from panelcast.session import fresh_folder
 
@@ -20,7 +21,7 @@ SMALL_FOREST = {"trees": 20, "depth": 5, "leaf": 3}
 SMALL_BOOSTED = {"iterations": 10, "depth": 4, "rate": 0.1}
 SMALL_GRIDS = {
     "forest": {"depth": [3, 5], "leaf": [3], "trees": [10]},
-    "boosted": {"rate": [0.1], "depth": [3], "iterations": [5, 10]},
+    "boosted": {"rate": [0.1], "depth": [3], "iterations": [4, 8]},
 }
 
 HOURLY_FEATURES = (
@@ -30,22 +31,24 @@ HOURLY_FEATURES = (
 HOURLY_TARGETS = {"24h": "target_24h", "48h": "target_48h", "72h": "target_72h"}
 
 
-def _parts(spark, sf, horizon: int) -> tuple[DataFrame, DataFrame]:
-    return split.event_time_split(horizon_matrix(trainable(spark, sf), horizon), BOUNDS)
+def _stored(spark, sf) -> DataFrame:
+    """The feature table, computed once and stored: every fit, score and
+    background below reads the table instead of computing its features again."""
+    path = fresh_folder(spark, "features")
+    panel(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def _latest(spark, sf) -> DataFrame:
-    return features.latest_serving_rows(panel(spark, sf))
+def _parts(table: DataFrame, horizon: int) -> tuple[DataFrame, DataFrame]:
+    matrix = horizon_matrix(features.training_rows(table), horizon)
+    return split.event_time_split(matrix, BOUNDS)
 
 
 def _forecast(spark, sf, fit_one) -> DataFrame:
-    table = trainable(spark, sf).persist()
-    models = {}
-    for horizon in TARGETS:
-        rows, _ = split.event_time_split(horizon_matrix(table, horizon), BOUNDS)
-        models[horizon] = fit_one(rows, horizon)
-    table.unpersist()
-    wide = train.score_horizons(_latest(spark, sf), models)
+    table = _stored(spark, sf)
+    fitted = together(spark, lambda h: fit_one(_parts(table, h)[0], h), TARGETS)
+    models = dict(zip(TARGETS, fitted, strict=True))
+    wide = train.score_horizons(features.latest_serving_rows(table), models)
     return serve.forecast_rows(wide, train.prediction_columns(models))
 
 
@@ -58,12 +61,14 @@ def linear_forecast(spark, sf):
 
 
 def linear_metrics(spark, sf):
-    tables = []
-    for horizon in TARGETS:
-        rows, test = _parts(spark, sf, horizon)
-        scores = train.evaluate([fit_linear(rows, horizon)], test, TARGETS[horizon])
-        tables.append(clean.tagged(scores, horizon=horizon).withColumn("horizon", F.col("horizon").cast("bigint")))
-    table = union_frames(tables)
+    stored = _stored(spark, sf)
+
+    def scores(horizon: int) -> DataFrame:
+        rows, test = _parts(stored, horizon)
+        table = train.evaluate([fit_linear(rows, horizon)], test, TARGETS[horizon])
+        return table.withColumn("horizon", F.lit(horizon).cast("bigint"))
+
+    table = union_frames(together(spark, scores, TARGETS))
     return table.select(
         "horizon", "model", "n", *(F.round(m, 5).alias(m) for m in ("mae", "rmse", "r2"))
     )
@@ -78,54 +83,56 @@ def boosted_forecast(spark, sf):
 
 
 def log_forest(spark, sf):
-    rows, test = _parts(spark, sf, 2)
+    rows, test = _parts(_stored(spark, sf), 2)
     fitted = fit_log_forest(rows, 2, **SMALL_FOREST)
     return rounded(train.evaluate([fitted], test, TARGETS[2]))
 
 
-def _background(spark, sf) -> DataFrame:
-    recent = clean.trailing_days(features.serving_rows(panel(spark, sf)))
-    return explain.background_sample(with_derived(recent))
+def _background(table: DataFrame) -> DataFrame:
+    return explain.background_sample(
+        with_derived(clean.trailing_days(features.serving_rows(table)))
+    )
 
 
 def linear_attribution(spark, sf):
-    rows, _ = _parts(spark, sf, 2)
-    fitted = fit_linear(rows, 2)
+    table = _stored(spark, sf)
     impacts = explain.linear_attribution(
-        with_derived(_latest(spark, sf)),
-        fitted,
-        _background(spark, sf),
-        features=("change_rate", "pm25_trend"),
+        with_derived(features.latest_serving_rows(table)),
+        fit_linear(_parts(table, 2)[0], 2),
+        _background(table),
+        features=("aqi_change_rate", "pm25_trend"),
     )
     return rounded(explain.top_impacts(impacts))
 
 
 def forest_attribution(spark, sf):
-    rows, _ = _parts(spark, sf, 3)
-    fitted = fit_forest(rows, 3, **SMALL_FOREST)
+    table = _stored(spark, sf)
     impacts = explain.shapley_attribution(
-        with_derived(_latest(spark, sf)), fitted, _background(spark, sf)
+        with_derived(features.latest_serving_rows(table)),
+        fit_forest(_parts(table, 3)[0], 3, **SMALL_FOREST),
+        _background(table),
     )
     return rounded(explain.top_impacts(impacts))
 
 
 def registered_forecast(spark, sf):
     """Search, pick, register, load and serve, horizon by horizon."""
-    table = trainable(spark, sf).persist()
+    table = _stored(spark, sf)
+    labelled = features.training_rows(table)
     registry = ModelRegistry(spark, fresh_folder(spark, "models"))
-    for horizon in TARGETS:
-        train.register(
-            train.train_horizon(table, horizon, BOUNDS, SMALL_GRIDS, folds=2), registry
-        )
-    table.unpersist()
+    trained = together(
+        spark, lambda h: train.train_horizon(labelled, h, BOUNDS, SMALL_GRIDS, folds=2), TARGETS
+    )
+    for done in trained:
+        train.register(done, registry)
     models = train.load_models(registry)
-    wide = train.score_horizons(_latest(spark, sf), models)
+    wide = train.score_horizons(features.latest_serving_rows(table), models)
     return rounded(serve.forecast_rows(wide, train.prediction_columns(models)))
 
 
 def model_comparison(spark, sf):
     """Every family on the same test rows, the champion marked."""
-    rows, test = _parts(spark, sf, 2)
+    rows, test = _parts(_stored(spark, sf), 2)
     rows = rows.persist()
     fitted = [
         fit_linear(rows, 2),
@@ -139,14 +146,15 @@ def model_comparison(spark, sf):
 
 
 def _hourly_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    table = clean.complete(features.hourly_features(H(spark, sf)))
-    doubles = table.select(
+    path = fresh_folder(spark, "features")
+    clean.complete(features.hourly_features(H(spark, sf))).select(
         "city", "time",
         *(F.col(c).cast("double").alias(c) for c in HOURLY_FEATURES),
         *HOURLY_TARGETS.values(),
-    )
-    tag = split.chronological_tag(doubles, "time")
-    return doubles.where(tag == "train"), doubles.where(tag == "test")
+    ).write.parquet(path)
+    table = spark.read.parquet(path)
+    tag = split.chronological_tag(table, "time")
+    return table.where(tag == "train"), table.where(tag == "test")
 
 
 def horizon_comparison(spark, sf):

@@ -127,7 +127,7 @@ _TRAIN = (*_PANEL, _T)
 _SERVE = (*_PANEL, _LATEST, _FORECAST)
 
 _DERIVED = {
-    "change_rate": "(pm25_lag_1 - pm25_lag_3) / 3",
+    "aqi_change_rate": "(pm25_lag_1 - pm25_lag_3) / 3",
     "volatility_7": "abs(pm25_lag_1 - pm25_rolling_7)",
     "wind_stagnation": "humidity / (wind_speed + 1)",
     "pressure_humidity": "pressure * humidity / 1000",
@@ -135,9 +135,9 @@ _DERIVED = {
     "pm25_rolling_max_7": "greatest(pm25_lag_1, pm25_lag_3, pm25_lag_7, pm25_rolling_7)",
 }
 _BY_HORIZON = {
-    1: ("change_rate",),
+    1: ("aqi_change_rate",),
     2: tuple(_DERIVED),
-    3: ("change_rate", "volatility_7", "wind_stagnation", "pressure_humidity"),
+    3: ("aqi_change_rate", "volatility_7", "wind_stagnation", "pressure_humidity"),
 }
 
 
@@ -323,7 +323,7 @@ UNION ALL SELECT city, as_of_date + horizon, round(prediction, 6), 'Forecast' FR
 
 # --- least squares, solved in SQL ------------------------------------------------
 
-_REDUNDANT = ("change_rate", "pm25_trend")
+_REDUNDANT = ("aqi_change_rate", "pm25_trend")
 _KEYS = tuple(_LEVELS)
 
 

@@ -13,6 +13,7 @@ from panelcast.functions.derived import TARGETS, feature_names, with_derived
 from panelcast.models.fit import Fitted, fit, fit_linear, fit_log_forest, forest
 from panelcast.models.registry import ModelRegistry
 from panelcast.models.search import FOLDS, expanding_search
+from panelcast.models.together import together
 from panelcast.operators import metrics, profile
 from panelcast.operators.reshape import union_frames
 from panelcast.operators.split import SplitBounds, event_time_split
@@ -184,9 +185,11 @@ def param_sweep(
     """Rounded scores of a forest under each named setting."""
     train = train.persist()
     try:
-        fitted = [
-            fit(train, forest(**dict(s)), features, label, str(dict(s)), key) for s in settings
-        ]
+        fitted = together(
+            train.sparkSession,
+            lambda s: fit(train, forest(**s), features, label, str(dict(s)), key),
+            settings,
+        )
     finally:
         train.unpersist()
     return metrics.comparison_table(evaluate(fitted, test, label))
@@ -201,13 +204,15 @@ def horizon_comparison(
     **params: Any,
 ) -> DataFrame:
     """One forest per label, compared: ``labels`` maps a horizon's name to its column."""
-    train, tables = train.persist(), []
+    train = train.persist()
+
+    def scores(item: tuple[str, str]) -> DataFrame:
+        name, label = item
+        fitted = fit(train, forest(**params), features, label, name, key)
+        return evaluate([fitted], test, label).withColumnRenamed("model", "horizon").drop("listed")
+
     try:
-        for name, label in labels.items():
-            fitted = fit(train, forest(**params), features, label, name, key)
-            tables.append(
-                evaluate([fitted], test, label).drop("listed").withColumnRenamed("model", "horizon")
-            )
+        tables = together(train.sparkSession, scores, labels.items())
     finally:
         train.unpersist()
     return metrics.comparison_table(union_frames(tables))

@@ -30,14 +30,20 @@ CATALOG = T.StructType(
 )
 
 
+def _path(spark: SparkSession, path: str):
+    """The file system and its own path object; asks for one name, lists nothing."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    files, where = _path(spark, path)
+    return files.exists(where)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    files, where = _path(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())
 
 
 def _month(time: str) -> Column:
@@ -74,6 +80,12 @@ class KeyedTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
+    def months(self) -> list[str]:
+        """The months present, from one look at the table's folder."""
+        prefix = f"{MONTH}="
+        names = folder_names(self.spark, self.path)
+        return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
     def read(
         self,
         since: dt.date | None = None,
@@ -82,21 +94,28 @@ class KeyedTable:
     ) -> DataFrame:
         """The rows, ``since`` and ``until`` included.
 
-        Literal bounds also bound the month, so only those folders are listed
-        and read.
+        With any bound only the folders of those months are listed and read.
         """
-        df = self.spark.read.parquet(self.path)
-        if months is not None:
-            df = df.where(F.col(MONTH).isin(list(months)))
+        if since is None and until is None and months is None:
+            return self.spark.read.parquet(self.path).drop(MONTH)
+        present = self.months()
+        wanted = [
+            m
+            for m in present
+            if (months is None or m in set(months))
+            and (since is None or m >= f"{since:%Y-%m}")
+            and (until is None or m <= f"{until:%Y-%m}")
+        ]
+        if not wanted:
+            return self.read().where(F.lit(False))
+        folders = [f"{self.path}/{MONTH}={m}" for m in wanted]
+        df = self.spark.read.option("basePath", self.path).parquet(*folders).drop(MONTH)
+        day = F.to_date(self.event_time)
         if since is not None:
-            df = df.where(F.col(MONTH) >= f"{since:%Y-%m}").where(
-                F.to_date(self.event_time) >= F.lit(since)
-            )
+            df = df.where(day >= F.lit(since))
         if until is not None:
-            df = df.where(F.col(MONTH) <= f"{until:%Y-%m}").where(
-                F.to_date(self.event_time) <= F.lit(until)
-            )
-        return df.drop(MONTH)
+            df = df.where(day <= F.lit(until))
+        return df
 
     def upsert(self, batch: DataFrame, newest: Sequence[str] = ()) -> None:
         """Replace rows with equal primary key, add the rest, delete nothing.

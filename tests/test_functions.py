@@ -84,8 +84,8 @@ def test_derived_features(spark):
     df = spark.createDataFrame([tuple(row.values())], schema)
     found = df.select(*(c.alias(n) for n, c in derived.derived_columns().items())).first()
     assert found.asDict() == {
-        "change_rate": 2.0, "volatility_7": 2.0, "wind_stagnation": None,
+        "aqi_change_rate": 2.0, "volatility_7": 2.0, "wind_stagnation": None,
         "pressure_humidity": 60.0, "pm25_trend": None, "pm25_rolling_max_7": 12.0,
     }
-    assert derived.feature_names(1)[-1] == "change_rate" and len(derived.feature_names(2)) == 19
+    assert derived.feature_names(1)[-1] == "aqi_change_rate" and len(derived.feature_names(2)) == 19
     assert df.select(F.lit(1)).count() == 1

@@ -10,8 +10,8 @@ from panelcast.models.fit import fit, fit_forest, fit_linear, fit_log_forest, li
 from panelcast.models.matrix import linear_feature_names
 from panelcast.models.registry import ModelRegistry
 from panelcast.plans import train
-from panelcast.plans.model_queries import _latest
-from panelcast.plans.sample_queries import BOUNDS, trainable
+from panelcast.plans.features import latest_serving_rows
+from panelcast.plans.sample_queries import BOUNDS, panel, trainable
 from panelcast.plans.views import HORIZON_VIEWS, horizon_matrix, view_definitions
 from panelcast.session import fresh_folder
 
@@ -66,10 +66,33 @@ def test_least_squares_equals_the_minimum_norm_solution(spark, made):
     scored = fitted.score(made.unionByName(unseen)).toPandas()
     expected = design(scored, names) @ weights + intercept
     assert np.abs(scored.prediction - expected).max() < 1e-8
-    found = explain.linear_weights(fitted, ["change_rate"])
+    found = explain.linear_weights(fitted, ["aqi_change_rate"])
     assert [found[n] for n in names] == pytest.approx(weights[: len(names)].tolist(), abs=1e-8)
 
 
+def test_absorbed_key_effects_give_the_same_forecasts(spark, made):
+    """And the same after a round trip through the registry."""
+    rows = made.unionByName(made.limit(3).withColumn("city", F.lit("z")))
+    expected = fit_linear(made, 1)
+    absorbed = fit_linear(made, 1, max_levels=2)
+    assert (expected.form, absorbed.form) == ("pipeline", "absorbed")
+    registry = ModelRegistry(spark, fresh_folder(spark, "models"))
+    registry.register("m", absorbed, {"r2": 0.5})
+    for model in (absorbed, registry.load("m")):
+        both = expected.score(model.score(rows, "p"))
+        assert both.columns == [*rows.columns, "p", "prediction"]
+        assert both.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-8
+    background = explain.background_sample(made)
+    impacts = [
+        explain.linear_attribution(made.limit(4), m, background, features=["aqi_change_rate"])
+        for m in (expected, absorbed)
+    ]
+    gap = impacts[0].join(
+        impacts[1].withColumnRenamed("impact", "other"), ["city", "date", "feature"]
+    )
+    assert gap.agg(F.max(F.abs(F.col("impact") - F.col("other")))).first()[0] < 1e-8
+
+
 def test_many_keys_become_a_sparse_vector(made):
     from pyspark.ml import Pipeline
 
@@ -162,7 +185,7 @@ def test_train_register_load_and_serve(spark, small):
     assert registry.load(train.model_name(3), 1).features == tuple(done.champion.features)
     with pytest.raises(KeyError):
         registry.load(train.model_name(1), 7)
-    latest = _latest(spark, small)
+    latest = latest_serving_rows(panel(spark, small))
     loaded = train.score_horizons(latest, models).select("city", "prediction_3d").collect()
     fresh = done.champion.score(with_derived(latest)).collect()
     assert {r.city: r.prediction_3d for r in loaded} == {r.city: r.prediction for r in fresh}
@@ -216,9 +239,9 @@ def test_linear_impacts_add_up_and_match_shapley(made, explained):
 def test_redundant_features_share_the_impact(made, explained):
     rows, background = explained
     fitted = fit_linear(made, 1)
-    spread = explain.linear_attribution(rows, fitted, background, features=["change_rate"])
+    spread = explain.linear_attribution(rows, fitted, background, features=["aqi_change_rate"])
     assert efficiency_gap(spread, fitted, rows, background) < 1e-9
-    change = spread.where("feature = 'change_rate'").agg(F.max(F.abs("impact"))).first()[0]
+    change = spread.where("feature = 'aqi_change_rate'").agg(F.max(F.abs("impact"))).first()[0]
     assert change > 1e-3
 
 
