@@ -110,39 +110,54 @@ def order_statistics(
     return found
 
 
+def _intervals(searches: list[_Search]) -> list[list[_Search]]:
+    """Searches that still look between the same bounds of the same column."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.above, s.below), []).append(s)
+    return list(groups.values())
+
+
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+    """Two passes: approximate quantiles around each rank, then exact counts at them."""
+    groups = _intervals(searches)
     slack = 2.0 / ACCURACY
     around = []
-    for i, s in enumerate(searches):
-        share = (s.rank + 0.5) / s.count
-        points = [max(0.0, share - slack), min(1.0, share + slack)]
-        around.append(F.percentile_approx(s.candidates(), points, ACCURACY).alias(f"s{i}"))
+    for i, members in enumerate(groups):
+        shares = [(s.rank + 0.5) / s.count for s in members]
+        points = [p for x in shares for p in (max(0.0, x - slack), min(1.0, x + slack))]
+        around.append(
+            F.percentile_approx(members[0].candidates(), points, ACCURACY).alias(f"b{i}")
+        )
     brackets = df.agg(*around).first()
 
     tallies = []
-    for i, s in enumerate(searches):
-        value = s.candidates()
-        for side, bound in zip("lh", brackets[f"s{i}"], strict=True):
-            tallies.append(F.count_if(value < s.literal(bound)).alias(f"{side}{i}_lt"))
-            tallies.append(F.count_if(value == s.literal(bound)).alias(f"{side}{i}_eq"))
+    for i, members in enumerate(groups):
+        value = members[0].candidates()
+        for j, bound in enumerate(sorted(set(brackets[f"b{i}"]))):
+            at = members[0].literal(bound)
+            tallies.append(F.count_if(value < at).alias(f"lt{i}_{j}"))
+            tallies.append(F.count_if(value == at).alias(f"eq{i}_{j}"))
     tally = df.agg(*tallies).first()
 
-    for i, s in enumerate(searches):
-        low, high = brackets[f"s{i}"]
-        low_lt, low_eq = tally[f"l{i}_lt"], tally[f"l{i}_eq"]
-        high_lt, high_eq = tally[f"h{i}_lt"], tally[f"h{i}_eq"]
-        low_le, high_le = low_lt + low_eq, high_lt + high_eq
-        if s.rank < low_lt:
-            s.below, s.count = low, low_lt
-        elif s.rank < low_le:
-            s.answer = low
-        elif s.rank < high_lt:
-            s.above, s.below = low, high
-            s.rank, s.count = s.rank - low_le, high_lt - low_le
-        elif s.rank < high_le:
-            s.answer = high
-        else:
-            s.above, s.rank, s.count = high, s.rank - high_le, s.count - high_le
+    for i, members in enumerate(groups):
+        bounds = sorted(set(brackets[f"b{i}"]))
+        for s in members:
+            _place(s, [(b, tally[f"lt{i}_{j}"], tally[f"eq{i}_{j}"]) for j, b in enumerate(bounds)])
+
+
+def _place(search: _Search, bounds: list[tuple[Any, int, int]]) -> None:
+    """Move a search between the bounds, given as (value, rows below, rows equal)."""
+    before, total = 0, search.count
+    for value, lower, equal in bounds:
+        if search.rank < lower:
+            search.below, total = value, lower
+            break
+        if search.rank < lower + equal:
+            search.answer = value
+            return
+        search.above, before = value, lower + equal
+    search.rank, search.count = search.rank - before, total - before
 
 
 def _finish(df: DataFrame, searches: list[_Search]) -> None:
@@ -150,12 +165,12 @@ def _finish(df: DataFrame, searches: list[_Search]) -> None:
 
     All columns of one type are counted in one job.
     """
-    by_type: dict[str, dict[tuple, list[_Search]]] = {}
+    by_type: dict[str, list[_Search]] = {}
     for s in searches:
-        groups = by_type.setdefault(s.data_type.simpleString(), {})
-        groups.setdefault((s.column, s.above, s.below), []).append(s)
-    for groups in by_type.values():
-        values = F.array(*(members[0].candidates() for members in groups.values()))
+        by_type.setdefault(s.data_type.simpleString(), []).append(s)
+    for alike in by_type.values():
+        groups = _intervals(alike)
+        values = F.array(*(members[0].candidates() for members in groups))
         pairs = (
             df.select(F.posexplode(values).alias("place", "value"))
             .where(F.col("value").isNotNull())
@@ -164,7 +179,7 @@ def _finish(df: DataFrame, searches: list[_Search]) -> None:
             .collect()
         )
         pairs.sort(key=lambda p: (p.place, p.value))
-        for place, members in enumerate(groups.values()):
+        for place, members in enumerate(groups):
             _read_off([p for p in pairs if p.place == place], members)
 
 
