@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.calendar import day_literal, midnight
 from panelcast.operators.clean import observed_hours
 from panelcast.operators.daily import daily_mean_of_feeds
+from panelcast.plans.features import daily_features, serving_rows
 from panelcast.sources.store import KeyedTable, PanelStore
 from panelcast.spec import DAILY
 
@@ -67,3 +68,19 @@ def refresh(
 ) -> None:
     """One incremental run: days complete so far replace their earlier versions."""
     table.upsert(refreshed_days(air, weather, as_of, past_days))
+
+
+def refresh_features(store: PanelStore, chunk: str | None = None, replace: bool = False) -> KeyedTable:
+    """Recompute the feature table from the daily table.
+
+    It holds every row with a full history. The newest rows have no label yet:
+    serving reads them, training asks for labels. Rows that vanished from the
+    daily table stay unless ``replace``.
+    """
+    table = feature_table(store)
+    rows = serving_rows(daily_features(store.read("daily_measures"), chunk=chunk))
+    if replace:
+        table.replace(rows)
+    else:
+        table.upsert(rows)
+    return table

@@ -12,16 +12,17 @@ from panelcast.models.registry import ModelRegistry
 from panelcast.models.together import together
 from panelcast.operators import clean, metrics, split
 from panelcast.operators.reshape import union_frames
-from panelcast.plans import features, serve, train
-from panelcast.plans.sample_queries import BOUNDS, H, panel, rounded
+from panelcast.plans import features, forecast, ingest, serve, train
+from panelcast.plans.sample_queries import BOUNDS, PANEL_AS_OF, H, P, panel, rounded
 from panelcast.plans.views import horizon_matrix
 from panelcast.session import fresh_folder
+from panelcast.sources.store import PanelStore
 
 SMALL_FOREST = {"trees": 20, "depth": 5, "leaf": 3}
 SMALL_BOOSTED = {"iterations": 10, "depth": 4, "rate": 0.1}
 SMALL_GRIDS = {
-    "forest": {"depth": [3, 5], "leaf": [3], "trees": [10]},
-    "boosted": {"rate": [0.1], "depth": [3], "iterations": [4, 8]},
+    "forest": {"depth": [3, 4], "leaf": [3], "trees": [5]},
+    "boosted": {"rate": [0.1], "depth": [3], "iterations": [3]},
 }
 
 HOURLY_FEATURES = (
@@ -116,18 +117,18 @@ def forest_attribution(spark, sf):
 
 
 def registered_forecast(spark, sf):
-    """Search, pick, register, load and serve, horizon by horizon."""
-    table = _stored(spark, sf)
-    labelled = features.training_rows(table)
+    """Daily table, feature table, search, pick, register, load and serve."""
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+    ingest.daily_table(store).upsert(P(spark, sf))
+    table = ingest.refresh_features(store)
     registry = ModelRegistry(spark, fresh_folder(spark, "models"))
+    labelled = features.training_rows(table.read())
     trained = together(
         spark, lambda h: train.train_horizon(labelled, h, BOUNDS, SMALL_GRIDS, folds=2), TARGETS
     )
     for done in trained:
         train.register(done, registry)
-    models = train.load_models(registry)
-    wide = train.score_horizons(features.latest_serving_rows(table), models)
-    return rounded(serve.forecast_rows(wide, train.prediction_columns(models)))
+    return rounded(forecast.forecast(table, train.load_models(registry), PANEL_AS_OF))
 
 
 def model_comparison(spark, sf):

@@ -415,3 +415,14 @@ UNION ALL SELECT 'daily_features', 2, 'city,date', 'date', count(*) FROM p""",
        round(avg(pm10), 6) AS pm10, count(*) AS n_obs FROM h GROUP BY 1, 2""",
     }
 )
+
+ORACLES["stored_features"] = (
+    _with(*_PANEL)
+    + f"SELECT {_ALL_FEATURES} FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL"
+)
+ORACLES["stored_trailing_window"] = ORACLES["trailing_window"]
+ORACLES["aligned_columns"] = (
+    _with(_H)
+    + f"""SELECT city, time, {_r('pm2_5')}, CAST(0 AS DOUBLE) AS humidity, CAST(0 AS DOUBLE) AS pressure
+FROM h"""
+)

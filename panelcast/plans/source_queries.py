@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators import windows
+from panelcast.operators import reshape, windows
 from panelcast.plans import ingest
-from panelcast.plans.sample_queries import H, P, W, rounded
+from panelcast.plans.sample_queries import PANEL_AS_OF, H, P, W, rounded
 from panelcast.session import fresh_folder
 from panelcast.sources import dimension, files, payloads, sample
 from panelcast.sources.store import PanelStore
@@ -101,6 +101,26 @@ def stored_tables(spark, sf):
     )
 
 
+def stored_features(spark, sf):
+    """The feature table as the store keeps it, unlabelled newest rows included."""
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+    ingest.daily_table(store).upsert(P(spark, sf))
+    return rounded(ingest.refresh_features(store).read())
+
+
+def stored_trailing_window(spark, sf):
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+    table = ingest.daily_table(store)
+    table.upsert(P(spark, sf))
+    return rounded(table.trailing(until=PANEL_AS_OF))
+
+
+def aligned_columns(spark, sf):
+    """The hourly feed under the daily panel's columns, absent ones filled."""
+    hours = H(spark, sf).withColumn("date", F.to_date("time"))
+    return rounded(reshape.align_columns(hours, ["city", "time", "pm2_5", "humidity", "pressure"]))
+
+
 def stream_refresh(spark, sf):
     """Both landed feeds through the streaming refresh, a few files at a time."""
     air, weather = _land(spark, sf)
@@ -126,6 +146,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
-        stored_tables, stream_refresh, stream_daily_mean,
+        stored_tables, stored_features, stored_trailing_window, aligned_columns, stream_refresh, stream_daily_mean,
     )
 }

@@ -117,6 +117,24 @@ class KeyedTable:
             df = df.where(day <= F.lit(until))
         return df
 
+    def last_day(self, until: dt.date | None = None) -> dt.date | None:
+        """The last event day, up to ``until``: months are read newest first, and
+        the first one with a row ends the search."""
+        for month in reversed(self.months()):
+            if until is None or month <= f"{until:%Y-%m}":
+                rows = self.read(until=until, months=[month])
+                day = rows.agg(F.max(F.to_date(self.event_time))).first()[0]
+                if day is not None:
+                    return day
+        return None
+
+    def trailing(self, days: int = 15, until: dt.date | None = None) -> DataFrame:
+        """Rows at most ``days`` before the last day, reading only their months."""
+        last = self.last_day(until)
+        if last is None:
+            return self.read().where(F.lit(False))
+        return self.read(last - dt.timedelta(days=days), last)
+
     def upsert(self, batch: DataFrame, newest: Sequence[str] = ()) -> None:
         """Replace rows with equal primary key, add the rest, delete nothing.
 

@@ -107,3 +107,13 @@ def test_catalog_and_fallback(spark, store):
     spare = panel(spark, [("a", 0, 1.0)])
     assert store.read("nowhere", fallback=lambda: spare).count() == 1
     assert store.read("t", fallback=lambda: spare).count() == 1
+
+
+def test_trailing_reads_only_its_months(spark, store):
+    table = keyed(store)
+    table.upsert(panel(spark, [("a", i, 1.0) for i in range(120)]))
+    assert table.last_day() == day(119) and table.last_day(dt.date(2024, 2, 10)) == dt.date(2024, 2, 10)
+    part = table.trailing(15, dt.date(2024, 3, 5))
+    assert part.count() == 16
+    assert {f.split("month_part=")[1][:7] for f in part.inputFiles()} == {"2024-02", "2024-03"}
+    assert table.last_day(dt.date(2020, 1, 1)) is None and table.trailing(1, dt.date(2020, 1, 1)).count() == 0
