@@ -19,6 +19,12 @@ def parse_time(text: Column | str) -> Column:
     return (F.col(text) if isinstance(text, str) else text).cast("timestamp_ntz")
 
 
+def time_text(time: Column | str) -> Column:
+    """A zone-free time as ISO text to the minute, the inverse of ``parse_time``."""
+    text = (F.col(time) if isinstance(time, str) else time).cast("string")
+    return F.translate(F.substring(text, 1, 16), " ", "T")
+
+
 def day_of(time: Column | str) -> Column:
     return F.to_date(time)
 

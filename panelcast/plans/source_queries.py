@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.functions.calendar import time_text
 from panelcast.operators import reshape, windows
 from panelcast.plans import ingest
 from panelcast.plans.sample_queries import PANEL_AS_OF, H, P, W, rounded
@@ -34,7 +35,7 @@ def payload_weather(spark, sf):
 def payload_current(spark, sf):
     path = fresh_folder(spark, "current")
     latest = windows.latest_rows(H(spark, sf), HOURLY_AIR).select(
-        F.struct(F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"), "pm10", "pm2_5").alias("current")
+        F.struct(time_text("time").alias("time"), "pm10", "pm2_5").alias("current")
     )
     latest.write.json(path)
     return rounded(payloads.read_current(spark, path))
@@ -50,7 +51,7 @@ def csv_round_trip(spark, sf):
 def merged_csv(spark, sf):
     """The two historical files, written, read and joined on time per key."""
     root = fresh_folder(spark, "csv")
-    text = F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time")
+    text = time_text("time").alias("time")
     air = H(spark, sf).groupBy("time").agg(F.avg("pm10").alias("PM10"), F.avg("pm2_5").alias("PM2.5"))
     files.write_csv(air.select(text, "PM10", F.col("`PM2.5`")), f"{root}/air")
     weather = W(spark, sf).groupBy("time").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.functions.calendar import parse_time
+from panelcast.functions.calendar import parse_time, time_text
 from panelcast.functions.missing import nan_to_null
 from panelcast.spec import (
     AIR_FIELDS,
@@ -93,7 +93,7 @@ def write_payloads(hourly: DataFrame, fields: Mapping[str, str], path: str) -> N
     A document holds the hours of one day, so its arrays stay short.
     """
     hour = F.struct(
-        F.date_format("time", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        time_text("time").alias("time"),
         *(F.col(target).alias(source) for source, target in fields.items()),
     )
     days = hourly.groupBy("city", F.to_date("time").alias("_day")).agg(

@@ -1,8 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from panelcast.functions import bands, calendar, derived, numbers
 from panelcast.functions.missing import nan_to_null
 
@@ -19,6 +17,21 @@ def test_nan_becomes_null(spark):
     assert [r[0] for r in df.collect()] == [None, 1.0]
 
 
+def test_times_survive_a_clock_change(spark):
+    """02:30 does not exist that night in New York; a zone-free time does not care."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10T02:30",)], "t string")
+        time = calendar.parse_time("t")
+        row = df.select(
+            calendar.time_text(time).alias("text"), calendar.hour_start(time).alias("hour")
+        ).first()
+        assert (row.text, str(row.hour)) == ("2024-03-10T02:30", "2024-03-10 02:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_band_edges(spark):
     items = [50.0, 50.01, 100.0, 150.0, 150.01, 200.0, 300.0, 300.01, None, NAN]
     names = values(spark, items, bands.band_name("x"))
@@ -88,4 +101,3 @@ def test_derived_features(spark):
         "pressure_humidity": 60.0, "pm25_trend": None, "pm25_rolling_max_7": 12.0,
     }
     assert derived.feature_names(1)[-1] == "aqi_change_rate" and len(derived.feature_names(2)) == 19
-    assert df.select(F.lit(1)).count() == 1
