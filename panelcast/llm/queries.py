@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neardup, quality, secrets, urls
+from . import chat, mixing, neardup, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -30,6 +30,12 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     first = F.get("passes", F.lit(0))["position"]
@@ -73,6 +79,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_source_mix": op5_source_mix,
     "op6_chat_perspectives": op6_chat_perspectives,
     "op7_near_duplicates": op7_near_duplicates,
