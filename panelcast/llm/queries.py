@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, neardup, quality, repeats, secrets, urls
+from . import chat, classifier, mixing, neardup, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored = classifier.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
@@ -79,6 +84,7 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_quality_scores": op3_quality_scores,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_source_mix": op5_source_mix,
     "op6_chat_perspectives": op6_chat_perspectives,
