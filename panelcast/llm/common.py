@@ -49,3 +49,10 @@ def quoted(name: str) -> Column:
 
 def buckets(rows: int, per_bucket: int) -> int:
     return max(1, math.ceil(rows / per_bucket))
+
+
+def same_text(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on ``doc_id`` and text hash ``print``; the id may be null."""
+    right = right.withColumnRenamed("doc_id", "_id").withColumnRenamed("print", "_print")
+    same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
+    return left.join(right, same, how).drop("_id", "_print")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, mixing, neardup, quality, repeats, secrets, urls
+from . import chat, classifier, entities, leaks, mixing, neardup, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "first_word", "last_word")
+
+
 def op3_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     scored = classifier.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -53,6 +58,17 @@ def op6_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("mask", mask)
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = entities.annotated(table(spark, folder, "documents").select("doc_id", "text"), "found")
+    found = found.select("doc_id", "found", F.filter("found", lambda s: s["base"]).alias("base"))
+    return found.select(
+        "doc_id",
+        *(_count("base", k).alias(f"n_{k}") for k in entities.KINDS),
+        F.sha2(_spans("base"), 256).alias("base_sha256"),
+        _spans("found").alias("spans"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(table(spark, folder, "documents").select("doc_id", "text"), "text", "q")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -84,11 +100,13 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_benchmark_leaks": op2_benchmark_leaks,
     "op3_quality_scores": op3_quality_scores,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_source_mix": op5_source_mix,
     "op6_chat_perspectives": op6_chat_perspectives,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_personal_data": op8_personal_data,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }

@@ -34,11 +34,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import Chunk, chunks, mixed, prefix_hashes, span_hashes
-from .common import buckets, stored, whole
+from .common import buckets, same_text, stored, whole
 from .suffixsort import Suffixes, merge_sort
 
 LENGTH = 400
@@ -210,13 +210,6 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["doc_id", "n_bytes", "removed", "kept_sha256"])
 
 
-def _same_text(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Join on id and text hash; the id may be null."""
-    right = right.withColumnRenamed("doc_id", "_id").withColumnRenamed("print", "_print")
-    same: Column = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
-    return left.join(right, same, how).drop("_id", "_print")
-
-
 def spans(rows: DataFrame) -> DataFrame:
     """doc_id, print, a, b: removed spans of ``rows`` (doc_id, print, text); they may overlap."""
     anchors = stored(rows.mapInArrow(_anchors, ANCHORS), "anchors")
@@ -233,7 +226,7 @@ def spans(rows: DataFrame) -> DataFrame:
     mixed_cores = contexts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest")).where("kinds > 1 and rarest = 1").select("core", "kinds")
     wanted = contexts.join(mixed_cores, "core").select("one.doc_id", "one.print", F.struct("one.place", "core", "context", "n", "kinds").alias("w"))
     todo = wanted.groupBy("doc_id", "print").agg(F.collect_list("w").alias("todo"))
-    cut = stored(_same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"]).mapInArrow(_cut, CUT), "contexts-cut")
+    cut = stored(same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"]).mapInArrow(_cut, CUT), "contexts-cut")
 
     few = cut.where(F.col("kinds") <= MOST_CONTEXTS)
     tasks = buckets(cut.count(), CONTEXTS_PER_TASK)
@@ -250,4 +243,4 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole(F.col(text)).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("print"), "text")
     found = spans(rows).groupBy("doc_id", "print").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    return _same_text(rows, found, "left").mapInArrow(_strip, STRIPPED)
+    return same_text(rows, found, "left").mapInArrow(_strip, STRIPPED)
