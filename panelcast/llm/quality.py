@@ -1,6 +1,7 @@
 """Quality rules by weak supervision: rules vote or abstain, and their accuracies are estimated.
 
-Each rule looks at counts of a text and votes good (1), bad (-1) or abstains (0). A model with
+Each rule looks at counts of a text and votes good (1), bad (-1) or abstains (0); most know one kind
+of bad text and abstain on the rest. A model with
 two classes says how often each rule votes which way on good and on bad texts. Expectation
 maximisation fits it without labels, on the number of texts with each combination of votes: at
 most 3^rules rows, whatever the corpus, so the iterations run on the driver over that table. The
@@ -80,18 +81,22 @@ def votes(c: Column) -> dict[str, Column]:
     """Each rule's vote, from the counts."""
     n = c["n_words"]
 
-    def vote(good: Column, bad: Column) -> Column:
-        return F.when(bad, -1).when(good, 1).otherwise(0)
+    def bad(found: Column) -> Column:
+        return F.when(found, -1).otherwise(0)
 
     return {
-        "length": vote(n >= MIN_WORDS, n < 20),
-        "word_length": vote((c["word_chars"] >= 3 * n) & (c["word_chars"] <= 9 * n), (c["word_chars"] < 2 * n) | (c["word_chars"] > 12 * n)),
-        "symbols": vote(50 * c["n_symbols"] <= n, 5 * c["n_symbols"] > n),
-        "lines": vote((c["n_lines"] >= 3) & (10 * c["n_dup_lines"] <= c["n_lines"]), 10 * c["n_dup_lines"] > 3 * c["n_lines"]),
-        "repeats": vote((n >= 20) & (10 * c["n_repeat_words"] <= n), 10 * c["n_repeat_words"] > 3 * n),
-        "capitals": vote((n >= 20) & (10 * c["n_capitals"] <= c["n_shorts"]), c["n_capitals"] > c["n_shorts"]),
-        "marks": vote((n >= 20) & (100 * c["n_marks"] <= n), 10 * c["n_marks"] > n),
-    }
+        "length": bad(n < 20),
+        "word_length": bad((c["word_chars"] < 2 * n) | (c["word_chars"] > 12 * n)),
+        "symbols": F.when(5 * c["n_symbols"] > n, -1).when(50 * c["n_symbols"] <= n, 1).otherwise(0),
+        "lines": bad(10 * c["n_dup_lines"] > 3 * c["n_lines"]),
+        "repeats": bad(10 * c["n_repeat_words"] > 3 * n),
+        "capitals": bad(c["n_capitals"] > c["n_shorts"]),
+        "marks": bad(10 * c["n_marks"] > n),
+        "prose": F.when(
+            (n >= MIN_WORDS) & (50 * c["n_symbols"] <= n) & (5 * c["n_repeat_words"] <= n) & (5 * c["n_dup_lines"] <= c["n_lines"])
+            & (5 * c["n_capitals"] <= c["n_shorts"]) & (50 * c["n_marks"] <= n), 1,
+        ).otherwise(0),
+    }
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
