@@ -213,7 +213,8 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def spans(rows: DataFrame) -> DataFrame:
     """doc_id, print, a, b: removed spans of ``rows`` (doc_id, print, text); they may overlap."""
     anchors = stored(rows.mapInArrow(_anchors, ANCHORS), "anchors")
-    again = anchors.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core")
+    # written, so that the join can split a hot core
+    again = stored(anchors.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core"), "cores")
     shared = stored(anchors.join(again, "core"), "shared")
     contexts = shared.groupBy("core", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "print", "place")).alias("one"))
     contexts = stored(contexts, "contexts")
@@ -223,7 +224,8 @@ def spans(rows: DataFrame) -> DataFrame:
     start = F.shiftright("place", 16)
     resolved = shared.join(whole_ones, ["core", "context"]).select("doc_id", "print", (start - most).alias("a"), (start - nearest + LENGTH).alias("b"))
 
-    mixed_cores = contexts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest")).where("kinds > 1 and rarest = 1").select("core", "kinds")
+    mixed_cores = contexts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest"))
+    mixed_cores = stored(mixed_cores.where("kinds > 1 and rarest = 1").select("core", "kinds"), "cores")
     wanted = contexts.join(mixed_cores, "core").select("one.doc_id", "one.print", F.struct("one.place", "core", "context", "n", "kinds").alias("w"))
     todo = wanted.groupBy("doc_id", "print").agg(F.collect_list("w").alias("todo"))
     cut = stored(same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"]).mapInArrow(_cut, CUT), "contexts-cut")
