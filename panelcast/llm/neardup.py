@@ -37,13 +37,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import Chunk, chunks, grams, mixed, word_hashes
-from .common import stored
+from .common import buckets, stored
 from .graph import components
 
 SYMBOLS, CHUNKS = 24, 8
 PER_CHUNK = SYMBOLS // CHUNKS
 MOST_ERRORS = 2 * CHUNKS - 1
 BLOCK = 256
+ROWS_PER_TASK = 2_000
 
 _rng = np.random.default_rng(7)
 _FACTORS = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -110,7 +111,8 @@ def _setter(n: int):
             f1, f2 = _prints(sets, at)
             own = (f1 == chunk.column("f1").to_numpy()) & (f2 == chunk.column("f2").to_numpy())
             body = pa.array([sets[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
-            rows = pa.RecordBatch.from_arrays([chunk.column("id"), body], names=["id", "items"])
+            kept = ["id", *(f"c{i}" for i in range(CHUNKS))]
+            rows = pa.RecordBatch.from_arrays([*(chunk.column(c) for c in kept), body], names=[*kept, "items"])
             yield rows.filter(pa.array(own))
 
     return build
@@ -143,24 +145,38 @@ def _verifier(percent: int):
 
 
 def _blocks(percent: int):
+    masks = [((1 << 48) - 1) & ~(0xFFFF << (16 * s)) for s in range(PER_CHUNK)]
+
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        """Links between the rest (side 0) and the members (side 1); one per row and component reached."""
-        rest, members = rows[rows.side == 0], rows[rows.side == 1]
-        sets = [np.frombuffer(x, np.uint64) for x in members["items"]]
-        names, where = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
-        grid = np.zeros((len(sets), len(names)), np.float32)
-        grid[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), where] = 1
-        sizes = np.array([len(s) for s in sets])
-        ids, roots = members["id"].to_numpy(), members["root"].to_numpy()
+        """Links between the rest (side 0) and the members (side 1) of each block.
+
+        A pair is compared under the first key it shares, and a row stops at its first link to a component.
+        """
+        rows = rows.sort_values(["key", "rb", "mb"], ignore_index=True)
+        blocks = rows[["key", "rb", "mb"]].to_numpy()
+        begins = np.flatnonzero(np.r_[True, (blocks[1:] != blocks[:-1]).any(axis=1)])
+        ids, roots, side = (rows[c].to_numpy() for c in ("id", "root", "side"))
+        signs = rows[[f"c{i}" for i in range(CHUNKS)]].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in rows["items"]]
+        sizes = np.array([len(x) for x in sets])
         out = []
-        for own, root, body in zip(rest["id"], rest["root"], rest["items"]):
-            mine = np.frombuffer(body, np.uint64)
-            at = np.searchsorted(names, mine)
-            known = at[(at < len(names)) & (names[np.minimum(at, len(names) - 1)] == mine)] if len(names) else at[:0]
-            shared = grid[:, known].sum(axis=1, dtype=np.int64)
-            linked = (100 * shared >= percent * (sizes + len(mine) - shared)) & (roots != root)
-            reached = pd.DataFrame({"b": ids[linked], "root": roots[linked]}).drop_duplicates("root")
-            out += [(own, b) for b in reached["b"]]
+        for a, b in zip(begins, np.r_[begins[1:], len(rows)]):
+            number = int(blocks[a, 0]) >> 48
+            members = a + np.flatnonzero(side[a:b] == 1)
+            for x in a + np.flatnonzero(side[a:b] == 0):
+                other = members[roots[members] != roots[x]]
+                differ = signs[other] ^ signs[x]
+                new = np.ones(len(other), bool)
+                for k in range(number):
+                    new &= (differ[:, k // PER_CHUNK] & masks[k % PER_CHUNK]) != 0
+                low, high = np.minimum(sizes[other], sizes[x]), np.maximum(sizes[other], sizes[x])
+                new &= 100 * low >= percent * high
+                errors = sum(np.count_nonzero((differ >> (16 * s)) & 0xFFFF, axis=1) for s in range(PER_CHUNK))
+                reached = set()
+                for y in other[new & (errors <= MOST_ERRORS)]:
+                    if roots[y] not in reached and _linked(sets[x], sets[y], percent):
+                        reached.add(roots[y])
+                        out.append((ids[x], ids[y]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return compare
@@ -185,7 +201,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # equal ids with different sets: each set is a class, and the id joins them
     classes = stored(classes, "classes")
     filed = classes.select("id", F.explode(_keys([F.col(c) for c in own])).alias("key"))
-    shared = filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    # written, so that the join can split a hot key
+    shared = stored(filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     filed = stored(filed.join(shared, "key"), "filed")
 
     weight = filed.groupBy("id").agg(F.sum("members").alias("weight"))
@@ -193,9 +210,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pivots = stored(pivots.select("key", (-F.col("top.minus")).alias("pivot")), "pivots")
     pairs = stored(filed.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
 
-    met = filed.select("id").distinct().join(classes.select("id", "f1", "f2"), "id")
-    texts = met.join(rows, F.col("id") == F.col("doc_id")).select("id", "text", "f1", "f2")
-    sets = texts.mapInArrow(_setter(words), "id bigint, items binary")
+    met = filed.select("id").distinct().join(classes.drop("n"), "id")
+    texts = met.join(rows, F.col("id") == F.col("doc_id")).select("id", "text", "f1", "f2", *own)
+    sets = texts.mapInArrow(_setter(words), "id bigint, " + ", ".join(f"{c} bigint" for c in own) + ", items binary")
     sets = stored(sets, "sets")
     links = stored(_verify(pairs, sets, percent), "links")
     found = components(links)
@@ -225,13 +242,19 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _rest(labelled: DataFrame, outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of the members outside their key's leading component, found block by block."""
-    counts = outside.groupBy("key").agg(F.count("*").alias("rest"))
+    counts = stored(outside.groupBy("key").agg(F.count("*").alias("rest")), "rest")
+    # keys with the same members are one: the smallest stands for all
+    prints = (F.bit_xor(F.xxhash64("id")).alias("p1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("p2"), F.min("id").alias("p3"), F.count("*").alias("p4"))
+    alike = labelled.join(counts, "key").groupBy("key", "rest").agg(*prints)
+    counts = stored(alike.groupBy("p1", "p2", "p3", "p4").agg(F.min(F.struct("key", "rest")).alias("k")).select("k.key", "k.rest"), "rest")
     rest_blocks = F.ceil(F.col("rest") / BLOCK).cast("int")
     member_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    held = labelled.join(counts, "key")
-    members = held.select("key", "id", "root", F.lit(1).alias("side"), "members", "rest", place(member_blocks).alias("mb")).select("key", "id", "root", "side", "mb", every(rest_blocks).alias("rb"))
-    rest = outside.join(counts, "key").select("key", "id", "root", F.lit(0).alias("side"), "members", "rest", place(rest_blocks).alias("rb")).select("key", "id", "root", "side", "rb", every(member_blocks).alias("mb"))
-    dealt = members.unionByName(rest).join(sets, "id")
-    return stored(dealt.groupBy("key", "rb", "mb").applyInPandas(_blocks(percent), "a bigint, b bigint").distinct(), "links")
+    members = labelled.join(counts, "key").select("*", F.lit(1).alias("side"), place(member_blocks).alias("mb"), every(rest_blocks).alias("rb"))
+    rest = outside.join(counts, "key").select("*", F.lit(0).alias("side"), place(rest_blocks).alias("rb"), every(member_blocks).alias("mb"))
+    names = ["key", "id", "root", "side", "rb", "mb"]
+    dealt = stored(members.select(names).unionByName(rest.select(names)), "dealt")
+    tasks = buckets(dealt.count(), ROWS_PER_TASK)
+    dealt = dealt.join(sets, "id").withColumn("task", F.pmod(F.xxhash64("key", "rb", "mb"), F.lit(tasks)))
+    return stored(dealt.groupBy("task").applyInPandas(_blocks(percent), "a bigint, b bigint").distinct(), "links")
