@@ -221,7 +221,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     known = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).cast("double").alias("label")).where(F.col("label").isNotNull() & (remainder(F.col("doc_id")) != 1))
     sample = pooled.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
     sample = sample.withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).toPandas()
-    x = np.array(sample["features"].tolist(), np.float32).reshape(len(sample), -1)
+    x = np.array(sample["features"].tolist(), np.float32).reshape(len(sample), DIMS + PLAIN)
     net = train(x, sample["label"].to_numpy(float), sample["held"].to_numpy(bool))
     scored = pooled.mapInArrow(_scorer(spark.sparkContext.broadcast(tuple(vars(net).values()))), "doc_id bigint, score double")
     return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score")

@@ -7,7 +7,8 @@ have. The logarithms of these counts are the potentials of the field. In it, eac
 digit, ``@`` or ``+`` is linked with its neighbour in the text, and with the next mention of the same
 thing anywhere in the same text: equal but for case and punctuation, or numbers with the same last
 seven digits. Words found by a pattern are observed. Loopy message passing gives the others their
-posteriors; a mention is added if a label has at least ``SURE`` and an equal mention bears it too.
+posteriors. Words that no pattern finds count as other text only if no equal mention is found: such
+mentions are what the field is asked about. A prior says that equal mentions have equal labels. A mention is added if a label has at least ``SURE`` and an equal mention bears it too.
 
 Links go from a mention to the next one only, so their number grows with the text, not its square.
 All messages of a batch of texts are passed at once.
@@ -35,6 +36,8 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 LOOKS = 7 * 32 * 2
 ROUNDS = 12
+#: Weight of the prior that equal mentions agree, and the least probability of a label given a look.
+AGREE, FLOOR = 1e4, 1e-3
 SURE = 0.9
 LAST_DIGITS = 7
 
@@ -107,7 +110,9 @@ class Graph:
         self.label = np.zeros(len(seen), np.int64)
         self.spans: dict[int, list[tuple[int, int, int]]] = {}
         names: dict[tuple[int, str], int] = {}
+        firsts: dict[tuple[int, str], int] = {}
         back = np.full(len(seen), -1, np.int64)
+        self.first = np.arange(len(seen))
         for i in np.unique(self.doc).tolist():
             a, b = np.searchsorted(self.doc, [i, i + 1])
             first = self.points[chunk.starts[i]]
@@ -121,6 +126,7 @@ class Graph:
             for k, x, y in zip(range(a, b), low.tolist(), high.tolist()):
                 if name := _name(text[x:y]):
                     back[k] = names.get((i, name), -1)
+                    self.first[k] = firsts.setdefault((i, name), k)
                     names[i, name] = k
         self.beside = np.flatnonzero((np.diff(seen) == 1) & (np.diff(self.doc) == 0))
         self.later = np.flatnonzero(back >= 0)
@@ -128,9 +134,13 @@ class Graph:
 
     def counts(self) -> np.ndarray:
         """Words by look and label, neighbours' labels, mentions' labels, one after the other."""
-        look = np.bincount(self.look * LABELS + self.label, minlength=LOOKS * LABELS)
-        steps = np.bincount(self.label[self.beside] * LABELS + self.label[self.beside + 1], minlength=LABELS**2)
-        skips = np.bincount(self.label[self.earlier] * LABELS + self.label[self.later], minlength=LABELS**2)
+        found = np.zeros(len(self.label), np.int64)
+        np.maximum.at(found, self.first, self.label)
+        sure = (self.label > 0) | (found[self.first] == 0)
+        pair = lambda a, b: self.label[a[sure[a] & sure[b]]] * LABELS + self.label[b[sure[a] & sure[b]]]
+        look = np.bincount((self.look * LABELS + self.label)[sure], minlength=LOOKS * LABELS)
+        steps = np.bincount(pair(self.beside, self.beside + 1), minlength=LABELS**2)
+        skips = np.bincount(pair(self.earlier, self.later), minlength=LABELS**2)
         return np.r_[look, steps, skips]
 
 
@@ -158,9 +168,10 @@ def potentials(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndar
     total[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
     look = total[: LOOKS * LABELS].reshape(LOOKS, LABELS) + 0.5
     pairs = total[LOOKS * LABELS :].reshape(2, LABELS, LABELS) + 0.5
+    pairs[1] += AGREE * np.eye(LABELS)
     joint = pairs / pairs.sum(axis=(1, 2), keepdims=True)
     ratio = np.log(joint) - np.log(joint.sum(axis=2, keepdims=True)) - np.log(joint.sum(axis=1, keepdims=True))
-    return np.log(look / look.sum(axis=1, keepdims=True)), ratio[0], ratio[1]
+    return np.log(np.maximum(look / look.sum(axis=1, keepdims=True), FLOOR)), ratio[0], ratio[1]
 
 
 def beliefs(graph: Graph, field: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:

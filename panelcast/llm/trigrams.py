@@ -13,6 +13,8 @@ from re import _parser
 MOST_TEXTS = 64
 
 Strings = frozenset[str]
+#: What can stand at a place: known texts; alternative sets of trigrams; or anything.
+Piece = Strings | list[set[str]] | None
 
 
 def clauses(pattern: str) -> list[frozenset[str]]:
@@ -22,9 +24,9 @@ def clauses(pattern: str) -> list[frozenset[str]]:
     return sorted((c for c in found if not any(o < c for o in found)), key=sorted)
 
 
-def _pieces(parsed) -> list[Strings | None]:
-    """The expression as a sequence: sets of texts that can stand there, or None for anything."""
-    out: list[Strings | None] = []
+def _pieces(parsed) -> list[Piece]:
+    """The expression as a sequence."""
+    out: list[Piece] = []
     for op, arg in parsed:
         if op is kind.LITERAL:
             out.append(frozenset({chr(arg).lower()}))
@@ -33,7 +35,8 @@ def _pieces(parsed) -> list[Strings | None]:
         elif op is kind.SUBPATTERN:
             out += _pieces(arg[-1])
         elif op is kind.BRANCH:
-            out.append(_either([_pieces(p) for p in arg[1]]))
+            options = [_pieces(p) for p in arg[1]]
+            out.append(_either(options) or [n for o in options for n in _needs(o)])
         elif op in (kind.MAX_REPEAT, kind.MIN_REPEAT):
             least, most, inner = arg
             once = _pieces(inner)
@@ -58,10 +61,10 @@ def _letters(items) -> Strings | None:
     return frozenset(chars)
 
 
-def _either(options: list[list[Strings | None]]) -> Strings | None:
+def _either(options: list[list[Piece]]) -> Strings | None:
     texts: set[str] = set()
     for option in options:
-        if None in option:
+        if not all(isinstance(p, frozenset) for p in option):
             return None
         whole = _joined(option)
         if whole is None:
@@ -79,16 +82,19 @@ def _joined(pieces: list[Strings]) -> Strings | None:
     return texts
 
 
-def _needs(pieces: list[Strings | None]) -> list[set[str]]:
+def _needs(pieces: list[Piece]) -> list[set[str]]:
     """Alternative sets of trigrams: the product over the runs of known texts."""
     needs: list[set[str]] = [set()]
     run: list[Strings] = []
     for p in [*pieces, None]:
-        if p is not None and _joined([*run, p]) is not None:
+        known = isinstance(p, frozenset)
+        if known and _joined([*run, p]) is not None:
             run.append(p)
             continue
         texts = _joined(run) or frozenset({""})
         if len(needs) * len(texts) <= MOST_TEXTS and texts != frozenset({""}):
             needs = [n | {t[i : i + 3] for i in range(len(t) - 2)} for n in needs for t in texts]
-        run = [p] if p is not None else []
+        if isinstance(p, list) and len(needs) * len(p) <= MOST_TEXTS:
+            needs = [n | more for n in needs for more in p]
+        run = [p] if known else []
     return needs
