@@ -390,6 +390,17 @@ _WEATHER = _MEASURES[2:]
 
 ORACLES.update(
     {
+        "landing_check": _with(_H)
+        + """, d AS (SELECT city, CAST(time AS DATE) AS day, count(*) AS n FROM h GROUP BY 1, 2)
+SELECT CASE city WHEN 'click' THEN 'not readable' WHEN 'view' THEN 'no city' ELSE 'read' END AS outcome,
+       count(*) AS documents,
+       CAST(sum(n) FILTER (city NOT IN ('click', 'view')) AS BIGINT) AS hours FROM d GROUP BY 1""",
+        "upsert_empty_first": _with(_P)
+        + f"SELECT city, date, {_r(*_MEASURES)}, CAST(0 AS BIGINT) AS before FROM p",
+        "upsert_new_column": _with(_P)
+        + f"""SELECT city, date, {_r(*_MEASURES[:-1])},
+       round(CASE WHEN date > DATE '2001-06-30' THEN pressure END, 6) AS pressure
+FROM p WHERE date >= DATE '2001-06-01'""",
         "payload_air": _with(_H) + f"SELECT city, time, {_r('pm2_5', 'pm10')} FROM h",
         "payload_weather": _with(_W) + f"SELECT city, time, {_r(*_WEATHER)} FROM w",
         "payload_current": _with(_H)

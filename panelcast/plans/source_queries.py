@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,24 +14,29 @@ from panelcast.plans.sample_queries import PANEL_AS_OF, H, P, W, rounded
 from panelcast.session import fresh_folder
 from panelcast.sources import dimension, files, payloads, sample
 from panelcast.sources.store import PanelStore
-from panelcast.spec import AIR_FIELDS, AIR_MEASURES, DAILY, HOURLY_AIR, WEATHER_FIELDS
+from panelcast.spec import AIR_FIELDS, AIR_MEASURES, AIR_PAYLOAD, DAILY, HOURLY_AIR, WEATHER_FIELDS
 from panelcast.streaming.daily import start_daily_mean
 from panelcast.streaming.refresh import start_refresh
 
 
-def _land(spark, sf) -> tuple[str, str]:
-    root = fresh_folder(spark, "landing")
-    payloads.write_payloads(H(spark, sf), AIR_FIELDS, f"{root}/air")
-    payloads.write_payloads(W(spark, sf), WEATHER_FIELDS, f"{root}/weather")
-    return f"{root}/air", f"{root}/weather"
+def _land_air(spark, sf) -> str:
+    path = f"{fresh_folder(spark, 'landing')}/air"
+    payloads.write_payloads(H(spark, sf), AIR_FIELDS, path)
+    return path
+
+
+def _land_weather(spark, sf) -> str:
+    path = f"{fresh_folder(spark, 'landing')}/weather"
+    payloads.write_payloads(W(spark, sf), WEATHER_FIELDS, path)
+    return path
 
 
 def payload_air(spark, sf):
-    return rounded(payloads.read_air(spark, _land(spark, sf)[0]))
+    return rounded(payloads.read_air(spark, _land_air(spark, sf)))
 
 
 def payload_weather(spark, sf):
-    return rounded(payloads.read_weather(spark, _land(spark, sf)[1]))
+    return rounded(payloads.read_weather(spark, _land_weather(spark, sf)))
 
 
 def payload_current(spark, sf):
@@ -124,7 +131,7 @@ def aligned_columns(spark, sf):
 
 def stream_refresh(spark, sf):
     """Both landed feeds through the streaming refresh, a few files at a time."""
-    air, weather = _land(spark, sf)
+    air, weather = _land_air(spark, sf), _land_weather(spark, sf)
     store = PanelStore(spark, fresh_folder(spark, "store"))
     start_refresh(
         spark, air, weather, store, fresh_folder(spark, "checkpoint"), files_per_batch=4
@@ -133,9 +140,10 @@ def stream_refresh(spark, sf):
 
 
 def stream_daily_mean(spark, sf):
-    air, _ = _land(spark, sf)
+    air = _land_air(spark, sf)
     store = PanelStore(spark, fresh_folder(spark, "store"))
-    table = ingest.daily_table(store)
+    # a table of its own: it has no weather
+    table = store.get_or_create("daily_air", ("city", "date"), "date")
     hours = payloads.read_air(spark, air, stream=True)
     start_daily_mean(
         hours, AIR_MEASURES, table, fresh_folder(spark, "checkpoint")
@@ -143,10 +151,50 @@ def stream_daily_mean(spark, sf):
     return rounded(table.read())
 
 
+def landing_check(spark, sf):
+    """Documents read and refused: those of one city are cut short, another's lack the city."""
+    air = _land_air(spark, sf)
+    text = spark.read.text(air)
+    cut = F.col("value").contains('"city":"click"')
+    nameless = F.col("value").contains('"city":"view"')
+    changed = F.when(cut, F.expr("left(value, length(value) - 9)")).when(
+        nameless, F.replace("value", F.lit('"city":"view",'), F.lit(""))
+    ).otherwise(F.col("value"))
+    path = fresh_folder(spark, "landing")
+    text.select(changed.alias("value")).write.text(path)
+    good, bad = payloads.sorted_out(spark, path, AIR_PAYLOAD)
+    read = good.agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("hourly.time")).alias("hours"))
+    refused = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+    return read.withColumn("outcome", F.lit("read")).unionByName(
+        refused.withColumnRenamed("reason", "outcome"), allowMissingColumns=True
+    )
+
+
+def upsert_empty_first(spark, sf):
+    """A first run over an empty window, then all rows."""
+    table = ingest.daily_table(PanelStore(spark, fresh_folder(spark, "store")))
+    rows = P(spark, sf)
+    table.upsert(rows.where(F.lit(False)))
+    before = table.read().count()
+    table.upsert(rows)
+    return rounded(table.read()).withColumn("before", F.lit(before).cast("bigint"))
+
+
+def upsert_new_column(spark, sf):
+    """Earlier rows lack a column that is declared later; every read shows it."""
+    table = ingest.daily_table(PanelStore(spark, fresh_folder(spark, "store")))
+    rows, cut = P(spark, sf), dt.date(2001, 6, 30)
+    table.upsert(rows.where(F.col("date") <= F.lit(cut)).drop("pressure"))
+    table.add_columns("pressure double")
+    table.upsert(rows.where(F.col("date") > F.lit(cut)))
+    late = table.read(since=dt.date(2001, 6, 1))
+    return rounded(late)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
+        landing_check, upsert_empty_first, upsert_new_column, payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
         stored_tables, stored_features, stored_trailing_window, aligned_columns, stream_refresh, stream_daily_mean,
     )
 }

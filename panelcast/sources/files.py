@@ -11,8 +11,10 @@ from panelcast.spec import AIR_CSV, DAILY_CSV, WEATHER_CSV
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A headed CSV. Empty cells are NULL; a header that disagrees raises."""
+    """A headed CSV. Empty cells are NULL; a header, cell or line that disagrees raises."""
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    # all cells are parsed, so that a line's length and types are seen whatever is read of it
+    reader = reader.option("mode", "FAILFAST").option("columnPruning", False)
     return nan_to_null(reader.csv(path))
 
 

@@ -30,7 +30,9 @@ def hourly_rows(
     """Unroll ``hourly{time[], field[], ...}`` to one row per city and hour."""
     names = ["time", *fields]
     zipped = F.arrays_zip(*(F.col(f"hourly.{n}").alias(n) for n in names))
-    rows = payloads.select("city", *keep, F.inline(zipped).alias(*names))
+    missing = F.raise_error(F.lit("a payload has no city")).cast("string")
+    city = F.coalesce("city", missing).alias("city")
+    rows = payloads.select(city, *keep, F.inline(zipped).alias(*names))
     return nan_to_null(
         rows.select(
             "city",
@@ -50,7 +52,7 @@ def _hourly(
     landed: bool,
     files_per_batch: int | None,
 ) -> DataFrame:
-    reader = (spark.readStream if stream else spark.read).schema(schema)
+    reader = (spark.readStream if stream else spark.read).schema(schema).option("mode", "FAILFAST")
     if stream and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     payloads = reader.json(path)
@@ -65,6 +67,24 @@ def _hourly(
     return hourly_rows(stamped, fields, LANDED)
 
 
+def sorted_out(
+    spark: SparkSession, path: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Documents that can be read, and the others as ``(document, reason)``.
+
+    The readers below raise at the first broken document; this is the way to
+    land the rest and look at what was refused.
+    """
+    broken = T.StructField("_broken", T.StringType())
+    kind = T.StructType([*schema.fields, broken]).simpleString()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken.name}
+    docs = spark.read.text(path).select("value", F.from_json("value", kind, options).alias("d"))
+    reason = F.when(F.col("d._broken").isNotNull(), "not readable").when(F.col("d.city").isNull(), "no city")
+    docs = docs.withColumn("reason", reason)
+    good = docs.where("reason IS NULL").select(*(f"d.{f.name}" for f in schema.fields))
+    return good, docs.where("reason IS NOT NULL").select(F.col("value").alias("document"), "reason")
+
+
 def read_air(
     spark: SparkSession,
     path: str,
@@ -105,5 +125,6 @@ def write_payloads(hourly: DataFrame, fields: Mapping[str, str], path: str) -> N
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The snapshot payload: one row per document."""
-    rows = spark.read.schema(CURRENT_PAYLOAD).json(path).select("current.*")
+    reader = spark.read.schema(CURRENT_PAYLOAD).option("mode", "FAILFAST")
+    rows = reader.json(path).select("current.*")
     return nan_to_null(rows.withColumn("time", parse_time("time")))

@@ -1,19 +1,21 @@
 """Versioned keyed tables on Parquet: get-or-create, read, upsert.
 
 Layout: ``<root>/_tables`` holds one catalog row per table and version;
-``<root>/<name>/v<version>/month=YYYY-MM/`` holds the rows. A table has one
-writer at a time: Spark replaces the touched months when the write commits, and
+``<root>/<name>/v<version>/month=YYYY-MM/`` holds the rows, and
+``<root>/<name>/v<version>.schema`` their columns, declared by the first batch and used
+by every read. A table has one writer at a time: Spark replaces the touched months when the write commits, and
 months it does not touch are left alone.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +54,17 @@ def _month(time: str) -> Column:
     return F.coalesce(F.date_format(time, "yyyy-MM"), missing)
 
 
+def _known(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The same rows; one with NULL in a key column raises, as no upsert could find it again."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def known(c: str) -> Column:
+        missing = F.raise_error(F.lit(f"NULL in key column {c}")).cast(kinds[c])
+        return F.when(F.col(c).isNull(), missing).otherwise(F.col(c))
+
+    return df.withColumns({c: known(c) for c in key})
+
+
 def latest_per_pk(df: DataFrame, pk: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """One row per primary key: the one with the highest ``newest`` columns.
 
@@ -66,7 +79,7 @@ def latest_per_pk(df: DataFrame, pk: Sequence[str], newest: Sequence[str]) -> Da
 def merge_rows(existing: DataFrame, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
     """``existing`` with the rows of ``batch`` replaced or added."""
     kept = existing.join(batch.select(*pk), list(pk), "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+    return kept.unionByName(batch)
 
 
 @dataclass(frozen=True)
@@ -80,12 +93,53 @@ class KeyedTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
+    @property
+    def _schema_path(self) -> str:
+        return f"{self.path}.schema"
+
+    def schema(self) -> T.StructType | None:
+        """The declared columns; None before the first batch."""
+        if path_exists(self.spark, self._schema_path):
+            return T.StructType.fromJson(json.loads(self.spark.read.text(self._schema_path).first()[0]))
+        if self.exists():  # written before schemas were kept
+            return self.spark.read.parquet(self.path).drop(MONTH).schema
+        return None
+
+    def _declare(self, schema: T.StructType) -> None:
+        row = self.spark.createDataFrame([(schema.json(),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(self._schema_path)
+
+    def add_columns(self, columns: str) -> None:
+        """Declare more columns, as in ``"x double"``; earlier rows are NULL there."""
+        have = self.schema()
+        if have is None:
+            raise ValueError("the table has no columns yet")
+        self._declare(T.StructType([*have.fields, *T.StructType.fromDDL(columns).fields]))
+
+    def _checked(self, batch: DataFrame) -> DataFrame:
+        """``batch`` in the declared order; other columns, types or NULL keys are refused."""
+        have = self.schema()
+        if have is None:
+            have = batch.schema
+        kinds, own = ({f.name: f.dataType for f in s.fields} for s in (have, batch.schema))
+        if kinds != own:
+            odd = sorted(c for c in kinds.keys() | own.keys() if kinds.get(c) != own.get(c))
+            raise ValueError(f"columns differ from the table's: {', '.join(odd)}")
+        if not path_exists(self.spark, self._schema_path):
+            self._declare(have)
+        keys = [c for c in self.primary_key if c != self.event_time]  # _month looks at that one
+        return _known(batch.select(*have.names), keys)
+
     def months(self) -> list[str]:
         """The months present, from one look at the table's folder."""
         prefix = f"{MONTH}="
         names = folder_names(self.spark, self.path)
         return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
 
+    def _reader(self) -> DataFrameReader:
+        schema = self.schema()
+        return self.spark.read if schema is None else self.spark.read.schema(schema)
+
     def read(
         self,
         since: dt.date | None = None,
@@ -97,7 +151,7 @@ class KeyedTable:
         With any bound only the folders of those months are listed and read.
         """
         if since is None and until is None and months is None:
-            return self.spark.read.parquet(self.path).drop(MONTH)
+            return self._reader().parquet(self.path).drop(MONTH)
         present = self.months()
         wanted = [
             m
@@ -109,7 +163,7 @@ class KeyedTable:
         if not wanted:
             return self.read().where(F.lit(False))
         folders = [f"{self.path}/{MONTH}={m}" for m in wanted]
-        df = self.spark.read.option("basePath", self.path).parquet(*folders).drop(MONTH)
+        df = self._reader().option("basePath", self.path).parquet(*folders).drop(MONTH)
         day = F.to_date(self.event_time)
         if since is not None:
             df = df.where(day >= F.lit(since))
@@ -138,10 +192,11 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, newest: Sequence[str] = ()) -> None:
         """Replace rows with equal primary key, add the rest, delete nothing.
 
-        Only the months in the batch are read and rewritten. Where one batch
+        Only the months in the batch are read and rewritten. A batch must have the
+        table's columns, and a value in each key column. Where one batch
         holds a key twice, the row with the highest ``newest`` columns wins.
         """
-        batch = latest_per_pk(batch, self.primary_key, newest).drop(*newest)
+        batch = self._checked(latest_per_pk(batch, self.primary_key, newest).drop(*newest))
         if not self.exists():
             self._write(batch)
             return
@@ -160,7 +215,7 @@ class KeyedTable:
 
         ``df`` must not read this table: write it elsewhere first.
         """
-        self._write(latest_per_pk(df, self.primary_key, ()), "static")
+        self._write(self._checked(latest_per_pk(df, self.primary_key, ())), "static")
 
     def _write(self, df: DataFrame, partitions: str = "dynamic") -> None:
         out = df.withColumn(MONTH, _month(self.event_time))

@@ -117,3 +117,42 @@ def test_trailing_reads_only_its_months(spark, store):
     assert part.count() == 16
     assert {f.split("month_part=")[1][:7] for f in part.inputFiles()} == {"2024-02", "2024-03"}
     assert table.last_day(dt.date(2020, 1, 1)) is None and table.trailing(1, dt.date(2020, 1, 1)).count() == 0
+
+
+def test_null_key_is_refused(spark, store):
+    table = keyed(store)
+    with pytest.raises(Exception, match="NULL in key column city"):
+        table.upsert(panel(spark, [("a", 1, 1.0), (None, 1, 2.0)]))
+
+
+def test_empty_first_batch_is_harmless(spark, store):
+    table = keyed(store)
+    none = panel(spark, [("a", 1, 1.0)]).where(F.lit(False))
+    table.upsert(none)
+    assert rows(table.read()) == [] and rows(table.trailing()) == []
+    table.upsert(panel(spark, [("a", 1, 1.0)]))
+    table.upsert(none)
+    assert rows(table.read()) == [("a", day(1), 1.0)]
+
+
+def test_other_columns_are_refused(spark, store):
+    table = keyed(store)
+    table.upsert(panel(spark, [("a", 1, 1.0)]).withColumn("pm10", F.lit(2.0)))
+    for batch in (
+        panel(spark, [("a", 1, 5.0)]),
+        panel(spark, [("a", 1, 5.0)]).withColumn("pm10", F.lit("2")),
+        panel(spark, [("a", 1, 5.0)]).withColumns({"pm10": F.lit(2.0), "x": F.lit(1)}),
+    ):
+        with pytest.raises(ValueError, match="columns differ"):
+            table.upsert(batch)
+    assert table.read().first().pm10 == 2.0
+
+
+def test_reads_show_the_declared_columns(spark, store):
+    table = keyed(store)
+    table.upsert(panel(spark, [("a", 1, 1.0)]))
+    table.add_columns("pm10 double")
+    table.upsert(panel(spark, [("a", 40, 2.0)]).withColumn("pm10", F.lit(3.0)))
+    for found in (table.read(), table.read(since=day(0)), table.read(months=["2024-01"])):
+        assert found.columns == ["city", "date", "pm2_5", "pm10"]
+    assert {(r.pm2_5, r.pm10) for r in table.read().collect()} == {(1.0, None), (2.0, 3.0)}
