@@ -17,7 +17,7 @@ from panelcast.functions.derived import TARGETS, feature_names
 from panelcast.functions.numbers import log_target
 from panelcast.models.absorb import AbsorbedLinear, fit_absorbed
 from panelcast.models.matrix import FEATURES, linear_feature_names, matrix_stages, spread
-from panelcast.operators.reshape import MAX_LEVEL_COLUMNS, TooManyLevels
+from panelcast.operators.reshape import MAX_LEVEL_COLUMNS
 
 SEED = 42
 # Spark's own limit, standing in for "no depth limit".
@@ -111,21 +111,16 @@ def fit(
     return Fitted(name, Pipeline(stages=stages).fit(train), tuple(features), key)
 
 
-def fit_linear(
-    train: DataFrame, horizon: int, key: str | None = "city", max_levels: int = MAX_LEVEL_COLUMNS
-) -> Fitted | AbsorbedLinear:
+def fit_linear(train: DataFrame, horizon: int, key: str | None = "city") -> Fitted | AbsorbedLinear:
     """Least squares of a horizon's target with an effect per key.
 
-    Up to ``max_levels`` keys get a column each, effects summing to zero; beyond
-    it the effects are absorbed, which gives the same forecasts.
+    Key effects are absorbed, however many keys there are; rows without a key
+    share an effect of their own.
     """
     names, label = linear_feature_names(horizon), TARGETS[horizon]
-    try:
-        return fit(
-            train, linear(), names, label, "linear", key, centred=True, max_levels=max_levels
-        )
-    except TooManyLevels:
-        return fit_absorbed(train, names, label, key)
+    if key is None:
+        return fit(train, linear(), names, label, "linear", None)
+    return fit_absorbed(train, names, label, key)
 
 
 def fit_forest(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted:

@@ -6,6 +6,7 @@ so a loaded model needs nothing but the raw columns.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
@@ -99,12 +100,20 @@ def matrix_stages(
     return stages
 
 
+# Rows of a training task: few at first, so that small tables use many cores, more
+# once there are PARTS tasks.
+ROWS_PER_PART = 2_000
+PARTS = 4_096
+MOST_ROWS_PER_PART = 1_000_000
+
+
 def spread(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The training columns over all cores, rows placed by their content.
+    """The training columns dealt by content, in an order given by content.
 
-    Growing trees passes over the rows once per level, so a small table in few
-    files would keep most cores idle. Placement by content keeps a seeded forest
-    the same however the rows were stored.
+    How many parts there are depends on the number of rows alone, so a seeded
+    forest is the same on any number of cores and however the rows were stored.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.select(*columns).repartition(cores, F.xxhash64(*columns))
+    rows = train.select(*columns)
+    n = rows.count()
+    parts = min(math.ceil(n / ROWS_PER_PART), max(PARTS, math.ceil(n / MOST_ROWS_PER_PART)))
+    return rows.repartition(max(1, parts), F.xxhash64(*columns)).sortWithinPartitions(*columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.derived import TARGETS, with_derived
 from panelcast.models import explain
+from panelcast.models.absorb import fit_absorbed
 from panelcast.models.fit import fit_boosted, fit_forest, fit_linear, fit_log_forest
 from panelcast.models.registry import ModelRegistry
 from panelcast.models.together import together
@@ -16,6 +17,7 @@ from panelcast.plans import features, forecast, ingest, serve, train
 from panelcast.plans.sample_queries import BOUNDS, PANEL_AS_OF, H, P, panel, rounded
 from panelcast.plans.views import horizon_matrix
 from panelcast.session import fresh_folder
+from panelcast.sources.sample import table
 from panelcast.sources.store import PanelStore
 
 SMALL_FOREST = {"trees": 20, "depth": 5, "leaf": 3}
@@ -75,6 +77,18 @@ def linear_metrics(spark, sf):
     )
 
 
+def linear_many_keys(spark, sf):
+    """Least squares with an effect per part, and one for the rows whose part is unknown."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey")).alias("part"),
+        *(F.col(c).cast("double").alias(c) for c in ("l_quantity", "l_discount", "l_extendedprice")),
+    )
+    fitted = fit_absorbed(rows, ["l_quantity", "l_discount"], "l_extendedprice", "part")
+    scored = fitted.score(rows)
+    return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
+
+
 def forest_forecast(spark, sf):
     return rounded(_forecast(spark, sf, lambda rows, h: fit_forest(rows, h, **SMALL_FOREST)))
 
@@ -174,7 +188,7 @@ def param_sweep(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        linear_forecast, linear_metrics, forest_forecast, boosted_forecast, log_forest,
+        linear_forecast, linear_metrics, linear_many_keys, forest_forecast, boosted_forecast, log_forest,
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
         horizon_comparison, param_sweep,
     )

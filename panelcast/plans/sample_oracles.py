@@ -384,6 +384,16 @@ ORACLES["linear_metrics"] = _OLS + "\nUNION ALL ".join(
     for h in (1, 2, 3)
 )
 
+ORACLES["linear_many_keys"] = """WITH r AS (
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS part,
+         CAST(l_quantity AS DOUBLE) AS q, CAST(l_discount AS DOUBLE) AS d, CAST(l_extendedprice AS DOUBLE) AS y
+  FROM lineitem),
+c AS (SELECT *, q - avg(q) OVER k AS cq, d - avg(d) OVER k AS cd, y - avg(y) OVER k AS cy, avg(y) OVER k AS my
+  FROM r WINDOW k AS (PARTITION BY part)),
+s AS (SELECT sum(cq * cq) AS qq, sum(cd * cd) AS dd, sum(cq * cd) AS qd, sum(cq * cy) AS qy, sum(cd * cy) AS dy FROM c),
+w AS (SELECT (qy * dd - dy * qd) / (qq * dd - qd * qd) AS wq, (dy * qq - qy * qd) / (qq * dd - qd * qd) AS wd FROM s)
+SELECT l_orderkey, l_linenumber, round(my + wq * cq + wd * cd, 3) AS prediction FROM c, w"""
+
 # --- sources, sinks, streams ------------------------------------------------------
 
 _WEATHER = _MEASURES[2:]

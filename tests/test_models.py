@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.functions.derived import INPUTS, TARGETS, feature_names, with_derived
-from panelcast.models import explain, search
+from panelcast.models import explain, matrix, search
 from panelcast.models.fit import fit, fit_forest, fit_linear, fit_log_forest, linear
 from panelcast.models.matrix import linear_feature_names
 from panelcast.models.registry import ModelRegistry
@@ -73,8 +73,9 @@ def test_least_squares_equals_the_minimum_norm_solution(spark, made):
 def test_absorbed_key_effects_give_the_same_forecasts(spark, made):
     """And the same after a round trip through the registry."""
     rows = made.unionByName(made.limit(3).withColumn("city", F.lit("z")))
-    expected = fit_linear(made, 1)
-    absorbed = fit_linear(made, 1, max_levels=2)
+    names = matrix.linear_feature_names(1)
+    expected = fit(made, linear(), names, "target_1d", "linear", centred=True)
+    absorbed = fit_linear(made, 1)
     assert (expected.form, absorbed.form) == ("pipeline", "absorbed")
     registry = ModelRegistry(spark, fresh_folder(spark, "models"))
     registry.register("m", absorbed, {"r2": 0.5})
@@ -291,3 +292,23 @@ def test_top_impacts(spark):
     top = explain.top_impacts(df, ["city"], 10).orderBy("place").collect()
     assert [r.feature for r in top] == [f"f{i}" for i in range(4, 14)]
     assert top[-1].direction == "lowers" and top[0].direction == "raises"
+
+
+def test_forest_does_not_depend_on_the_number_of_tasks(made, monkeypatch):
+    """The same rows from 1 and from 7 stored parts, forests of several tasks."""
+    monkeypatch.setattr(matrix, "ROWS_PER_PART", 100)
+    sums = {
+        fit_forest(made.repartition(n), 1, trees=5, depth=4).score(made).agg(F.sum("prediction")).first()[0]
+        for n in (1, 7)
+    }
+    context = made.sparkSession.sparkContext
+    monkeypatch.setattr(type(context), "defaultParallelism", property(lambda self: 3))
+    sums.add(fit_forest(made, 1, trees=5, depth=4).score(made).agg(F.sum("prediction")).first()[0])
+    assert len({round(s, 6) for s in sums}) == 1
+
+
+def test_rows_without_a_key_share_an_effect(made):
+    rows = made.withColumn("city", F.when(F.col("city") != "a", F.col("city")))
+    named = made.withColumn("city", F.when(F.col("city") != "a", F.col("city")).otherwise("none"))
+    gap = fit_linear(rows, 1).score(rows, "p").join(fit_linear(named, 1).score(named, "q").drop("city"), [c for c in made.columns if c != "city"])
+    assert gap.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-8
