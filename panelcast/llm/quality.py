@@ -127,8 +127,8 @@ def base_failed(c: Column) -> Column:
     return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
 
 
-def judged(df: DataFrame, text: str, into: str, rounds: int = ROUNDS) -> DataFrame:
-    """The rows of ``df``, with a struct ``into``: the counts, ``base_failed``, ``posterior``, ``kept``.
+def judged(df: DataFrame, text: str, into: str, rounds: int = ROUNDS, carry_text: bool = True) -> DataFrame:
+    """The rows of ``df`` (without the text unless ``carry_text``), with a struct ``into``: the counts, ``base_failed``, ``posterior``, ``kept``.
 
     The rows are written once, with their counts, and the verdict is a look-up of their votes.
     """
@@ -136,7 +136,8 @@ def judged(df: DataFrame, text: str, into: str, rounds: int = ROUNDS) -> DataFra
     rows = counts(df, text, c)
     every = votes(F.col(c))
     ballot = F.concat_ws(",", *(v.cast("string") for v in every.values()))
-    rows = stored(rows.withColumn(code, ballot), "quality")
+    rows = rows.withColumn(code, ballot)
+    rows = stored(rows if carry_text else rows.drop(text), "quality")
     tally = rows.groupBy(code).agg(F.count("*").alias("n")).collect()  # at most 3^rules rows
     found = fit([(tuple(map(int, r[code].split(","))), r["n"]) for r in tally], rounds)
     return rows.withColumn(c, _verdict(F.col(c), F.col(code), found)).drop(code)

@@ -70,7 +70,7 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rows = quality.judged(table(spark, folder, "documents").select("doc_id", "text"), "text", "q")
+    rows = quality.judged(table(spark, folder, "documents").select("doc_id", "text"), "text", "q", carry_text=False)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return rows.select("doc_id", *(F.col(f"q.{n}").alias(n) for n in names))
 
