@@ -178,8 +178,8 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """doc_id, print, item_id, score, first_word, last_word: texts that hold (a part of) an item, at its best."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole(F.col(text)).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("print"), "text")
-    tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), whole(F.col(item_text)).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("print"), F.lower("text").alias("text"))
+    tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.lower(whole(F.col(item_text))).alias("text"))
     runs = stored(tests.mapInArrow(_runs, RUNS), "runs")
     lengths = [r.n for r in runs.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().collect()]  # at most SEED rows
     shared = spark.sparkContext.broadcast(bitmap(runs))

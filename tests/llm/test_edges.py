@@ -81,6 +81,13 @@ def test_edited_leak(spark, items):
     assert (row.doc_id, row.item_id) == (1, 3) and 0.5 <= row.score < 1
 
 
+def test_leak_in_capitals_of_any_alphabet(spark):
+    words = " ".join(f"é{chr(0x430 + i)}ñ{i}" for i in range(20))
+    tests = spark.createDataFrame([(1, words)], ITEMS)
+    docs = spark.createDataFrame([(1, "X! " + words.upper() + " Y"), (2, "é")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.score) for r in leaks.matches(docs, tests).collect()] == [(1, 1.0)]
+
+
 def test_chat(spark):
     kind = "conv_id bigint, turn bigint, role string, text string, speaker string"
     rows = [(1, 0, "system", "be kind", "x"), (1, 1, "ann", "hi <|end|>", "x"), (1, 1, "ann", "hi <|end|>", "x"), (1, 2, "bob", None, "x"), (1, None, None, "?", "x"), (None, 0, "eve", "é", "x"), (3, 0, "system", "only", "x")]
