@@ -7,8 +7,8 @@ day is missing the previous row is an older day.
 A plain window puts a whole series into one task. That is bounded for daily
 panels (366 rows a year and key) but not for finer grains, where one key may
 hold a large part of all rows. ``with_windows(..., chunk=...)`` cuts each series
-into time chunks and gives every chunk the few rows before and after it that its
-windows reach, so a series of any length is spread over many tasks.
+into time chunks, so a series of any length is spread over many tasks, and looks
+at the rows near the chunks' ends once more together.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from panelcast.spec import PanelSpec
 
 CHUNK = "_chunk"
-HALO = "_halo"
+PLACE = "_place"
+ENDS = "_ends"
 
 
 @dataclass(frozen=True)
@@ -100,70 +101,42 @@ def with_windows(
     """
     if chunk is None:
         return df.withColumns(window_columns(recipe, spec.window()))
-    chunked = with_halo(df, spec, recipe.value, recipe.rows_before, recipe.rows_after, chunk)
-    return (
-        chunked.withColumns(window_columns(recipe, spec.window(CHUNK)))
-        .where(~F.col(HALO))
-        .drop(CHUNK, HALO)
-    )
-
+    reach = recipe.rows_before + recipe.rows_after
+    if not reach:
+        return _in_chunks(df, spec, chunk).withColumns(window_columns(recipe, spec.window(CHUNK))).drop(CHUNK)
+    rows = with_ends(df, spec, recipe.rows_before, recipe.rows_after, chunk)
+    part = Window.partitionBy(*spec.keys, ENDS, CHUNK).orderBy(spec.time, PLACE)
+    return rows.withColumns(window_columns(recipe, part)).where("_own").drop(CHUNK, PLACE, ENDS, "_own")
 
-def _edge(rows: DataFrame, spec: PanelSpec, size: int, last: bool) -> DataFrame:
-    """The first or last ``size`` rows of each chunk.
 
-    Spark turns the rank filter into a per-task limit ahead of the shuffle.
-    """
-    time = F.col(spec.time)
-    order = time.desc() if last else time.asc()
-    rank = F.row_number().over(Window.partitionBy(*spec.keys, CHUNK).orderBy(order))
-    return (
-        rows.withColumn("_rank", rank)
-        .where(F.col("_rank") <= size)
-        .drop("_rank")
-        .withColumn("_last", F.lit(last))
-    )
+def _in_chunks(df: DataFrame, spec: PanelSpec, chunk: str) -> DataFrame:
+    return df.withColumn(CHUNK, F.date_trunc(chunk, F.col(spec.time).cast("timestamp")))
 
 
-def with_halo(
-    df: DataFrame, spec: PanelSpec, value: str, before: int, after: int, chunk: str
-) -> DataFrame:
-    """``df`` plus copies of the rows each chunk's windows reach outside it.
+def with_ends(df: DataFrame, spec: PanelSpec, before: int, after: int, chunk: str) -> DataFrame:
+    """Every row in its chunk, and copies of the rows near the ends of all chunks of a series.
 
-    Copies carry only keys, time and ``value`` and are marked by ``_halo``. As
-    every chunk present has a row, the last ``before`` rows ahead of a chunk lie
-    within the ``before`` chunks preceding it, however sparse they are; likewise
-    after it. What travels between chunks is at most ``before + after`` rows per
-    chunk, whatever the length of the series.
+    A row whose windows stay inside its chunk (``before`` rows ahead of it, ``after``
+    behind it) is right there. The others are right among the copies: these hold the
+    first and last ``before + after`` rows of each chunk, hence every row such a window
+    reaches without a gap, however sparse the chunks. ``_own`` marks the one of the two that
+    counts. Copies have no chunk: the ends of one series meet in one task, at most
+    ``2 * (before + after)`` rows a chunk. ``_place`` is a row's number in its chunk, so that rows
+    of one time keep one order. The input is read once and shuffled by chunk once.
     """
-    base = df.withColumn(CHUNK, F.date_trunc(chunk, F.col(spec.time).cast("timestamp")))
-    slim = base.select(*spec.keys, CHUNK, F.col(spec.time), F.col(value))
-    edges = None
-    for size, last in ((before, True), (after, False)):
-        if size:
-            part = _edge(slim, spec, size, last)
-            edges = part if edges is None else edges.unionByName(part)
-    whole = base.withColumn(HALO, F.lit(False))
-    if edges is None:
-        return whole
-
-    row = F.struct(F.col(spec.time), F.col(value))
-    per_chunk = edges.groupBy(*spec.keys, CHUNK).agg(
-        F.array_sort(F.collect_list(F.when(F.col("_last"), row))).alias("_tail"),
-        F.array_sort(F.collect_list(F.when(~F.col("_last"), row))).alias("_head"),
-    )
-    chunks = Window.partitionBy(*spec.keys).orderBy(CHUNK)
-    reach = []
-    if before:
-        rows = F.flatten(F.collect_list("_tail").over(chunks.rowsBetween(-before, -1)))
-        start = F.greatest(F.size(rows) - before + 1, F.lit(1))
-        reach.append(F.slice(rows, start, F.lit(before)))
-    if after:
-        rows = F.flatten(F.collect_list("_head").over(chunks.rowsBetween(1, after)))
-        reach.append(F.slice(rows, F.lit(1), F.lit(after)))
-    halo = per_chunk.select(*spec.keys, CHUNK, F.concat(*reach).alias("_reach")).select(
-        *spec.keys, CHUNK, F.inline("_reach").alias(spec.time, value), F.lit(True).alias(HALO)
+    own = Window.partitionBy(*spec.keys, CHUNK)
+    size, place = F.count(F.lit(1)).over(own), F.row_number().over(own.orderBy(spec.time))
+    rows = _in_chunks(df, spec, chunk).withColumns({PLACE: place, "_size": size})
+    behind = F.col("_size") - F.col(PLACE)
+    inside = (F.col(PLACE) > before) & (behind >= after)
+    near = (F.col(PLACE) <= before + after) | (behind < before + after)
+    copies = F.when(near, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return (
+        rows.withColumn("_inside", inside)
+        .withColumn(ENDS, F.explode(copies))
+        .withColumns({CHUNK: F.when(~F.col(ENDS), F.col(CHUNK)), "_own": F.col("_inside") != F.col(ENDS)})
+        .drop("_size", "_inside")
     )
-    return whole.unionByName(halo, allowMissingColumns=True)
 
 
 def latest_rows(df: DataFrame, spec: PanelSpec) -> DataFrame:

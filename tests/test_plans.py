@@ -42,9 +42,13 @@ def test_latest_rows_limit_each_task_first(spark, small):
     assert "WindowGroupLimit" in plan(windows.latest_rows(sample.daily_panel(spark, small), DAILY))
 
 
-def test_chunk_edges_limit_each_task_first(spark, small):
-    df = features.daily_features(sample.daily_panel(spark, small), chunk="quarter")
-    assert "WindowGroupLimit" in plan(df)
+def test_chunked_windows_read_their_input_once(spark, small):
+    """One scan and one exchange more than the plain form: nothing is computed twice."""
+    source = sample.daily_panel(spark, small)
+    plain, chunked = features.daily_features(source), features.daily_features(source, chunk="quarter")
+    assert plan(chunked).count("FileScan") == plan(plain).count("FileScan")
+    assert count(chunked, "Exchange") <= count(plain, "Exchange") + 2
+    assert count(chunked, "Sort") <= count(plain, "Sort") + 2
 
 
 def test_date_filters_reach_the_scan(spark, small):

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from frames import by_key, day, panel
+from pyspark.sql import functions as F
 
 from panelcast.operators.windows import (
     DAILY_RECIPE,
@@ -92,6 +93,20 @@ def test_chunks_without_a_look_back_or_ahead(spark):
         )
 
 
+def test_chunks_with_repeated_and_missing_times(spark):
+    """Rows of one moment keep their number; a row without time is its series' first."""
+    rows = [("a", i // 2, 1.0) for i in range(80)] + [(None, i, 1.0) for i in range(40)]
+    df = panel(spark, rows).unionByName(panel(spark, [("a", 0, 1.0)]).withColumn("date", F.lit(None).cast("date")))
+    recipe = WindowRecipe(lags=(1, 3), trailing=(3,), leads=(1, 2))
+    for unit in (None, "day", "week", "month"):
+        out = with_windows(df, SPEC, recipe, unit).orderBy("city", "date")
+        assert out.columns == [*df.columns, *recipe.names()]
+        found = out.groupBy("city").agg(*(F.count(c).alias(c) for c in recipe.names()), F.count("*").alias("n")).collect()
+        assert sorted((r.city or "", r.n, *(r[c] for c in recipe.names())) for r in found) == [
+            ("", 40, 39, 37, 37, 39, 38), ("a", 81, 80, 78, 78, 80, 79),
+        ]
+
+
 def test_latest_rows(spark):
     df = panel(spark, [("a", 1, 1.0), ("a", 3, 3.0), ("b", 2, 2.0)])
     assert {(r.city, r.pm2_5) for r in latest_rows(df, SPEC).collect()} == {("a", 3.0), ("b", 2.0)}
