@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.operators.ranks import quantiles, read_tallies, tally_columns
+from panelcast.session import saved
 
 
 def _long(row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
@@ -65,9 +66,13 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles per column.
+
+    The columns are saved first: ``df`` is computed once, every pass reads the saved columns.
+    """
     if columns is None:
         columns = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    df = saved(df.select(*columns), "columns")
     stats = df.agg(
         *tally_columns(columns),
         *(

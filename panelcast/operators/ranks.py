@@ -6,8 +6,10 @@ rank is closed in on instead: an approximate quantile gives two values around
 it, one counting pass tells exactly where the rank lies relative to them, and
 the search goes on between them until few distinct values are left. Every pass
 is a map-side aggregate; the driver sees a handful of numbers, and in the end at
-most about ``SMALL`` (value, count) pairs per interval. A column with few
+most about ``SMALL`` (value, count) pairs, which all ranks share. A column with few
 distinct values, such as dates, skips the search however many rows there are.
+
+Every pass reads the input again: give a stored table, or ``session.saved`` columns.
 """
 
 from __future__ import annotations
@@ -52,7 +54,6 @@ class _Search:
             test = test & (value < self.literal(self.below))
         return F.when(test, value)
 
-
     def is_small(self, small: int) -> bool:
         return min(self.count, self.distinct) <= small
 
@@ -92,7 +93,8 @@ def order_statistics(
 ) -> dict[str, list[Any]]:
     """For each column the values at the given zero-based ranks, NULLs left out.
 
-    A rank past the end gives None.
+    A rank past the end gives None. At most about ``small`` values come to the driver, or one
+    per rank where there are more ranks than that.
     """
     tallies = tallies or count_values(df, list(ranks))
     searches = [
@@ -101,7 +103,7 @@ def order_statistics(
         for rank in wanted
     ]
     valid = [s for s in searches if 0 <= s.rank < s.count]
-    while open_ := [s for s in valid if s.answer is None and not s.is_small(small)]:
+    while open_ := _too_large([s for s in valid if s.answer is None], small):
         _narrow(df, open_)
     _finish(df, [s for s in valid if s.answer is None])
     found: dict[str, list[Any]] = {column: [] for column in ranks}
@@ -110,6 +112,13 @@ def order_statistics(
     return found
 
 
+def _too_large(searches: list[_Search], small: int) -> list[_Search]:
+    """The searches to narrow before all intervals together have at most ``small`` values."""
+    groups = _intervals(searches)
+    share = max(1, small // max(1, len(groups)))
+    return [s for members in groups for s in members if not s.is_small(share)]
+
+
 def _intervals(searches: list[_Search]) -> list[list[_Search]]:
     """Searches that still look between the same bounds of the same column."""
     groups: dict[tuple, list[_Search]] = {}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import literal
 from panelcast.operators.ranks import count_values, order_statistics
+from panelcast.session import saved
 
 
 @dataclass(frozen=True)
@@ -53,10 +54,14 @@ def event_time_split(
 
 
 def chronological_cutoff(df: DataFrame, time: str, share: float = 0.8) -> Any:
-    """The time of row ``int(n * share)`` in time order: where the test part starts."""
-    tallies = count_values(df, [time])
+    """The time of row ``int(n * share)`` in time order: where the test part starts.
+
+    The column is saved first, so that ``df`` is computed once however long the search.
+    """
+    times = saved(df.select(time), "times")
+    tallies = count_values(times, [time])
     rank = int(tallies[time].count * share)
-    return order_statistics(df, {time: [rank]}, tallies=tallies)[time][0]
+    return order_statistics(times, {time: [rank]}, tallies=tallies)[time][0]
 
 
 def chronological_tag(df: DataFrame, time: str, share: float = 0.8) -> Column:
@@ -90,17 +95,14 @@ def expanding_folds(df: DataFrame, time: str = "date", splits: int = 3) -> Folds
     With ``n`` distinct times each test fold has ``t = n // (splits + 1)`` of
     them and the last fold ends with the last time.
     """
-    times = df.select(time).distinct().persist()
-    try:
-        tallies = count_values(times, [time])
-        total = tallies[time].count
-        size = total // (splits + 1)
-        if size == 0:
-            raise ValueError(f"{total} distinct times are too few for {splits} folds")
-        ranks = [total - (splits - i) * size for i in range(splits)]
-        starts = order_statistics(times, {time: ranks}, tallies=tallies)[time]
-    finally:
-        times.unpersist()
+    times = saved(df.select(time).distinct(), "times")
+    tallies = count_values(times, [time])
+    total = tallies[time].count
+    size = total // (splits + 1)
+    if size == 0:
+        raise ValueError(f"{total} distinct times are too few for {splits} folds")
+    ranks = [total - (splits - i) * size for i in range(splits)]
+    starts = order_statistics(times, {time: ranks}, tallies=tallies)[time]
     return Folds(tuple(starts))
 
 

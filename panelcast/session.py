@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = 8, name: str = "panelcast", memory: str = "12g") -> SparkSession:
@@ -45,3 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new path of its own below the shared folder."""
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written to the shared folder and read back: whoever reads them
+    several times computes them once, and a lost executor costs no recomputation."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

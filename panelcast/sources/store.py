@@ -1,10 +1,11 @@
 """Versioned keyed tables on Parquet: get-or-create, read, upsert.
 
 Layout: ``<root>/_tables`` holds one catalog row per table and version;
-``<root>/<name>/v<version>/month=YYYY-MM/`` holds the rows, and
+``<root>/<name>/v<version>/month_part=YYYY-MM/`` holds the rows, and
 ``<root>/<name>/v<version>.schema`` their columns, declared by the first batch and used
-by every read. A table has one writer at a time: Spark replaces the touched months when the write commits, and
-months it does not touch are left alone.
+by every read. A table whose unit is the day has a folder per day instead: what a batch rewrites is
+whole units. A table has one writer at a time: Spark replaces the touched folders when the write
+commits, and folders it does not touch are left alone.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONTH = "month_part"
+#: How a unit names its folders: the column, and the same format for Spark and for Python.
+UNITS = {"month": ("month_part", "yyyy-MM", "%Y-%m"), "day": ("day_part", "yyyy-MM-dd", "%Y-%m-%d")}
 
 CATALOG = T.StructType(
     [
@@ -28,6 +30,7 @@ CATALOG = T.StructType(
         T.StructField("description", T.StringType()),
         T.StructField("primary_key", T.ArrayType(T.StringType()), False),
         T.StructField("event_time", T.StringType(), False),
+        T.StructField("unit", T.StringType()),  # NULL in catalogs older than units: month
     ]
 )
 
@@ -48,12 +51,6 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())
 
 
-def _month(time: str) -> Column:
-    """The month folder of a row; a row without event time has none and raises."""
-    missing = F.raise_error(F.lit(f"NULL in event time {time}")).cast("string")
-    return F.coalesce(F.date_format(time, "yyyy-MM"), missing)
-
-
 def _known(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The same rows; one with NULL in a key column raises, as no upsert could find it again."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -89,6 +86,20 @@ class KeyedTable:
     primary_key: tuple[str, ...]
     event_time: str
     description: str | None = None
+    unit: str = "month"
+
+    @property
+    def _part(self) -> str:
+        return UNITS[self.unit][0]
+
+    def part_of(self, day: dt.date) -> str:
+        """The folder name of a day's rows."""
+        return day.strftime(UNITS[self.unit][2])
+
+    def part(self) -> Column:
+        """The folder name of a row; a row without event time has none and raises."""
+        missing = F.raise_error(F.lit(f"NULL in event time {self.event_time}")).cast("string")
+        return F.coalesce(F.date_format(self.event_time, UNITS[self.unit][1]), missing)
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -102,7 +113,7 @@ class KeyedTable:
         if path_exists(self.spark, self._schema_path):
             return T.StructType.fromJson(json.loads(self.spark.read.text(self._schema_path).first()[0]))
         if self.exists():  # written before schemas were kept
-            return self.spark.read.parquet(self.path).drop(MONTH).schema
+            return self.spark.read.parquet(self.path).drop(self._part).schema
         return None
 
     def _declare(self, schema: T.StructType) -> None:
@@ -127,12 +138,12 @@ class KeyedTable:
             raise ValueError(f"columns differ from the table's: {', '.join(odd)}")
         if not path_exists(self.spark, self._schema_path):
             self._declare(have)
-        keys = [c for c in self.primary_key if c != self.event_time]  # _month looks at that one
+        keys = [c for c in self.primary_key if c != self.event_time]  # part() looks at that one
         return _known(batch.select(*have.names), keys)
 
-    def months(self) -> list[str]:
-        """The months present, from one look at the table's folder."""
-        prefix = f"{MONTH}="
+    def parts(self) -> list[str]:
+        """The months, or days, present: from one look at the table's folder."""
+        prefix = f"{self._part}="
         names = folder_names(self.spark, self.path)
         return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
 
@@ -144,26 +155,26 @@ class KeyedTable:
         self,
         since: dt.date | None = None,
         until: dt.date | None = None,
-        months: Sequence[str] | None = None,
+        parts: Sequence[str] | None = None,
     ) -> DataFrame:
         """The rows, ``since`` and ``until`` included.
 
-        With any bound only the folders of those months are listed and read.
+        With any bound only the folders of those months, or days, are listed and read.
         """
-        if since is None and until is None and months is None:
-            return self._reader().parquet(self.path).drop(MONTH)
-        present = self.months()
+        if since is None and until is None and parts is None:
+            return self._reader().parquet(self.path).drop(self._part)
+        asked = None if parts is None else set(parts)
         wanted = [
-            m
-            for m in present
-            if (months is None or m in set(months))
-            and (since is None or m >= f"{since:%Y-%m}")
-            and (until is None or m <= f"{until:%Y-%m}")
+            p
+            for p in self.parts()
+            if (asked is None or p in asked)
+            and (since is None or p >= self.part_of(since))
+            and (until is None or p <= self.part_of(until))
         ]
         if not wanted:
             return self.read().where(F.lit(False))
-        folders = [f"{self.path}/{MONTH}={m}" for m in wanted]
-        df = self._reader().option("basePath", self.path).parquet(*folders).drop(MONTH)
+        folders = [f"{self.path}/{self._part}={p}" for p in wanted]
+        df = self._reader().option("basePath", self.path).parquet(*folders).drop(self._part)
         day = F.to_date(self.event_time)
         if since is not None:
             df = df.where(day >= F.lit(since))
@@ -172,11 +183,11 @@ class KeyedTable:
         return df
 
     def last_day(self, until: dt.date | None = None) -> dt.date | None:
-        """The last event day, up to ``until``: months are read newest first, and
+        """The last event day, up to ``until``: folders are read newest first, and
         the first one with a row ends the search."""
-        for month in reversed(self.months()):
-            if until is None or month <= f"{until:%Y-%m}":
-                rows = self.read(until=until, months=[month])
+        for part in reversed(self.parts()):
+            if until is None or part <= self.part_of(until):
+                rows = self.read(until=until, parts=[part])
                 day = rows.agg(F.max(F.to_date(self.event_time))).first()[0]
                 if day is not None:
                     return day
@@ -192,7 +203,7 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, newest: Sequence[str] = ()) -> None:
         """Replace rows with equal primary key, add the rest, delete nothing.
 
-        Only the months in the batch are read and rewritten. A batch must have the
+        Only the folders of the batch are read and rewritten. A batch must have the
         table's columns, and a value in each key column. Where one batch
         holds a key twice, the row with the highest ``newest`` columns wins.
         """
@@ -203,10 +214,10 @@ class KeyedTable:
         # The batch is used three times below; executors keep it, spilling to disk.
         batch = batch.persist()
         try:
-            # One short string per month touched: the driver holds no rows.
-            months = [r[0] for r in batch.select(_month(self.event_time)).distinct().collect()]
-            if months:
-                self._write(merge_rows(self.read(months=months), batch, self.primary_key))
+            # One short string per folder touched: the driver holds no rows.
+            parts = [r[0] for r in batch.select(self.part()).distinct().collect()]
+            if parts:
+                self._write(merge_rows(self.read(parts=parts), batch, self.primary_key))
         finally:
             batch.unpersist()
 
@@ -218,14 +229,14 @@ class KeyedTable:
         self._write(self._checked(latest_per_pk(df, self.primary_key, ())), "static")
 
     def _write(self, df: DataFrame, partitions: str = "dynamic") -> None:
-        out = df.withColumn(MONTH, _month(self.event_time))
-        # Rebalancing gathers each month into few files, and splits a month too
+        out = df.withColumn(self._part, self.part())
+        # Rebalancing gathers each folder into few files, and splits one too
         # large for one task.
         (
-            out.hint("rebalance", MONTH)
+            out.hint("rebalance", self._part)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", partitions)
-            .partitionBy(MONTH)
+            .partitionBy(self._part)
             .parquet(self.path)
         )
 
@@ -257,6 +268,7 @@ class PanelStore:
             tuple(found.primary_key),
             found.event_time,
             found.description,
+            found.unit or "month",
         )
 
     def get(self, name: str, version: int = 1) -> KeyedTable:
@@ -272,16 +284,20 @@ class PanelStore:
         event_time: str,
         version: int = 1,
         description: str | None = None,
+        unit: str = "month",
     ) -> KeyedTable:
+        """``unit`` is the span of a folder, ``month`` or ``day``: choose what one batch rewrites."""
+        if unit not in UNITS:
+            raise ValueError(f"unit {unit} is not one of {', '.join(UNITS)}")
         table = self._lookup(name, version)
         if table is None:
-            row = [(name, version, description, list(primary_key), event_time)]
+            row = [(name, version, description, list(primary_key), event_time, unit)]
             self.spark.createDataFrame(row, CATALOG).write.mode("append").parquet(
                 self._catalog_path
             )
             table = self.get(name, version)
-        if table.primary_key != tuple(primary_key) or table.event_time != event_time:
-            raise ValueError(f"{name} version {version} has another key or event time")
+        if (table.primary_key, table.event_time, table.unit) != (tuple(primary_key), event_time, unit):
+            raise ValueError(f"{name} version {version} has another key, event time or unit")
         return table
 
     def read(

@@ -31,7 +31,7 @@ def landed_feeds(
 
 def _raw_table(store: PanelStore, feed: str, spec: PanelSpec) -> KeyedTable:
     return store.get_or_create(
-        f"hourly_{feed}", spec.primary_key, spec.time, 1, f"Hourly {feed} as landed"
+        f"hourly_{feed}", spec.primary_key, spec.time, 1, f"Hourly {feed} as landed", unit="day"
     )
 
 
@@ -65,8 +65,9 @@ def refresh_batch(
 
 def _upsert_days(store: PanelStore, batch: DataFrame) -> None:
     day = F.to_date("time").alias("date")
-    span = batch.agg(F.min("time").alias("first"), F.max("time").alias("last")).first()
-    if span.first is None:
+    # One date per day touched, however far apart: an hour that is a year late reads one more folder.
+    days = [r.date for r in batch.select(day).distinct().where("date is not null").collect()]
+    if not days:
         return
     tables = {
         AIR: (_raw_table(store, AIR, HOURLY_AIR), HOURLY_AIR),
@@ -81,7 +82,8 @@ def _upsert_days(store: PanelStore, batch: DataFrame) -> None:
     touched = batch.select("city", day).distinct()
 
     def hours(feed: str) -> DataFrame:
-        rows = tables[feed][0].read(span["first"].date(), span["last"].date())
+        table = tables[feed][0]
+        rows = table.read(parts=[table.part_of(d) for d in days])
         return rows.withColumn("date", F.to_date("time")).join(
             touched, ["city", "date"], "left_semi"
         )

@@ -80,7 +80,7 @@ def test_read_bounds_prune_months(spark, store):
     assert part.count() == 25
     assert {f.split("month_part=")[1][:7] for f in part.inputFiles()} == {"2024-02", "2024-03"}
     assert table.read(since=dt.date(2030, 1, 1)).count() == 0
-    assert table.months() == ["2024-01", "2024-02", "2024-03", "2024-04"]
+    assert table.parts() == ["2024-01", "2024-02", "2024-03", "2024-04"]
 
 
 def test_missing_event_time_is_refused(spark, store):
@@ -153,6 +153,6 @@ def test_reads_show_the_declared_columns(spark, store):
     table.upsert(panel(spark, [("a", 1, 1.0)]))
     table.add_columns("pm10 double")
     table.upsert(panel(spark, [("a", 40, 2.0)]).withColumn("pm10", F.lit(3.0)))
-    for found in (table.read(), table.read(since=day(0)), table.read(months=["2024-01"])):
+    for found in (table.read(), table.read(since=day(0)), table.read(parts=["2024-01"])):
         assert found.columns == ["city", "date", "pm2_5", "pm10"]
     assert {(r.pm2_5, r.pm10) for r in table.read().collect()} == {(1.0, None), (2.0, 3.0)}
