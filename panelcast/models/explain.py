@@ -129,8 +129,8 @@ def shapley_attribution(
     the forecast is credited to its feature. The impacts of a row add up exactly
     to its forecast minus the background's mean forecast.
 
-    Everything is one map over the rows: the background and the orders are small
-    constants, and credits are summed before anything is shuffled.
+    Everything is one map over the rows: the background (``MAX_BACKGROUND`` rows at most,
+    a larger one raises) and the orders are small constants, and credits are summed before anything is shuffled.
     """
     players = [*fitted.features, *([fitted.key] if fitted.key else [])]
     types = {f.name: f.dataType for f in background.schema}

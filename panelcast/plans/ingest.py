@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import day_literal, midnight
 from panelcast.operators.clean import observed_hours
 from panelcast.operators.daily import daily_mean_of_feeds
+from panelcast.operators.windows import DAILY_RECIPE
 from panelcast.plans.features import daily_features, serving_rows
 from panelcast.sources.store import KeyedTable, PanelStore
 from panelcast.spec import DAILY
@@ -70,17 +71,51 @@ def refresh(
     table.upsert(refreshed_days(air, weather, as_of, past_days))
 
 
-def refresh_features(store: PanelStore, chunk: str | None = None, replace: bool = False) -> KeyedTable:
+def refresh_features(
+    store: PanelStore,
+    chunk: str | None = None,
+    replace: bool = False,
+    since: dt.date | None = None,
+) -> KeyedTable:
     """Recompute the feature table from the daily table.
 
     It holds every row with a full history. The newest rows have no label yet:
     serving reads them, training asks for labels. Rows that vanished from the
-    daily table stay unless ``replace``.
+    daily table stay unless ``replace``. With ``since`` only days from then on have
+    changed: just the rows they reach are recomputed, from the folders that hold their history.
     """
     table = feature_table(store)
-    rows = serving_rows(daily_features(store.read("daily_measures"), chunk=chunk))
+    daily = store.get("daily_measures")
+    if since is not None:
+        table.upsert(serving_rows(_changed_features(daily, since, chunk)))
+        return table
+    rows = serving_rows(daily_features(daily.read(), chunk=chunk))
     if replace:
         table.replace(rows)
     else:
         table.upsert(rows)
     return table
+
+
+def _changed_features(daily: KeyedTable, since: dt.date, chunk: str | None) -> DataFrame:
+    """Features of the rows from ``since`` on, and of those before whose targets reach them."""
+    before, after = DAILY_RECIPE.rows_before, DAILY_RECIPE.rows_after
+    older = F.col(DAILY.time) < F.lit(since)
+    earlier = [p for p in daily.parts() if p < daily.part_of(since)]
+    recent = [p for p in daily.parts() if p >= daily.part_of(since)]
+    back = 1
+    while True:
+        rows = daily.read(parts=[*earlier[-back:], *recent])
+        # Windows count rows, so how far back they reach is known from the rows alone: look at
+        # twice as many folders until every changed key has enough.
+        history = rows.groupBy(*DAILY.keys).agg(F.count_if(older).alias("n"), F.count_if(~older).alias("new"))
+        least = history.where("new > 0").agg(F.min("n")).first()[0]
+        if back >= len(earlier) or least is None or least >= before + after:
+            break
+        back *= 2
+    place = F.row_number().over(DAILY.latest_first())
+    newer = F.count_if(~older).over(Window.partitionBy(*DAILY.keys))
+    marked = rows.withColumns({"_place": place, "_newer": newer}).where("_newer > 0")
+    wanted = marked.where(F.col("_place") <= F.col("_newer") + before + after)
+    changed = daily_features(wanted, chunk=chunk).where(F.col("_place") <= F.col("_newer") + after)
+    return changed.drop("_place", "_newer")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from panelcast.operators.reshape import union_frames
 from panelcast.plans import features, forecast, ingest, serve, train
 from panelcast.plans.sample_queries import BOUNDS, PANEL_AS_OF, H, P, panel, rounded
 from panelcast.plans.views import horizon_matrix
-from panelcast.session import fresh_folder
+from panelcast.session import fresh_folder, saved
 from panelcast.sources.sample import table
 from panelcast.sources.store import PanelStore
 
@@ -37,9 +39,7 @@ HOURLY_TARGETS = {"24h": "target_24h", "48h": "target_48h", "72h": "target_72h"}
 def _stored(spark, sf) -> DataFrame:
     """The feature table, computed once and stored: every fit, score and
     background below reads the table instead of computing its features again."""
-    path = fresh_folder(spark, "features")
-    panel(spark, sf).write.parquet(path)
-    return spark.read.parquet(path)
+    return saved(panel(spark, sf), "features")
 
 
 def _parts(table: DataFrame, horizon: int) -> tuple[DataFrame, DataFrame]:
@@ -120,6 +120,72 @@ def linear_attribution(spark, sf):
     return rounded(explain.top_impacts(impacts))
 
 
+def linear_impacts(spark, sf):
+    """What moved each key's forecast, at every horizon, against the last 15 days of all keys."""
+    table = _stored(spark, sf)
+    latest = with_derived(features.latest_serving_rows(table))
+    recent = with_derived(clean.trailing_days(features.serving_rows(table)))
+
+    def impacts(horizon: int) -> DataFrame:
+        fitted = fit_linear(_parts(table, horizon)[0], horizon)
+        found = explain.linear_attribution(latest, fitted, recent)
+        return found.withColumn("horizon", F.lit(horizon).cast("bigint"))
+
+    rows = union_frames(together(spark, impacts, TARGETS))
+    return rows.select("horizon", "city", "date", "feature", F.round("impact", 4).alias("impact"))
+
+
+def linear_errors(spark, sf):
+    """The error report of tomorrow's linear model: by key, the training target, the worst days."""
+    trained = train.train_horizon(
+        features.training_rows(_stored(spark, sf)), 1, BOUNDS, families=(), report="linear"
+    )
+    none = F.lit(None)
+    by_key = trained.errors.key_mae.select(
+        F.lit("mae").alias("part"), "city", none.cast("date").alias("date"), F.col("mae").alias("value")
+    )
+    stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    target = trained.errors.target.unpivot([], stats, "part", "value").select(
+        "part", none.cast("string").alias("city"), none.cast("date").alias("date"), "value"
+    )
+    worst = trained.errors.misses.select(F.lit("miss").alias("part"), "city", "date", F.col("error").alias("value"))
+    return union_frames([by_key, target, worst]).withColumn("value", F.round("value", 4))
+
+
+def registered_linear(spark, sf):
+    """Linear models through search, registry and serving: the same forecasts as ``linear_forecast``."""
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+    ingest.daily_table(store).upsert(P(spark, sf))
+    table = ingest.refresh_features(store)
+    registry = ModelRegistry(spark, fresh_folder(spark, "models"))
+    labelled = features.training_rows(table.read())
+    for done in together(
+        spark, lambda h: train.train_horizon(labelled, h, BOUNDS, families=()), TARGETS
+    ):
+        train.register(done, registry)
+    last = table.last_day()
+    rows = forecast.forecast(table, train.load_models(registry), last, (last - dt.date(1990, 1, 1)).days)
+    return rows.select(
+        "city", "as_of_date", F.col("horizon").cast("bigint").alias("horizon"), "target_date",
+        F.round("prediction", 4).alias("prediction"), "category", "alert",
+    )
+
+
+def shapley_gaps(spark, sf):
+    """Per key, a forest's forecast less the background's mean and all impacts: nothing is left."""
+    table = _stored(spark, sf)
+    latest = with_derived(features.latest_serving_rows(table))
+    others = _background(table)
+    fitted = fit_forest(_parts(table, 3)[0], 3, **SMALL_FOREST)
+    impacts = explain.shapley_attribution(latest, fitted, others).groupBy("city").agg(
+        F.count("*").alias("features"), F.sum("impact").alias("moved")
+    )
+    centre = fitted.score(others).agg(F.avg("prediction")).first()[0]
+    gap = F.col("prediction") - F.lit(centre) - F.col("moved")
+    rows = fitted.score(latest).select("city", "prediction").join(impacts, "city")
+    return rows.select("city", "features", F.round(F.abs(gap), 6).alias("gap"))
+
+
 def forest_attribution(spark, sf):
     table = _stored(spark, sf)
     impacts = explain.shapley_attribution(
@@ -190,6 +256,6 @@ QUERIES = {
     for f in (
         linear_forecast, linear_metrics, linear_many_keys, forest_forecast, boosted_forecast, log_forest,
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
-        horizon_comparison, param_sweep,
+        horizon_comparison, param_sweep, linear_impacts, linear_errors, registered_linear, shapley_gaps,
     )
 }

@@ -356,7 +356,7 @@ b{h} AS (SELECT list_transform(g, lambda r: r[{size + 1}]) AS b FROM g{h} WHERE
 z{h} AS (SELECT city, date, {plain}{extra} FROM latest),
 q{h} AS (SELECT city, date AS as_of_date, {h} AS horizon, mean_y
       + list_dot_product([{vector}, {keys}, 1.0]::DOUBLE[], b) AS prediction FROM z{h}, m{h}, b{h}),
-e{h} AS (SELECT y AS actual, mean_y
+e{h} AS (SELECT city, date, y AS actual, mean_y
       + list_dot_product([{vector}, {keys}, 1.0]::DOUBLE[], b) AS predicted FROM x{h}, m{h}, b{h}
       WHERE date BETWEEN DATE '2000-07-01' AND DATE '2001-08-01')"""
 
@@ -394,6 +394,56 @@ s AS (SELECT sum(cq * cq) AS qq, sum(cd * cd) AS dd, sum(cq * cd) AS qd, sum(cq
 w AS (SELECT (qy * dd - dy * qd) / (qq * dd - qd * qd) AS wq, (dy * qq - qy * qd) / (qq * dd - qd * qd) AS wd FROM s)
 SELECT l_orderkey, l_linenumber, round(my + wq * cq + wd * cd, 3) AS prediction FROM c, w"""
 
+ORACLES["registered_linear"] = ORACLES["linear_forecast"]
+
+ORACLES["linear_errors"] = (
+    _OLS
+    + """SELECT 'mae' AS part, city, CAST(NULL AS DATE) AS date, round(avg(abs(actual - predicted)), 4) AS value
+FROM e1 GROUP BY city
+UNION ALL SELECT 'miss', city, date, round(actual - predicted, 4)
+FROM (SELECT * FROM e1 ORDER BY abs(actual - predicted) DESC, city, date LIMIT 10)"""
+    + "".join(
+        f"\nUNION ALL SELECT '{part}', NULL, NULL, round({value}, 4) FROM x1 WHERE date <= DATE '2000-06-30'"
+        for part, value in (
+            ("mean", "avg(y)"), ("std", "stddev_samp(y)"), ("min", "min(y)"), ("p25", "quantile_cont(y, 0.25)"),
+            ("p50", "quantile_cont(y, 0.5)"), ("p75", "quantile_cont(y, 0.75)"), ("max", "max(y)"),
+        )
+    )
+)
+
+
+def _impacts(h: int) -> str:
+    """Weight times distance from the mean of the last 15 days, and the key's effect likewise."""
+    derived = {n: _DERIVED[n] for n in _BY_HORIZON[h] if n not in _REDUNDANT}
+    names = (*_MEASURES, "day_of_week", "month", *_FEATURES, *derived)
+    sql = [derived.get(n, n) for n in names]
+    level = " ".join(f"WHEN city = '{k}' THEN b[{len(names) + i}]" for i, k in enumerate(_KEYS[:-1], 1))
+    rest = " + ".join(f"b[{len(names) + i}]" for i in range(1, len(_KEYS)))
+    effect = f"CASE {level} ELSE -({rest}) END"
+    one = f"list_value({', '.join(sql)})"
+    return f"""SELECT CAST({h} AS BIGINT) AS horizon, city, date, unnest({[*names, 'city']}) AS feature,
+       unnest(list_transform(list_append(list_transform(range(1, {len(names) + 1}), lambda i: b[i] * (v[i] - c[i])),
+                             effect - usual), lambda x: round(x, 4))) AS impact
+FROM (SELECT city, date, {one}::DOUBLE[] AS v, {effect} AS effect, b FROM latest, b{h}),
+     (SELECT list_value({", ".join(f"avg({x})" for x in sql)}) AS c, avg({effect}) AS usual FROM recent, b{h})"""
+
+
+ORACLES["linear_impacts"] = (
+    _OLS
+    + """, serving AS (SELECT * FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL),
+recent AS (SELECT * FROM serving WHERE date >= (SELECT max(date) FROM serving) - 15)
+"""
+    + "\nUNION ALL ".join(_impacts(h) for h in (1, 2, 3))
+)
+
+ORACLES["shapley_gaps"] = (
+    _with(*_PANEL, _LATEST)
+    + f"SELECT city, CAST({len(_MEASURES) + 2 + len(_FEATURES) + len(_BY_HORIZON[3]) + 1} AS BIGINT) AS features, "
+    + "CAST(0 AS DOUBLE) AS gap FROM latest"
+)
+
+ORACLES["key_history"] = _with(_P) + f"SELECT city, date, {_r('pm2_5', 'pm10')} FROM p WHERE city = '2-HIGH'"
+
 # --- sources, sinks, streams ------------------------------------------------------
 
 _WEATHER = _MEASURES[2:]
@@ -431,6 +481,12 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
 UNION ALL SELECT 'daily_features', 2, 'city,date', 'date', count(*) FROM p""",
         "stream_refresh": _with(_H, _W, _DAY_MEANS)
         + f"SELECT city, date, {_r(*_MEASURES)}, n_obs FROM d",
+        "stream_late_hours": _with(_H)
+        + """, r AS (SELECT * FROM h
+  UNION ALL SELECT city, time, pm2_5 + 100, pm10 + 100 FROM h
+  WHERE CAST(time AS DATE) + INTERVAL 1 DAY > (SELECT max(time) - INTERVAL 3 DAY FROM h))
+SELECT city, CAST(time AS DATE) AS date, round(avg(pm2_5), 6) AS pm2_5, round(avg(pm10), 6) AS pm10,
+       count(*) AS n_obs FROM r GROUP BY 1, 2""",
         "stream_daily_mean": _with(_H)
         + f"""SELECT city, CAST(time AS DATE) AS date, round(avg(pm2_5), 6) AS pm2_5,
        round(avg(pm10), 6) AS pm10, count(*) AS n_obs FROM h GROUP BY 1, 2""",
@@ -441,6 +497,7 @@ ORACLES["stored_features"] = (
     _with(*_PANEL)
     + f"SELECT {_ALL_FEATURES} FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL"
 )
+ORACLES["stored_features_step"] = ORACLES["stored_features"]
 ORACLES["stored_trailing_window"] = ORACLES["trailing_window"]
 ORACLES["aligned_columns"] = (
     _with(_H)

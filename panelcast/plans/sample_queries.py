@@ -367,6 +367,12 @@ def observed_plus_forecast(spark, sf):
     return rounded(reshape.observed_and_forecast(seen, baseline_forecast(spark, sf)))
 
 
+def key_history(spark, sf):
+    """One key's rows in order of time."""
+    rows = clean.sorted_panel(clean.for_key(P(spark, sf), city="2-HIGH"), DAILY)
+    return rounded(rows.select("city", "date", "pm2_5", "pm10"))
+
+
 def display_labels(spark, sf):
     return serve.display_row(P(spark, sf))
 
@@ -385,6 +391,6 @@ QUERIES = {
         upsert_latest, incremental_refresh,
         persistence_metrics, persistence_key_mae, biggest_misses, champion, comparison_table,
         signed_change, log_target, band_counts, alerts, forecast_table, key_comparison,
-        horizon_long, observed_plus_forecast, display_labels,
+        horizon_long, observed_plus_forecast, display_labels, key_history,
     )
 }

@@ -18,6 +18,7 @@ from panelcast.operators import metrics, profile
 from panelcast.operators.reshape import union_frames
 from panelcast.operators.split import SplitBounds, event_time_split
 from panelcast.plans.views import horizon_matrix
+from panelcast.session import saved
 
 # Which model families are searched per horizon, besides the linear model.
 SEARCHED = {1: ("forest",), 2: ("forest", "boosted"), 3: ("forest", "boosted")}
@@ -67,7 +68,8 @@ class ErrorAnalysis:
 def error_analysis(
     fitted: Fitted, train: DataFrame, test: DataFrame, label: str, keys: Sequence[str] = ("city",)
 ) -> ErrorAnalysis:
-    scored = fitted.score(test)
+    """What one model gets wrong on the test rows, which are scored once and saved."""
+    scored = saved(fitted.score(test).select(*keys, "date", label, "prediction"), "scored")
     return ErrorAnalysis(
         metrics.key_mae(scored, label, "prediction", *keys),
         profile.describe(train, [label]),
@@ -95,11 +97,13 @@ def train_horizon(
     folds: int = FOLDS,
     log_params: Mapping[str, Any] | None = None,
     families: Sequence[str] | None = None,
+    report: str | None = None,
 ) -> Training:
     """Fit the linear model and the searched families, and pick the best by test r2.
 
     ``grids`` replaces a family's full grid. With ``log_params`` the log-target
-    forest is scored too; it is a diagnostic and never a candidate.
+    forest is scored too; it is a diagnostic and never a candidate. ``report`` names the
+    candidate whose errors are analysed, by default the champion.
     """
     label = TARGETS[horizon]
     train, test = event_time_split(horizon_matrix(table, horizon), bounds)
@@ -125,7 +129,8 @@ def train_horizon(
             rows = evaluate([log_model], test, label).collect()
             log_scores = spark.createDataFrame(rows, schema)
         champion = candidates[best.listed]
-        errors = error_analysis(champion, train, test, label)
+        reported = champion if report is None else next(c for c in candidates if c.name == report)
+        errors = error_analysis(reported, train, test, label)
     finally:
         train.unpersist()
         test.unpersist()

@@ -1,13 +1,17 @@
 import datetime as dt
 import hashlib
+import random
 from pathlib import Path
 
 import pytest
 from frames import day, panel
 from pyspark.sql import functions as F
 
+from panelcast.plans import ingest
+from panelcast.plans.features import daily_features, serving_rows
 from panelcast.session import fresh_folder
 from panelcast.sources.store import PanelStore
+from panelcast.spec import DAILY
 
 
 @pytest.fixture
@@ -156,3 +160,46 @@ def test_reads_show_the_declared_columns(spark, store):
     for found in (table.read(), table.read(since=day(0)), table.read(parts=["2024-01"])):
         assert found.columns == ["city", "date", "pm2_5", "pm10"]
     assert {(r.pm2_5, r.pm10) for r in table.read().collect()} == {(1.0, None), (2.0, 3.0)}
+
+
+def test_day_folders(spark, store):
+    table = store.get_or_create("d", ["city", "date"], "date", unit="day")
+    table.upsert(panel(spark, [(c, i, 1.0) for c in "ab" for i in range(6)]))
+    before = files(table)
+    table.upsert(panel(spark, [("a", 3, 5.0), ("a", 60, 6.0)]))
+    after = files(table)
+    assert {f for f in before if before[f] != after.get(f)} == {f for f in before if "2024-01-04" in f}
+    assert table.last_day() == day(60) and table.parts()[-1] == "2024-03-01"
+    part = table.read(since=day(2), until=day(3))
+    assert rows(part) == [("a", day(2), 1.0), ("a", day(3), 5.0), ("b", day(2), 1.0), ("b", day(3), 1.0)]
+    assert len({f.split("day_part=")[1][:10] for f in part.inputFiles()}) == 2
+    assert store.get("d").unit == "day"
+    with pytest.raises(ValueError, match="unit"):
+        store.get_or_create("d", ["city", "date"], "date")
+
+
+@pytest.mark.parametrize("start", [700, 731, 799])
+def test_changed_features_equal_a_full_recomputation(spark, store, start):
+    """Keys of every density, one that is new, one that has ended; far folders keep their files."""
+    pick = random.Random(start)
+    density = {"full": 1.0, "half": 0.5, "rare": 0.05, "ended": 0.5}
+    days = [
+        (c, i, float(pick.randint(0, 99)))
+        for c, share in density.items()
+        for i in range(800)
+        if pick.random() < share and (c != "ended" or i < 600)
+    ] + [("new", i, 1.0) for i in range(795, 800)]
+    every = panel(spark, days).withColumns({m: F.col("pm2_5") + 1 for m in DAILY.values if m != "pm2_5"})
+    daily = ingest.daily_table(store)
+    since = F.lit(day(start))
+    daily.upsert(every.where(F.col("date") < since))
+    before = files(ingest.refresh_features(store))
+    changed = every.where(F.col("date") >= since).withColumn("pm2_5", F.col("pm2_5") * 2)
+    daily.upsert(changed)
+    table = ingest.refresh_features(store, since=day(start))
+    whole = serving_rows(daily_features(daily.read()))
+    assert table.read().exceptAll(whole.select(table.read().columns)).isEmpty()
+    assert table.read().count() == whole.count()
+    after = files(table)
+    first = {f for f in before if "2024-0" in f}
+    assert first and all(after[f] == before[f] for f in first)
