@@ -34,7 +34,7 @@ def linear() -> LinearRegression:
 
 
 def forest(
-    trees: int = 100, depth: int | None = None, leaf: int = 1, seed: int = SEED
+    trees: int = 100, depth: int | None = None, leaf: int = 1, seed: int = SEED, resample: bool = True
 ) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol=FEATURES,
@@ -43,6 +43,7 @@ def forest(
         minInstancesPerNode=leaf,
         featureSubsetStrategy="all",
         maxMemoryInMB=512,
+        bootstrap=resample,
         seed=seed,
     )
 

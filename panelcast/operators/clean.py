@@ -57,6 +57,25 @@ def complete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.dropna("any", subset=None if columns is None else list(columns))
 
 
+def gap_filled(df: DataFrame, spec: PanelSpec, step: str = "1 DAY") -> DataFrame:
+    """A row for every step between a series' first and last time; ``_filled`` marks the added ones.
+
+    Added rows hold their series and time, all else is NULL. A window that counts rows then counts
+    steps. Rows without a key are a series, rows without a time and repeated times stay as they are.
+    The next time comes from the window that ``with_windows`` sorts by, so the two share a shuffle.
+    """
+    kind = df.schema[spec.time].dataType
+    time, width = F.col(spec.time), F.expr(f"INTERVAL {step}")
+    following = F.lead(time).over(spec.window())
+    last = F.greatest(time, (following - width).cast(kind))
+    steps = df.withColumn("_last", last)
+    steps = steps.select("*", F.posexplode_outer(F.sequence(time, "_last", width)).alias("_step", "_time"))
+    filled = F.coalesce(F.col("_step") > 0, F.lit(False))
+    columns = {c: F.col(c) if c in spec.keys else F.when(~filled, F.col(c)).alias(c) for c in df.columns}
+    columns[spec.time] = F.col("_time").alias(spec.time)
+    return steps.select(*columns.values(), filled.alias("_filled"))
+
+
 def tagged(df: DataFrame, **constants: object) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from panelcast.functions.calendar import day_of_week, hour_of_day, month_of_year
-from panelcast.operators.clean import complete
+from panelcast.operators.clean import complete, gap_filled
 from panelcast.operators.daily import daily_mean_of_feeds
 from panelcast.operators.windows import (
     DAILY_RECIPE,
@@ -38,6 +38,14 @@ def daily_features(
     return with_windows(dated, spec, recipe, chunk)
 
 
+def calendar_features(
+    daily: DataFrame, spec: PanelSpec = DAILY, recipe: WindowRecipe = DAILY_RECIPE
+) -> DataFrame:
+    """``daily_features`` whose windows count days: a window that reaches a missing day is NULL."""
+    days = daily_features(gap_filled(daily, spec), spec, recipe)
+    return days.where("not _filled").drop("_filled")
+
+
 def training_rows(features: DataFrame) -> DataFrame:
     """Rows with all labels and a full history."""
     return complete(features, TRAINING_REQUIRES)

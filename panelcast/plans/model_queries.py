@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.derived import TARGETS, with_derived
 from panelcast.models import explain
 from panelcast.models.absorb import fit_absorbed
-from panelcast.models.fit import fit_boosted, fit_forest, fit_linear, fit_log_forest
+from panelcast.models.fit import boosted, fit, fit_boosted, fit_forest, fit_linear, fit_log_forest, forest
 from panelcast.models.registry import ModelRegistry
 from panelcast.models.together import together
 from panelcast.operators import clean, metrics, split
@@ -103,6 +103,21 @@ def log_forest(spark, sf):
     return rounded(train.evaluate([fitted], test, TARGETS[2]))
 
 
+def stump_forecasts(spark, sf):
+    """Trees of one split on two features with few values: these can be checked split by split."""
+    rows, test = _parts(_stored(spark, sf), 1)
+    names, label = ("day_of_week", "month"), TARGETS[1]
+    tree = forest(trees=1, depth=1, resample=False)
+    models = (
+        fit(rows, tree, names, label, "forest", key=None),
+        fit(rows, tree, names, label, "log_forest", key=None, log=True),
+        fit(rows, boosted(iterations=2, depth=1), names, label, "boosted", key=None),
+    )
+    for model in models:
+        test = model.score(test, model.name)
+    return test.select("city", "date", *(F.round(m.name, 4).alias(m.name) for m in models))
+
+
 def _background(table: DataFrame) -> DataFrame:
     return explain.background_sample(
         with_derived(clean.trailing_days(features.serving_rows(table)))
@@ -257,5 +272,6 @@ QUERIES = {
         linear_forecast, linear_metrics, linear_many_keys, forest_forecast, boosted_forecast, log_forest,
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
         horizon_comparison, param_sweep, linear_impacts, linear_errors, registered_linear, shapley_gaps,
+        stump_forecasts,
     )
 }

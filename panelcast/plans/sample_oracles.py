@@ -384,6 +384,57 @@ ORACLES["linear_metrics"] = _OLS + "\nUNION ALL ".join(
     for h in (1, 2, 3)
 )
 
+
+
+def _day(days: int) -> str:
+    """``pm2_5`` so many days later, or earlier; NULL if there is no such day."""
+    return f"(SELECT q.pm2_5 FROM p q WHERE q.city IS NOT DISTINCT FROM p.city AND q.date = p.date + {days})"
+
+
+def _mean_of_days(n: int) -> str:
+    days = f"FROM p q WHERE q.city IS NOT DISTINCT FROM p.city AND q.date BETWEEN p.date - {n} AND p.date - 1"
+    return f"(SELECT CASE WHEN count(q.pm2_5) = {n} THEN avg(q.pm2_5) END {days})"
+
+
+_CALENDAR = "f AS (SELECT p.*, isodow(date) - 1 AS day_of_week, month(date) AS month, " + ", ".join(
+    f"{sql} AS {name}"
+    for name, sql in (
+        *((f"pm25_lag_{n}", _day(-n)) for n in (1, 3, 7)),
+        *((f"pm25_rolling_{n}", _mean_of_days(n)) for n in (3, 7)),
+        *((f"target_{n}d", _day(n)) for n in (1, 2, 3)),
+    )
+) + " FROM p)"
+ORACLES["panel_features_calendar"] = _with(_P, _CALENDAR, _T) + f"SELECT {_ALL_FEATURES} FROM t"
+
+
+def _stump(name: str, source: str, y: str) -> str:
+    """The best split of ``source`` by one of its two features, and the means on both sides."""
+    return f"""{name} AS (
+  SELECT k, cut, low, high FROM (
+    SELECT k, cut, avg({y}) FILTER (side) AS low, avg({y}) FILTER (NOT side) AS high,
+           count(*) FILTER (side) AS n_low, count(*) FILTER (NOT side) AS n_high
+    FROM (SELECT k, cut, {source}.*, CASE k WHEN 1 THEN f1 ELSE f2 END <= cut AS side
+          FROM {source}, cuts WHERE fitted AND cut IS NOT NULL) GROUP BY k, cut)
+  ORDER BY n_low * low * low + n_high * high * high DESC, k, cut LIMIT 1)"""
+
+
+def _by(name: str) -> str:
+    return f"(SELECT CASE WHEN CASE k WHEN 1 THEN f1 ELSE f2 END <= cut THEN low ELSE high END FROM {name})"
+
+
+ORACLES["stump_forecasts"] = _with(
+    *_TRAIN,
+    """x AS (SELECT city, date, date <= DATE '2000-06-30' AS fitted, CAST(day_of_week AS DOUBLE) AS f1,
+         CAST(month AS DOUBLE) AS f2, target_1d AS y FROM t WHERE date <= DATE '2001-08-01')""",
+    """cuts AS (SELECT k, (v + lead(v) OVER (PARTITION BY k ORDER BY v)) / 2 AS cut
+         FROM (SELECT 1 AS k, f1 AS v FROM x WHERE fitted UNION SELECT 2, f2 FROM x WHERE fitted))""",
+    _stump("one", "x", "y"),
+    _stump("logged", "x", "ln(1 + y)"),
+    f"x2 AS (SELECT *, 2 * (y - {_by('one')}) AS rest FROM x)",
+    _stump("two", "x2", "rest"),
+) + f"""SELECT city, date, round({_by('one')}, 4) AS forest, round(exp({_by('logged')}) - 1, 4) AS log_forest,
+       round({_by('one')} + 0.1 * {_by('two')}, 4) AS boosted FROM x WHERE NOT fitted"""
+
 ORACLES["linear_many_keys"] = """WITH r AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS part,
          CAST(l_quantity AS DOUBLE) AS q, CAST(l_discount AS DOUBLE) AS d, CAST(l_extendedprice AS DOUBLE) AS y

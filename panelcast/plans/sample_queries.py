@@ -111,6 +111,10 @@ def panel_features_chunked(spark, sf):
     return rounded(features.training_rows(features.daily_features(P(spark, sf), chunk="quarter")))
 
 
+def panel_features_calendar(spark, sf):
+    return rounded(features.training_rows(features.calendar_features(P(spark, sf))))
+
+
 def series_features_hourly(spark, sf):
     return rounded(clean.complete(features.hourly_features(H(spark, sf), chunk="week")))
 
@@ -381,7 +385,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         parse_time, tag_and_union, hourly_join, daily_mean, daily_mean_of_feeds,
-        panel_features, panel_features_gaps, panel_features_chunked, series_features_hourly,
+        panel_features, panel_features_gaps, panel_features_chunked, panel_features_calendar, series_features_hourly,
         derived_features, latest_per_key, onehot_keys,
         feature_view(1), feature_view(2), feature_view(3),
         time_split_counts, chronological_split, expanding_folds,

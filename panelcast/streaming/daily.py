@@ -29,7 +29,7 @@ def streaming_daily_mean(
     hours: DataFrame,
     measures: Sequence[str],
     late_bound: str = LATE_BOUND,
-    key: str = "city",
+    key: str | Sequence[str] = "city",
     time: str = "time",
 ) -> DataFrame:
     """Tumbling one-day means. An hour later than the bound is not counted.
@@ -38,13 +38,14 @@ def streaming_daily_mean(
     feed it hours that are unique, or refresh by key instead.
     """
     instants = hours.withColumn(time, as_instant(time)).withWatermark(time, late_bound)
-    days = instants.groupBy(key, F.window(time, "1 day").alias("_day")).agg(
+    keys = [key] if isinstance(key, str) else list(key)
+    days = instants.groupBy(*keys, F.window(time, "1 day").alias("_day")).agg(
         *(F.avg(m).alias(m) for m in measures), F.count(F.lit(1)).alias("n_obs")
     )
     date = F.date_from_unix_date(
         F.floor(F.unix_seconds("_day.start") / F.lit(DAY_SECONDS)).cast("int")
     )
-    return days.select(key, date.alias("date"), *measures, "n_obs")
+    return days.select(*keys, date.alias("date"), *measures, "n_obs")
 
 
 def start_daily_mean(

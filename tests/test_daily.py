@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import clean
 from panelcast.operators.daily import daily_mean, daily_mean_of_feeds, join_feeds
+from panelcast.plans.features import calendar_features
 from panelcast.plans.ingest import refreshed_days
+from panelcast.spec import PanelSpec
 
 T0 = dt.datetime(2024, 1, 1)
 AIR = "city string, time timestamp_ntz, pm2_5 double, pm10 double"
@@ -87,3 +89,34 @@ def test_sample_does_not_depend_on_partitions(spark):
     one = rows(clean.sample_rows(df.repartition(1), 20, ["city", "date"]))
     assert one == rows(clean.sample_rows(df.repartition(13, "city"), 20, ["city", "date"]))
     assert len(one) == 20 and one != rows(clean.sample_rows(df, 20, ["city", "date"], seed=1))
+
+
+def test_two_key_columns(spark):
+    air, weather = feeds(spark, [("a", 0, 1.0), ("a", 1, 3.0)], [("a", 0, 2.0), ("a", 1, 2.0)])
+    air, weather = (f.withColumn("device", F.lit("x")) for f in (air, weather))
+    found = daily_mean_of_feeds(air, weather, key=("city", "device")).select("city", "device", "date", "pm2_5", "n_obs")
+    plain = daily_mean(air, ("pm2_5",), ("city", "device")).select("city", "device", "date", "pm2_5", "n_obs")
+    assert rows(found) == rows(plain) == [("a", "x", T0.date(), 2.0, 2)]
+
+
+def test_gaps_are_filled_step_by_step(spark):
+    spec = PanelSpec(("k",), "d", ("v",))
+    day = dt.date(2024, 1, 1)
+    table = [("a", 0, 1.0), ("a", 3, 2.0), ("a", 3, 2.0), ("b", 0, 5.0), (None, 0, 6.0), (None, 2, None), ("a", None, 9.0)]
+    made = spark.createDataFrame([(k, None if n is None else day + dt.timedelta(days=n), v) for k, n, v in table], "k string, d date, v double")
+    found = [(r.k, r.d and (r.d - day).days, r.v, r._filled) for r in clean.gap_filled(made, spec).collect()]
+    order = lambda r: tuple((x is not None, x or 0) for x in r)
+    given = [(*r, False) for r in table]
+    assert sorted(found, key=order) == sorted([*given, ("a", 1, None, True), ("a", 2, None, True), (None, 1, None, True)], key=order)
+    assert clean.gap_filled(made.limit(0), spec).collect() == []
+    hours = spark.createDataFrame([("a", T0), ("a", hour(2))], "k string, d timestamp_ntz")
+    assert rows(clean.gap_filled(hours, spec, "1 HOUR").where("_filled")) == [("a", hour(1), True)]
+
+
+def test_filled_windows_share_a_shuffle(spark):
+    day = spark.range(50).select((F.col("id") * 0).cast("string").alias("city"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") * 2).cast("int")).alias("date"), F.col("id").cast("double").alias("pm2_5"))
+    found = calendar_features(day, PanelSpec(("city",), "date", ("pm2_5",)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    third = found.where("date = DATE '2024-01-05'").first()
+    assert (third.pm25_lag_1, third.pm25_lag_3, third.target_1d, third.target_2d, third.pm25_rolling_3) == (None, None, None, 3.0, None)
