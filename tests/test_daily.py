@@ -114,7 +114,9 @@ def test_gaps_are_filled_step_by_step(spark):
 
 
 def test_filled_windows_share_a_shuffle(spark):
-    day = spark.range(50).select((F.col("id") * 0).cast("string").alias("city"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") * 2).cast("int")).alias("date"), F.col("id").cast("double").alias("pm2_5"))
+    n = F.floor(F.col("id") / 2)
+    date = F.date_add(F.lit(dt.date(2024, 1, 1)), (n * 2).cast("int"))
+    day = spark.range(50).select((F.col("id") % 2).cast("string").alias("city"), date.alias("date"), n.cast("double").alias("pm2_5"))
     found = calendar_features(day, PanelSpec(("city",), "date", ("pm2_5",)))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
