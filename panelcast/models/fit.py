@@ -17,7 +17,6 @@ from panelcast.functions.derived import TARGETS, feature_names
 from panelcast.functions.numbers import log_target
 from panelcast.models.absorb import AbsorbedLinear, fit_absorbed
 from panelcast.models.matrix import FEATURES, linear_feature_names, matrix_stages, spread
-from panelcast.operators.reshape import MAX_LEVEL_COLUMNS
 
 SEED = 42
 # Spark's own limit, standing in for "no depth limit".
@@ -89,13 +88,11 @@ def fit(
     label: str,
     name: str = "model",
     key: str | None = "city",
-    centred: bool = False,
     log: bool = False,
-    max_levels: int = MAX_LEVEL_COLUMNS,
 ) -> Fitted:
     """Fit on rows whose label is known. ``log`` fits log1p of the label and
     returns predictions on the label's own scale."""
-    stages = matrix_stages(train, features, key, centred, max_levels)
+    stages = matrix_stages(features, key)
     if not isinstance(estimator, LinearRegression):
         train = spread(train, [*features, *([key] if key else []), label])
     if log:

@@ -11,12 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Transformer
 from pyspark.ml.base import Estimator
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.derived import feature_names
-from panelcast.operators.reshape import MAX_LEVEL_COLUMNS, TooManyLevels, key_levels
 
 FEATURES = "features"
 
@@ -36,68 +35,19 @@ def linear_feature_names(horizon: int) -> list[str]:
     return [f for f in feature_names(horizon) if f not in LINEAR_RELATIONS]
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _level_columns(key: str, levels: Sequence[str], centred: bool) -> list[str]:
-    """SQL per level. Centred codes leave out the last level, which is -1
-    everywhere, so that level effects sum to zero and an unseen key, 0
-    everywhere, gets their mean."""
-    if not centred:
-        return [
-            f"CASE WHEN `{key}` = {_text(level)} THEN 1.0D ELSE 0.0D END" for level in levels
-        ]
-    last = levels[-1]
-    return [
-        f"CASE WHEN `{key}` = {_text(level)} THEN 1.0D "
-        f"WHEN `{key}` = {_text(last)} THEN -1.0D ELSE 0.0D END"
-        for level in levels[:-1]
-    ]
-
-
-def matrix_stages(
-    train: DataFrame,
-    features: Sequence[str],
-    key: str | None = "city",
-    centred: bool = False,
-    max_levels: int = MAX_LEVEL_COLUMNS,
-) -> list[Estimator | Transformer]:
+def matrix_stages(features: Sequence[str], key: str | None = "city") -> list[Estimator | Transformer]:
     """Pipeline stages that end in the ``features`` vector.
 
-    Up to ``max_levels`` keys become a column each; more become one sparse
-    vector, so the plan does not widen with the number of keys. Centred codes
-    have no sparse form: there, too many keys are an error.
+    The key becomes one sparse vector with a place for each key seen in training, so the plan is
+    the same for any number of keys. Rows with another key, or none, are 0 everywhere in it.
     """
     if key is None:
         return [VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")]
-    try:
-        levels = key_levels(train, key, max_levels)
-    except TooManyLevels:
-        if centred:
-            raise
-        return [
-            StringIndexer(
-                inputCol=key,
-                outputCol="_key_index",
-                handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(inputCols=["_key_index"], outputCols=["_key_vector"], dropLast=True),
-            VectorAssembler(
-                inputCols=[*features, "_key_vector"], outputCol=FEATURES, handleInvalid="error"
-            ),
-        ]
-    codes = _level_columns(key, levels, centred)
-    names = [f"_key_{i}" for i in range(len(codes))]
-    stages: list[Estimator | Transformer] = []
-    if codes:
-        select = ", ".join(f"{sql} AS {name}" for sql, name in zip(codes, names, strict=True))
-        stages.append(SQLTransformer(statement=f"SELECT *, {select} FROM __THIS__"))
-    stages.append(
-        VectorAssembler(inputCols=[*features, *names], outputCol=FEATURES, handleInvalid="error")
-    )
-    return stages
+    return [
+        StringIndexer(inputCol=key, outputCol="_key_index", handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=["_key_index"], outputCols=["_key_vector"], dropLast=True),
+        VectorAssembler(inputCols=[*features, "_key_vector"], outputCol=FEATURES, handleInvalid="error"),
+    ]
 
 
 # Rows of a training task: few at first, so that small tables use many cores, more

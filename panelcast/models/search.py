@@ -66,7 +66,7 @@ def expanding_search(
     """
     make, full_grid = FAMILIES[family]
     tries = combinations(full_grid if grid is None else grid)
-    matrix = Pipeline(stages=matrix_stages(train, features, key)).fit(train)
+    matrix = Pipeline(stages=matrix_stages(features, key)).fit(train)
     plan = expanding_folds(train, time, folds)
     assembled = (
         matrix.transform(spread(train, [*features, *([key] if key else []), label, time]))

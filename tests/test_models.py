@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.derived import INPUTS, TARGETS, feature_names, with_derived
 from panelcast.models import explain, matrix, search
-from panelcast.models.fit import fit, fit_forest, fit_linear, fit_log_forest, linear
+from panelcast.models.fit import fit, fit_forest, fit_linear, fit_log_forest, forest, linear
 from panelcast.models.matrix import linear_feature_names
 from panelcast.models.registry import ModelRegistry
 from panelcast.plans import train
@@ -74,18 +74,22 @@ def test_absorbed_key_effects_give_the_same_forecasts(spark, made):
     """And the same after a round trip through the registry."""
     rows = made.unionByName(made.limit(3).withColumn("city", F.lit("z")))
     names = matrix.linear_feature_names(1)
-    expected = fit(made, linear(), names, "target_1d", "linear", centred=True)
+    levels = sorted(r.city for r in made.select("city").distinct().collect())
+    last = (F.col("city") == levels[-1]).cast("double")
+    codes = {f"code_{k}": (F.col("city") == k).cast("double") - last for k in levels[:-1]}
+    expected = fit(made.withColumns(codes), linear(), [*names, *codes], "target_1d", "linear", key=None)
     absorbed = fit_linear(made, 1)
     assert (expected.form, absorbed.form) == ("pipeline", "absorbed")
     registry = ModelRegistry(spark, fresh_folder(spark, "models"))
     registry.register("m", absorbed, {"r2": 0.5})
     for model in (absorbed, registry.load("m")):
-        both = expected.score(model.score(rows, "p"))
-        assert both.columns == [*rows.columns, "p", "prediction"]
+        scored = model.score(rows, "p")
+        assert scored.columns == [*rows.columns, "p"]
+        both = expected.score(scored.withColumns(codes))
         assert both.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-8
     background = explain.background_sample(made)
     impacts = [
-        explain.linear_attribution(made.limit(4), m, background, features=["aqi_change_rate"])
+        explain.linear_attribution(made.limit(4).withColumns(codes), m, background.withColumns(codes), features=["aqi_change_rate"])
         for m in (expected, absorbed)
     ]
     gap = impacts[0].join(
@@ -94,13 +98,13 @@ def test_absorbed_key_effects_give_the_same_forecasts(spark, made):
     assert gap.agg(F.max(F.abs(F.col("impact") - F.col("other")))).first()[0] < 1e-8
 
 
-def test_many_keys_become_a_sparse_vector(made):
+def test_keys_become_a_sparse_vector(made):
     from pyspark.ml import Pipeline
 
     from panelcast.models.matrix import matrix_stages
 
     names = linear_feature_names(1)
-    stages = matrix_stages(made, names, max_levels=2)
+    stages = matrix_stages(names)
     estimator = linear().setLabelCol("target_1d")
     model = Pipeline(stages=[*stages, estimator]).fit(made)
     unseen = made.withColumn("city", F.lit("z")).limit(2)
@@ -113,6 +117,17 @@ def test_many_keys_become_a_sparse_vector(made):
     assert wide.where("city = 'z'").count() == 2
 
 
+def test_more_keys_than_columns(spark):
+    """A tree tells apart any number of keys; rows without a key are 0 everywhere."""
+    rows = spark.range(2400).select(
+        F.when(F.col("id") % 601 > 0, F.concat(F.lit("k"), F.col("id") % 601)).alias("city"),
+        F.lit(1.0).alias("x"), F.when(F.col("id") % 601 == 7, 9.0).when(F.col("id") % 601 == 0, 4.0).otherwise(1.0).alias("y"),
+    )
+    fitted = fit(rows, forest(trees=1, depth=1, resample=False), ["x"], "y")
+    found = {r.city: r.prediction for r in fitted.score(rows).select("city", "prediction").distinct().collect()}
+    assert found["k7"] == 9.0 and len(set(found.values())) == 2 and found[None] == found["k8"]
+
+
 def test_forest_refit_is_deterministic(sample_matrix):
     def predictions():
         fitted = fit_forest(sample_matrix, 2, trees=5, depth=4)
@@ -256,8 +271,6 @@ def test_forest_impacts_add_up(made, explained):
 def test_shapley_of_a_small_model_against_all_orders(spark, made):
     """Three features, every order: the definition itself."""
     names = ["pm2_5", "pm10", "humidity"]
-    from panelcast.models.fit import forest
-
     fitted = fit(made, forest(trees=4, depth=4), names, "target_1d", key=None)
     rows, background = made.limit(1), explain.background_sample(made, n=4)
     found = {
