@@ -82,13 +82,13 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Two places and signs of each bucket's index vector."""
     h = mixed(np.arange(1, BUCKETS + 1, dtype=np.uint64))
     places = np.stack([h % np.uint64(DIMS), (h >> np.uint64(20)) % np.uint64(DIMS)]).astype(np.int64)
-    signs = np.stack([(h >> np.uint64(40)) & np.uint64(1), (h >> np.uint64(41)) & np.uint64(1)]).astype(np.float32) * 2 - 1
+    signs = np.stack([(h >> np.uint64(40)) & np.uint64(1), (h >> np.uint64(41)) & np.uint64(1)]).astype(np.int64) * 2 - 1
     return places, signs
 
 
 def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The part of the word vectors that this task's texts add."""
-    table = np.zeros(BUCKETS * DIMS, np.float32)
+    table = np.zeros(BUCKETS * DIMS, np.int64)  # exact, so the sums don't depend on how texts are dealt
     places, signs = index_vectors()
     for chunk in chunks(batches):
         t = tokens(chunk)
