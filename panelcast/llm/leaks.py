@@ -1,17 +1,18 @@
-"""Benchmark decontamination: rare word seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: word seeds find passages, Smith-Waterman alignment scores them.
 
 Test items are cut into passages of at most ``PASSAGE`` words. Their runs of ``SEED`` words are
-looked for in every position of every text; of a passage's runs, those that are found in more
-texts than its median run are too common to be seeds. A seed's position in a text minus its place
-in the passage says where the passage would begin; seeds that agree on it, roughly, make one candidate.
-Its surroundings are aligned with the passage word by word, so copies with words changed, left out
-or added still score. The score is the part of the best possible one; from ``LEAST`` on the text
-holds a copy. Words are runs of letters and digits, in lower case, so punctuation doesn't matter.
+looked for in every position of every text, and every one found is a seed, however common. A seed's
+position in a text minus its place in the passage says where the passage would begin; seeds that agree
+on it, roughly, make one candidate. A candidate with fewer words of the passage nearby than ``LEAST``
+asks for can't score it and is left. The surroundings of the others are aligned with the passage word by
+word, so copies with words changed, left out or added still score. The score is the part of the best
+possible one; from ``LEAST`` on the text holds a copy. Words are runs of letters and digits, in lower case, so punctuation doesn't matter.
 
 Scale: a bitmap of at most ``BITS`` bits lets positions through that may hold a benchmark run; it
 has a fixed size, and what it lets through by chance falls out of the join with the runs
-themselves. Texts move once, to meet their candidates. A run in a third of all texts is a hot
-key of a join only, which Spark splits.
+themselves. Texts move once, to meet their candidates; their number follows the places where runs are
+found, and the words of a passage are sent once a text. A run in a third of all texts is a hot key of a
+join only, which Spark splits.
 
 Edge cases: null or empty texts and items match nothing; an item of fewer words than a seed is
 looked for as a whole run. Repeated rows are matched each. Repeated items are matched each; a null
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import LOWERED, Chunk, chunks, grams, mixed, prefix_hashes, span_hashes
@@ -88,7 +89,7 @@ def bitmap(runs: DataFrame) -> np.ndarray:
     return out
 
 
-HITS = "doc_id bigint, print bigint, gram bigint, at bigint, first boolean"
+HITS = "doc_id bigint, print bigint, gram bigint, at bigint"
 
 
 def _finder(shared, lengths: list[int]):
@@ -103,12 +104,10 @@ def _finder(shared, lengths: list[int]):
                 bit = (found & np.uint64(BITS - 1)).astype(np.int64)
                 hit = np.flatnonzero((cells[bit >> 6] >> (bit & 63)) & 1)
                 gram, text = found[hit].view(np.int64), doc[first[hit]]
-                once = np.zeros(len(hit), bool)
-                once[np.unique(np.stack([text, gram]), axis=1, return_index=True)[1]] = True
                 take = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc_id").take(take), chunk.column("print").take(take), pa.array(gram), pa.array(first[hit] - begin[text]), pa.array(once)],
-                    names=["doc_id", "print", "gram", "at", "first"],
+                    [chunk.column("doc_id").take(take), chunk.column("print").take(take), pa.array(gram), pa.array(first[hit] - begin[text])],
+                    names=["doc_id", "print", "gram", "at"],
                 )
 
     return find
@@ -138,40 +137,57 @@ MATCHES = "doc_id bigint, print bigint, item_id bigint, passage int, score doubl
 ROWS = 2_000
 
 
-def _aligner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for chunk in chunks(batches):
-        hashes, doc = plain_words(chunk)
-        begin = np.searchsorted(doc, np.arange(len(chunk) + 1))
-        todo = chunk.column("todo")
-        text = np.repeat(np.arange(len(chunk)), todo.value_lengths().to_numpy())
-        rows = todo.flatten()
-        lists = rows.field("words")
-        for a in range(0, len(rows), ROWS):
-            part = slice(a, min(a + ROWS, len(rows)))
-            own, words = text[part], lists.slice(a, part.stop - a)
-            sizes = words.value_lengths().to_numpy().astype(np.int64)
-            items = np.zeros((len(own), PASSAGE), np.uint64)
-            filled = np.arange(PASSAGE) < sizes[:, None]
-            items[filled] = words.flatten().to_numpy().view(np.uint64)
-            low = begin[own] + np.maximum(0, rows.field("at").to_numpy()[part] - MARGIN)
-            place = low[:, None] + np.arange(PASSAGE + 2 * MARGIN)
-            known = place < begin[own + 1][:, None]
-            windows = np.where(known, hashes[np.minimum(place, max(0, len(hashes) - 1))], np.uint64(1))
-            items[~filled] = np.uint64(2)
-            best, end = align(items, sizes, windows)
-            # the same backwards gives the beginning
-            back = np.take_along_axis(items, np.where(filled, sizes[:, None] - 1 - np.arange(PASSAGE), np.arange(PASSAGE)), axis=1)
-            _, rest = align(back, sizes, windows[:, ::-1])
-            first = low - begin[own] + windows.shape[1] - rest
-            last = low - begin[own] + end - 1
-            take = pa.array(own)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    chunk.column("doc_id").take(take), chunk.column("print").take(take), rows.field("item_id").slice(a, len(own)), rows.field("passage").slice(a, len(own)),
-                    pa.array(best / (MATCH * sizes)), pa.array(first), pa.array(last),
-                ],
-                names=["doc_id", "print", "item_id", "passage", "score", "first_word", "last_word"],
-            )
+def _candidates(todo: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each list of beginnings, the first in every stretch of ``MARGIN`` words: the list's number and the beginning."""
+    own = np.repeat(np.arange(len(todo)), todo.value_lengths().to_numpy())
+    at = todo.flatten().to_numpy()
+    order = np.lexsort((at, own))
+    own, at = own[order], at[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(own) != 0) | (np.diff(at // MARGIN) != 0)
+    return own[new], at[new]
+
+
+def _aligner(least: float):
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            hashes, doc = plain_words(chunk)
+            begin = np.searchsorted(doc, np.arange(len(chunk) + 1))
+            todo = chunk.column("todo")
+            holder = np.repeat(np.arange(len(chunk)), todo.value_lengths().to_numpy())
+            rows = todo.flatten()
+            which, ats = _candidates(rows.field("ats"))
+            for a in range(0, len(which), ROWS):
+                row, at = which[a : a + ROWS], ats[a : a + ROWS]
+                own, words = holder[row], rows.field("words").take(pa.array(row))
+                sizes = words.value_lengths().to_numpy().astype(np.int64)
+                items = np.full((len(own), PASSAGE), 2, np.uint64)
+                filled = np.arange(PASSAGE) < sizes[:, None]
+                items[filled] = words.flatten().to_numpy().view(np.uint64)
+                low = begin[own] + np.maximum(0, at - MARGIN)
+                place = low[:, None] + np.arange(PASSAGE + 2 * MARGIN)
+                known = place < begin[own + 1][:, None]
+                windows = np.where(known, hashes[np.minimum(place, max(0, len(hashes) - 1))], np.uint64(1))
+                # no alignment matches more words than are there
+                shared = sum((windows == items[:, i : i + 1]).any(axis=1) & filled[:, i] for i in range(PASSAGE))
+                able = np.flatnonzero(shared / sizes >= least)
+                row, own, sizes, items, filled, low, windows = (x[able] for x in (row, own, sizes, items, filled, low, windows))
+                best, end = align(items, sizes, windows)
+                # the same backwards gives the beginning
+                back = np.take_along_axis(items, np.where(filled, sizes[:, None] - 1 - np.arange(PASSAGE), np.arange(PASSAGE)), axis=1)
+                _, rest = align(back, sizes, windows[:, ::-1])
+                first = low - begin[own] + windows.shape[1] - rest
+                last = low - begin[own] + end - 1
+                text, item = pa.array(own), pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        chunk.column("doc_id").take(text), chunk.column("print").take(text), rows.field("item_id").take(item), rows.field("passage").take(item),
+                        pa.array(best / (MATCH * sizes)), pa.array(first), pa.array(last),
+                    ],
+                    names=["doc_id", "print", "item_id", "passage", "score", "first_word", "last_word"],
+                )
+
+    return score
 
 
 def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: float = LEAST) -> DataFrame:
@@ -184,17 +200,12 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     lengths = [r.n for r in runs.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().collect()]  # at most SEED rows
     shared = spark.sparkContext.broadcast(bitmap(runs))
     hits = stored(rows.mapInArrow(_finder(shared, lengths), HITS), "hits")
-    spread = hits.groupBy("gram").agg(F.sum(F.col("first").cast("int")).alias("texts"))
-    known = runs.join(spread, "gram")
-    own = Window.partitionBy("item_id", "passage", "words")
-    seeds = known.withColumn("usual", F.percentile("texts", 0.5).over(own)).where("texts <= usual").select("gram", "item_id", "passage", "place", "words")
-    seeds = stored(seeds, "seeds")
-    begins = F.col("at") - F.col("place")
-    found = hits.join(seeds, "gram").groupBy("doc_id", "print", "item_id", "passage", "words", F.floor(begins / MARGIN).alias("near")).agg(F.min(begins).alias("at"))
-    todo = found.groupBy("doc_id", "print").agg(F.collect_list(F.struct("item_id", "passage", "words", "at")).alias("todo"))
+    begins = F.collect_set(F.col("at") - F.col("place")).alias("ats")
+    found = hits.join(runs, "gram").groupBy("doc_id", "print", "item_id", "passage", "words").agg(begins)
+    todo = found.groupBy("doc_id", "print").agg(F.collect_list(F.struct("item_id", "passage", "words", "ats")).alias("todo"))
     # copies of a text under one id are matched once
     texts = same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"])
-    scored = texts.select("doc_id", "print", "text", "todo").mapInArrow(_aligner, MATCHES).where(F.col("score") >= least)
+    scored = texts.select("doc_id", "print", "text", "todo").mapInArrow(_aligner(least), MATCHES).where(F.col("score") >= least)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("minus"), "last_word")).alias("best")
     scored = scored.groupBy("doc_id", "print", "item_id").agg(best)
     return scored.select("doc_id", "print", "item_id", "best.score", (-F.col("best.minus")).alias("first_word"), "best.last_word")

@@ -81,6 +81,17 @@ def test_edited_leak(spark, items):
     assert (row.doc_id, row.item_id) == (1, 3) and 0.5 <= row.score < 1
 
 
+def test_edited_leak_beside_other_copies(spark):
+    words = [f"w{i}" for i in range(50)]
+    tests = spark.createDataFrame([(1, " ".join(words))], ITEMS)
+    edited = {k: " ".join(f"new{k}x{i}" if i % k == 0 else w for i, w in enumerate(words)) for k in (4, 5, 6)}
+    rows = [(0, " ".join(words)), *edited.items()]
+    found = {r.doc_id: r.score for r in leaks.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), tests).collect()}
+    assert set(found) == {0, 4, 5, 6} and found[0] == 1 and 0.5 < found[4] < found[5] < found[6] < 1
+    rows += [(10 + i, f"{edited[5]} tail{i}") for i in range(1000)]
+    assert leaks.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), tests).count() == 1004
+
+
 def test_leak_in_capitals_of_any_alphabet(spark):
     words = " ".join(f"é{chr(0x430 + i)}ñ{i}" for i in range(20))
     tests = spark.createDataFrame([(1, words)], ITEMS)
