@@ -1,12 +1,13 @@
 """Benchmark decontamination: word seeds find passages, Smith-Waterman alignment scores them.
 
-Test items are cut into passages of at most ``PASSAGE`` words. Their runs of ``SEED`` words are
+Test items are cut into pieces of at most ``PIECE`` words that overlap by ``PASSAGE``, so any ``PASSAGE``
+words in a row lie within one piece, wherever they begin. The pieces' runs of ``SEED`` words are
 looked for in every position of every text, and every one found is a seed, however common. A seed's
 position in a text minus its place in the passage says where the passage would begin; seeds that agree
 on it, roughly, make one candidate. A candidate with fewer words of the passage nearby than ``LEAST``
 asks for can't score it and is left. The surroundings of the others are aligned with the passage word by
 word, so copies with words changed, left out or added still score. The score is the part of the best
-possible one; from ``LEAST`` on the text holds a copy. Words are runs of letters and digits, in lower case, so punctuation doesn't matter.
+possible one of the item, or of ``PASSAGE`` words of it if it is longer, and at most 1; from ``LEAST`` on the text holds a copy. Words are runs of letters and digits, in lower case, so punctuation doesn't matter.
 
 Scale: a bitmap of at most ``BITS`` bits lets positions through that may hold a benchmark run; it
 has a fixed size, and what it lets through by chance falls out of the join with the runs
@@ -33,6 +34,7 @@ from .common import same_text, stored, whole
 
 SEED = 3
 PASSAGE = 64
+PIECE = 2 * PASSAGE
 MARGIN = 24
 BITS = 1 << 24
 LEAST = 0.5
@@ -62,14 +64,14 @@ RUNS = "item_id bigint, passage int, gram bigint, place int, words array<bigint>
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds of each passage of each item."""
+    """The seeds of each piece of each item."""
     for chunk in chunks(batches):
         hashes, doc = plain_words(chunk)
         ids, out = chunk.column("item_id").to_pylist(), []
         for i in range(len(chunk)):
             own = hashes[np.searchsorted(doc, i) : np.searchsorted(doc, i + 1)]
-            for k, a in enumerate(range(0, len(own), PASSAGE)):
-                part = own[max(0, min(a, len(own) - PASSAGE)) : a + PASSAGE]  # the last is as long as the others
+            for k, a in enumerate(range(0, max(len(own) - PASSAGE, min(1, len(own))), PASSAGE)):
+                part = own[max(0, min(a, len(own) - PIECE)) : a + PIECE]  # the last is as long as the others
                 n = min(SEED, len(part))
                 found, first = grams(part, np.zeros(len(part), np.int64), n)
                 words = part.view(np.int64).tolist()
@@ -161,20 +163,21 @@ def _aligner(least: float):
                 row, at = which[a : a + ROWS], ats[a : a + ROWS]
                 own, words = holder[row], rows.field("words").take(pa.array(row))
                 sizes = words.value_lengths().to_numpy().astype(np.int64)
-                items = np.full((len(own), PASSAGE), 2, np.uint64)
-                filled = np.arange(PASSAGE) < sizes[:, None]
+                width = max(PASSAGE, int(sizes.max()))
+                items = np.full((len(own), width), 2, np.uint64)
+                filled = np.arange(width) < sizes[:, None]
                 items[filled] = words.flatten().to_numpy().view(np.uint64)
                 low = begin[own] + np.maximum(0, at - MARGIN)
-                place = low[:, None] + np.arange(PASSAGE + 2 * MARGIN)
-                known = place < begin[own + 1][:, None]
+                place = low[:, None] + np.arange(width + 2 * MARGIN)
+                known = place < np.minimum(begin[own + 1], low + np.maximum(sizes, PASSAGE) + 2 * MARGIN)[:, None]
                 windows = np.where(known, hashes[np.minimum(place, max(0, len(hashes) - 1))], np.uint64(1))
                 # no alignment matches more words than are there
-                shared = sum((windows == items[:, i : i + 1]).any(axis=1) & filled[:, i] for i in range(PASSAGE))
-                able = np.flatnonzero(shared / sizes >= least)
+                shared = sum((windows == items[:, i : i + 1]).any(axis=1) & filled[:, i] for i in range(width))
+                able = np.flatnonzero(shared / np.minimum(sizes, PASSAGE) >= least)
                 row, own, sizes, items, filled, low, windows = (x[able] for x in (row, own, sizes, items, filled, low, windows))
                 best, end = align(items, sizes, windows)
                 # the same backwards gives the beginning
-                back = np.take_along_axis(items, np.where(filled, sizes[:, None] - 1 - np.arange(PASSAGE), np.arange(PASSAGE)), axis=1)
+                back = np.take_along_axis(items, np.where(filled, sizes[:, None] - 1 - np.arange(width), np.arange(width)), axis=1)
                 _, rest = align(back, sizes, windows[:, ::-1])
                 first = low - begin[own] + windows.shape[1] - rest
                 last = low - begin[own] + end - 1
@@ -182,7 +185,7 @@ def _aligner(least: float):
                 yield pa.RecordBatch.from_arrays(
                     [
                         chunk.column("doc_id").take(text), chunk.column("print").take(text), rows.field("item_id").take(item), rows.field("passage").take(item),
-                        pa.array(best / (MATCH * sizes)), pa.array(first), pa.array(last),
+                        pa.array(np.minimum(1, best / (MATCH * np.minimum(sizes, PASSAGE)))), pa.array(first), pa.array(last),
                     ],
                     names=["doc_id", "print", "item_id", "passage", "score", "first_word", "last_word"],
                 )

@@ -92,6 +92,20 @@ def test_edited_leak_beside_other_copies(spark):
     assert leaks.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), tests).count() == 1004
 
 
+def test_leak_across_a_cut_of_a_long_item(spark):
+    words = [f"w{i}" for i in range(200)]
+    tests = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"v{i}" for i in range(128)))], ITEMS)
+    begins = [0, 16, 34, 64, 98, 130, 140]
+    rows = [(a, "before it " + " ".join(words[a : a + 60]) + " and after") for a in begins]
+    edited = [f"new{i}" if i % 5 == 0 else w for i, w in enumerate(words)]
+    rows += [(1000 + a, " ".join(edited[a : a + 64])) for a in begins[:-1]]
+    rows += [(3000, " ".join(f"v{i}" for i in range(33, 95))), (4000, " ".join(words)), (5000, " ".join(words[90:120]))]
+    found = {r.doc_id: r for r in leaks.matches(spark.createDataFrame(rows, "doc_id bigint, text string"), tests).collect()}
+    assert set(found) == {*begins, *(1000 + a for a in begins[:-1]), 3000, 4000}
+    assert [(found[a].score, found[a].first_word, found[a].last_word) for a in begins] == [(60 / 64, 2, 61)] * len(begins)
+    assert (found[3000].item_id, found[3000].score, found[4000].score) == (2, 62 / 64, 1)
+
+
 def test_leak_in_capitals_of_any_alphabet(spark):
     words = " ".join(f"é{chr(0x430 + i)}ñ{i}" for i in range(20))
     tests = spark.createDataFrame([(1, words)], ITEMS)
