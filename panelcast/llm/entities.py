@@ -6,12 +6,13 @@ which labels follow each other, and which labels successive mentions of the same
 have. The logarithms of these counts are the potentials of the field. In it, each word that holds a
 digit, ``@`` or ``+`` is linked with its neighbour in the text, and with the next mention of the same
 thing anywhere in the same text: equal but for case and punctuation, or numbers with the same last
-seven digits. Words found by a pattern are observed. Loopy message passing gives the others their
-posteriors. Words that no pattern finds count as other text only if no equal mention is found: such
+seven digits. Words found by a pattern are observed; each other mention is also linked with the first
+observed mention of its thing in the text, so that the pattern reaches every repeat at once. Loopy message passing, until the
+messages stop changing, gives the others their posteriors. Words that no pattern finds count as other text only if no equal mention is found: such
 mentions are what the field is asked about. A prior says that equal mentions have equal labels. A mention is added if a label has at least ``SURE`` and an equal mention bears it too.
 
-Links go from a mention to the next one only, so their number grows with the text, not its square.
-All messages of a batch of texts are passed at once.
+A mention has at most two links to others before it, so their number grows with the text, not its square.
+All messages of a batch of texts are passed at once; those of texts that are done wait for the others.
 
 Edge cases: a null or empty text has no spans. Repeated rows are annotated each. Added spans never
 overlap base spans. Without any base span in the corpus nothing is added. No rows give no
@@ -35,7 +36,9 @@ from .common import unused
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 LOOKS = 7 * 32 * 2
-ROUNDS = 12
+#: A message is done when a round changes it by less than ``STILL``. If messages go round in circles, the
+#: step is halved every ``ROUNDS`` rounds, and rounds for the longest chain of mentions, until they settle.
+STILL, ROUNDS = 1e-4, 64
 #: Weight of the prior that equal mentions agree, and the least probability of a label given a look.
 AGREE, FLOOR = 1e4, 1e-3
 SURE = 0.9
@@ -131,6 +134,16 @@ class Graph:
         self.beside = np.flatnonzero((np.diff(seen) == 1) & (np.diff(self.doc) == 0))
         self.later = np.flatnonzero(back >= 0)
         self.earlier = back[self.later]
+        found = np.flatnonzero(self.label > 0)
+        shown = np.full(len(seen), -1, np.int64)
+        shown[self.first[found[::-1]]] = found[::-1]
+        # the first observed mention of the same thing, where no other link leads there
+        source = shown[self.first]
+        ahead = np.full(len(seen), -1, np.int64)
+        ahead[self.earlier] = self.later
+        self.told = np.flatnonzero((self.label == 0) & (source >= 0) & (source != back) & (source != ahead))
+        self.teller = source[self.told]
+        self.rounds = ROUNDS + 2 * int(np.bincount(self.first, minlength=1).max())
 
     def counts(self) -> np.ndarray:
         """Words by look and label, neighbours' labels, mentions' labels, one after the other."""
@@ -180,23 +193,32 @@ def beliefs(graph: Graph, field: tuple[np.ndarray, np.ndarray, np.ndarray]) -> n
     n = len(graph.label)
     node = look[graph.look].copy()
     known = graph.label > 0
-    node[known] = -30.0
+    node[known] = -np.inf  # however many repeats speak against it
     node[known, graph.label[known]] = 0.0
-    source = np.r_[graph.beside, graph.earlier, graph.beside + 1, graph.later]
-    target = np.r_[graph.beside + 1, graph.later, graph.beside, graph.earlier]
-    half = len(source) // 2
-    chain = np.r_[np.ones(len(graph.beside), bool), np.zeros(len(graph.earlier), bool)]
+    one, other = np.r_[graph.beside, graph.earlier, graph.teller], np.r_[graph.beside + 1, graph.later, graph.told]
+    source, target = np.r_[one, other], np.r_[other, one]
+    half = len(one)
+    chain = np.arange(half) < len(graph.beside)
     forward = np.where(chain[:, None, None], step, skip)
     weight = np.concatenate([forward, forward.transpose(0, 2, 1)])
     message = np.zeros((2 * half, LABELS))
     reverse = np.r_[np.arange(half, 2 * half), np.arange(half)]
-    for _ in range(ROUNDS if half else 0):
+    live, rounds, share = np.arange(2 * half), 0, 0.5
+    text = graph.doc[source]
+    while len(live):
+        # links of a text are live together, so a live node has all its messages here
         total = node.copy()
-        np.add.at(total, target, message)
-        out = (total[source] - message[reverse])[:, :, None] + weight
+        np.add.at(total, target[live], message[live])
+        out = (total[source[live]] - message[reverse[live]])[:, :, None] + weight[live]
         top = out.max(axis=1, keepdims=True)
         new = (top + np.log(np.exp(out - top).sum(axis=1, keepdims=True)))[:, 0, :]
-        message = 0.5 * message + 0.5 * (new - new.max(axis=1, keepdims=True))
+        change = share * (new - new.max(axis=1, keepdims=True) - message[live])
+        message[live] += change
+        moving = np.unique(text[live][np.abs(change).max(axis=1) >= STILL])
+        live = live[np.isin(text[live], moving)]
+        rounds += 1
+        if rounds % graph.rounds == 0:
+            share /= 2
     total = node.copy()
     np.add.at(total, target, message)
     p = np.exp(total - total.max(axis=1, keepdims=True)) if n else total
@@ -208,8 +230,9 @@ def added_spans(graph: Graph, chunk: Chunk, field) -> dict[int, list[tuple[int,
     p = beliefs(graph, field)
     label = p.argmax(axis=1) if len(p) else np.zeros(0, np.int64)
     agreed = np.zeros(len(label), bool)
-    equal = label[graph.earlier] == label[graph.later]
-    agreed[graph.earlier[equal]] = agreed[graph.later[equal]] = True
+    for one, other in ((graph.earlier, graph.later), (graph.teller, graph.told)):
+        equal = label[one] == label[other]
+        agreed[one[equal]] = agreed[other[equal]] = True
     new = np.flatnonzero((graph.label == 0) & (label > 0) & agreed & (p.max(axis=1, initial=0) >= SURE))
     out: dict[int, list[tuple[int, int, int]]] = {}
     for k in new.tolist():

@@ -63,6 +63,17 @@ def test_added_mention(spark, odd):
     assert entities.redacted(many).where("doc_id = 0").first().text == "call <PHONE> now, or <PHONE> later; not 123-456-9999 "
 
 
+@pytest.mark.parametrize("lookalikes", [0, 300])
+def test_added_mentions_however_many(spark, lookalikes):
+    bare = [1, 2, 10, 50]
+    far = " and then some plain words "
+    rows = [(k, "call +1 (505) 555-0351" + (far + "505-555-0351") * k) for k in bare] + [(100 + k, ("505-555-0351" + far) * k + "is +1 (505) 555-0351") for k in bare]
+    rows += [(1000 + i, f"part {200 + i}-555-{1000 + i} of the list") for i in range(lookalikes)]
+    found = {r.doc_id: r.spans for r in entities.annotated(spark.createDataFrame(rows, "doc_id bigint, text string"), "spans").collect()}
+    assert {i: sum(not s.base for s in spans) for i, spans in found.items() if i < 1000} == {**{k: k for k in bare}, **{100 + k: k for k in bare}}
+    assert all(found[1000 + i] == [] for i in range(lookalikes))
+
+
 def test_leaks(odd, none, items):
     found = leaks.matches(odd, items)
     assert [(r.doc_id, r.item_id, r.score, r.first_word, r.last_word) for r in found.collect()] == [(7, 3, 1.0, 500, 539)]
