@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .phrases import LEAST, LONGEST, TOP
 from .quality import COUNTS, ROUNDS
 from .queries import SPAM_HOST, URL_RULES
 from .secrets import BASE_RULES, MORE_RULES
@@ -217,10 +218,55 @@ def _urls() -> str:
     FROM named"""
 
 
+def _collocations() -> str:
+    """Every phrase counted under its words; a cut's score and the phrases inside others by joins."""
+    lengths = range(1, LONGEST + 1)
+    runs = " UNION ALL ".join(
+        f"SELECT lang, {n} AS size, unnest(list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(list_slice(w, i, i + {n} - 1), ' '))) AS phrase "
+        f"FROM pieces WHERE len(w) >= {n}"
+        for n in lengths
+    )
+    cuts = " UNION ALL ".join(
+        f"SELECT lang, phrase, a, {k} AS k, array_to_string(list_slice(w, 1, {k}), ' ') AS first, array_to_string(list_slice(w, {k} + 1, size), ' ') AS rest "
+        f"FROM candidates WHERE size > {k}"
+        for k in lengths[:-1]
+    )
+    inside = " UNION ALL ".join(
+        f"SELECT lang, a AS m, array_to_string(list_slice(w, {i}, {i + n - 1}), ' ') AS phrase FROM candidates WHERE size > {n} AND size >= {i + n - 1}"
+        for n in lengths[1:-1]
+        for i in range(1, LONGEST - n + 2)
+    )
+    return rf"""
+        WITH docs AS (
+            SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+        ),
+        cut AS (SELECT lang, unnest(string_split_regex(body, '[.,;:!?
+-]')) AS piece FROM docs),
+        pieces AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM cut),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        counts AS (SELECT lang, size, phrase, count(*) AS a FROM ({runs}) GROUP BY lang, size, phrase HAVING count(*) >= {LEAST}),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, n,
+                CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+            FROM ({cuts}) c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+            JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang
+        ),
+        lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+        covered AS (SELECT lang, phrase, max(m) AS m FROM ({inside}) GROUP BY lang, phrase),
+        kept AS (
+            SELECT s.* FROM lowest s LEFT JOIN covered c ON c.lang = s.lang AND c.phrase = s.phrase
+            WHERE s.place = 1 AND NOT coalesce(100 * m >= 100 * a, FALSE)
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {TOP}"""
+
+
 ORACLES = {
     "op1_secret_scan": _secrets(),
     "op5_source_mix": MIX,
     "op6_chat_perspectives": CHAT,
     "op9_quality_rules": _quality(),
     "op10_url_filter": _urls(),
+    "op11_phrase_collocations": _collocations(),
 }

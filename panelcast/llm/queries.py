@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, entities, leaks, mixing, neardup, quality, repeats, secrets, urls
+from . import chat, classifier, entities, leaks, mixing, neardup, phrases, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -98,6 +98,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, "page_id", "url", rules, spam).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -109,4 +113,5 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
