@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classifier, entities, leaks, mixing, neardup, phrases, quality, repeats, secrets, urls
+from . import alignment, chat, classifier, entities, fingerprints, leaks, mixing, neardup, phrases, quality, repeats, secrets, urls
 from .common import table
 
 
@@ -102,6 +102,18 @@ def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
 
+def op12_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, folder, "documents"))
+
+
+#: Where the vocabulary files lie.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_leaks": op2_benchmark_leaks,
@@ -114,4 +126,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_token_alignment": op13_token_alignment,
 }
