@@ -5,13 +5,13 @@ phrase is 1 to ``longest`` neighbouring words of a piece; everything is counted
 more frequent than any phrase inside it, so lengths are surveyed in rising order, and a phrase is looked
 at only where the two phrases one word shorter have survived.
 
-1. Survey of a length: a task counts the 64-bit hashes of the phrases it reads. A hash that one task
-   counted ``least`` times has survived. All other counts are dealt into hash partitions, each of which
-   keeps a Misra-Gries summary: at most ``capacity`` counters; where more are needed, all are lowered by the
-   largest that has to go. What was taken off, ``lost``, is at most the partition's mass / (capacity + 1),
-   and the capacity exceeds mass / ``least``, so a frequent phrase still has a counter. A counter plus ``lost``
-   is no less than the true count; those that reach ``least`` survive. Summaries of parts of a
-   partition add up to one of the whole (``Summary.add``).
+1. Survey of a length: a task counts the hashes of the phrases it reads. The counts are dealt into hash
+   partitions, each of which keeps a Misra-Gries summary: at most ``capacity`` counters; where more are needed, all are lowered by the
+   largest that has to go. What was taken off, ``lost``, is at most the partition's mass / (capacity + 1). The
+   capacity exceeds the mass expected of a partition / ``least``, and doubles before ``lost`` would reach
+   ``least``, so a frequent phrase always has a counter. A counter plus ``lost`` is no less than the true count;
+   those that reach ``least`` survive. Summaries of parts of a partition add up to one of the whole (``Summary.add``).
+   Within a partition, 32 bits of the hash name a phrase: phrases with one name are counted together, which only lets more survive.
 2. Survivors set bits of a sieve of at most ``MOST_BITS`` bits. What a sieve lets through by chance is
    counted exactly and dropped.
 3. Exact counts: the texts are read again; phrases that pass the sieves are counted under their own
@@ -46,9 +46,11 @@ LEAST = 100
 TOP = 2_000
 #: Hashes a task holds before it hands its counts on.
 TABLE = 4_000_000
-#: Occurrences a hash partition sees at most, and from which on it may be split for more parallel work.
-MASS_PER_PART, SMALL_PART = 64_000_000, 4_000_000
-#: Counters for each one that the guarantee needs.
+#: Bytes of text for each word, by which the mass is expected; and the occurrences meant for a hash partition: at
+#: most, and as long as there are more tasks to use.
+WORD_BYTES = 6
+MASS_PER_PART, SMALL_PART = 64_000_000, 1_000_000
+#: Counters for each one that the expected mass needs.
 SLACK = 4
 MOST_BITS = 1 << 28
 BITS_PER_SURVIVOR = 32
@@ -129,12 +131,35 @@ def candidates(words: Words, sieves: list[np.ndarray], longest: int) -> Iterator
         yield n, alive, hashes
 
 
-def _tally(hashes: list[np.ndarray]) -> pa.RecordBatch:
-    found, n = np.unique(np.concatenate(hashes), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+TALLY = "part int, once binary, many binary, n binary"
 
 
-def _surveyor(shared: list, shortest: int, longest: int):
+def _planes(keys: np.ndarray) -> bytes:
+    """Rising 32-bit keys, all their first bytes, all second bytes and so on: the high ones repeat, so they pack well."""
+    return keys.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _tally(hashes: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """The counts of each hash partition: keys counted once, and others with their counts."""
+    every = np.concatenate(hashes)
+    low, high = every & np.uint64(0xFFFFFFFF), every >> np.uint64(32)
+    found, n = np.unique(((high * np.uint64(parts)) & ~np.uint64(0xFFFFFFFF)) | low, return_counts=True)
+    edges = np.searchsorted(found, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+    rows = []
+    for p in range(parts):
+        keys, many = found[edges[p] : edges[p + 1]] & np.uint64(0xFFFFFFFF), n[edges[p] : edges[p + 1]]
+        more = many > 1
+        rows.append((p, _planes(keys[~more]), _planes(keys[more]), many[more].astype("<u4").tobytes()))
+    columns = list(zip(*(r for r in rows if r[1] or r[2]))) or [[]] * 4
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["part", "once", "many", "n"])
+
+
+def _surveyor(shared: list, shortest: int, longest: int, parts: int):
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieves, held, size = [s.value for s in shared], [], 0
         for chunk in chunks(batches):
@@ -143,19 +168,20 @@ def _surveyor(shared: list, shortest: int, longest: int):
                     held.append(hashes)
                     size += len(hashes)
             if size >= TABLE:
-                yield _tally(held)
+                yield _tally(held, parts)
                 held, size = [], 0
         if size:
-            yield _tally(held)
+            yield _tally(held, parts)
 
     return survey
 
 
 @dataclass
 class Summary:
-    """Misra-Gries counters: a key's true count lies between its counter (or 0) and that plus ``lost``."""
+    """Misra-Gries counters: a key's true count lies between its counter (or 0) and that plus ``lost``, which stays below ``least``."""
 
     capacity: int
+    least: int
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     lost: int = 0
@@ -167,54 +193,53 @@ class Summary:
         keys, counts = keys[order], counts[order]
         new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
         self.keys, self.counts, self.lost = keys[new], np.add.reduceat(counts, new) if len(new) else counts, self.lost + lost
-        if len(self.keys) > self.capacity:
+        while len(self.keys) > self.capacity:
             over = len(self.keys) - self.capacity - 1  # of the counters in rising order, the last that has to go
-            least = int(np.partition(self.counts, over)[over])
-            left = self.counts > least
-            self.keys, self.counts, self.lost = self.keys[left], self.counts[left] - least, self.lost + least
+            off = int(np.partition(self.counts, over)[over])
+            if self.lost + off >= self.least:
+                self.capacity *= 2
+                continue
+            left = self.counts > off
+            self.keys, self.counts, self.lost = self.keys[left], self.counts[left] - off, self.lost + off
 
-    def reach(self, least: int) -> np.ndarray:
-        return self.keys[self.counts + self.lost >= least]
+    def reach(self) -> np.ndarray:
+        return self.keys[self.counts + self.lost >= self.least]
 
 
 def _summariser(capacity: int, least: int):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, Summary] = {}
-        held: list[tuple[np.ndarray, ...]] = []
+        held: dict[int, list] = {}
 
-        def flush() -> None:
-            part, gram, n = (np.concatenate(c) for c in zip(*held))
-            for p in np.unique(part).tolist():
-                own = part == p
-                parts.setdefault(p, Summary(capacity)).add(gram[own], n[own])
-            held.clear()
+        def flush(p: int) -> None:
+            keys, counts = (np.concatenate(c) for c in zip(*held.pop(p)))
+            parts.setdefault(p, Summary(capacity, least)).add(keys, counts)
 
         for batch in batches:
-            held.append(tuple(batch.column(c).to_numpy() for c in ("part", "gram", "n")))
-            if sum(len(h[0]) for h in held) >= max(1_000_000, capacity):
-                flush()
-        if held:
-            flush()
+            for p, once, many, n in zip(*(batch.column(c).to_pylist() for c in ("part", "once", "many", "n"))):
+                keys = np.concatenate([_from_planes(once), _from_planes(many)]).astype(np.int64)
+                counts = np.r_[np.ones(len(once) // 4, np.int64), np.frombuffer(n, "<u4").astype(np.int64)]
+                held.setdefault(p, []).append((keys, counts))
+                if sum(len(k) for k, _ in held[p]) >= max(500_000, capacity):
+                    flush(p)
+        for p in list(held):
+            flush(p)
         for summary in parts.values():
-            yield pa.RecordBatch.from_arrays([pa.array(summary.reach(least))], names=["gram"])
+            yield pa.RecordBatch.from_arrays([pa.array(summary.reach())], names=["gram"])
 
     return summarise
 
 
-def survivors(rows: DataFrame, shared: list, shortest: int, longest: int, least: int) -> DataFrame:
-    """gram: the hashes of all phrases of these lengths counted ``least`` times, and some others."""
+def survivors(rows: DataFrame, shared: list, shortest: int, longest: int, least: int, words: int) -> DataFrame:
+    """gram: hashes (their last 32 bits) of all phrases of these lengths counted ``least`` times, and of some others."""
     spark = rows.sparkSession
-    tally = stored(rows.mapInArrow(_surveyor(shared, shortest, longest), "gram bigint, n bigint"), "phrase-tally")
-    sure = tally.where(F.col("n") >= least).select("gram").distinct()
-    rest = tally.where(F.col("n") < least)
-    mass = rest.agg(F.sum("n")).head()[0] or 0
+    mass = words * (longest - shortest + 1)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(buckets(mass, MASS_PER_PART), min(tasks, buckets(mass, SMALL_PART)))
-    rest = rest.select(F.pmod("gram", F.lit(parts)).alias("part"), "gram", "n")
-    largest = rest.groupBy("part").agg(F.sum("n").alias("mass")).agg(F.max("mass")).head()[0] or 0
-    capacity = SLACK * (largest // least + 1)
-    found = rest.repartition(parts, "part").mapInArrow(_summariser(capacity, least), "gram bigint")
-    return stored(sure.unionByName(found), "phrase-survivors")
+    capacity = SLACK * (mass // parts // least + 1)
+    tally = rows.mapInArrow(_surveyor(shared, shortest, longest, parts), TALLY)
+    found = tally.repartition(parts, "part").mapInArrow(_summariser(capacity, least), "gram bigint")
+    return stored(found, "phrase-survivors")
 
 
 def sieve(grams: DataFrame) -> np.ndarray:
@@ -255,9 +280,10 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longe
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), whole(F.col(text)).alias("text"))
     rows = rows.select("lang", F.xxhash64("lang").alias("salt"), "text")
     context, shared = docs.sparkSession.sparkContext, []
+    words = (rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0) // WORD_BYTES
     # words, pairs, then all longer lengths at once
     for shortest, last in [(1, 1), (2, 2), (3, longest)][: min(3, longest)]:
-        shared.append(context.broadcast(sieve(survivors(rows, shared, shortest, last, least))))
+        shared.append(context.broadcast(sieve(survivors(rows, shared, shortest, last, least, words))))
     counts = rows.mapInArrow(_counter(shared, longest), COUNTED).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counts.where((F.col("n") >= least) | (F.col("phrase") == ""))
 
