@@ -14,10 +14,11 @@ often as the corpus links it.
   merges, and no piece of B has a blank after another character), which is checked when they are loaded;
   others encode whole texts.
 - For the same reason a task encodes each stretch between such blanks once and looks it up afterwards.
-- Counts: links are summed per pair in each task, then over the corpus. The most frequent pairs, ``KNOWN`` of them at
+- Each text's digest and its distinct pairs with their numbers of links are written. From these the corpus' counts
+  are summed, in each task first. The most frequent pairs, ``KNOWN`` of them at
   most, are sent to the tasks; links of other pairs are joined with their counts. Both happen at any size.
 
-Scale: texts are read twice, those over ``PIECE`` bytes move once. A task holds some megabytes of text and ``STRETCHES``
+Scale: texts are encoded once; those over ``PIECE`` bytes move twice. A task holds some megabytes of text and ``STRETCHES``
 stretches. What is sent to all tasks is bounded by ``KNOWN`` and by the vocabularies.
 
 Edge cases: null and empty texts, and texts that a tokenizer doesn't spell byte for byte, have no tokens: zeros and an
@@ -30,8 +31,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,9 +47,11 @@ from .common import stored, whole
 PIECE = 1 << 15
 FAN = 16
 KNOWN = 1 << 20
-STRETCHES = 400_000
+STRETCHES = 500_000
 #: Links a task holds before it hands its counts on.
 HELD = 4_000_000
+#: Bytes of stretches that are encoded as one text, about.
+ONE_TEXT = 1 << 14
 
 BLANK = "▁"
 
@@ -62,7 +66,7 @@ class Ragged:
     @classmethod
     def of(cls, lists: list) -> Ragged:
         at = np.cumsum([0, *map(len, lists)])
-        return cls(np.fromiter((x for one in lists for x in one), np.int64, at[-1]), at)
+        return cls(np.fromiter(chain.from_iterable(lists), np.int64, at[-1]), at)
 
     def __len__(self) -> int:
         return len(self.at) - 1
@@ -72,13 +76,43 @@ class Ragged:
         at = np.r_[0, np.cumsum(size)]
         return Ragged(self.flat[np.arange(at[-1]) + np.repeat(self.at[which] - at[:-1], size)], at)
 
-    def plus(self, other: Ragged) -> Ragged:
-        return Ragged(np.concatenate([self.flat, other.flat]), np.r_[self.at, other.at[1:] + self.at[-1]])
-
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.at))
 
 
+class Growing:
+    """An array that grows at its end, in place as long as there is room."""
+
+    def __init__(self, kind: type = np.int64, first: Sequence[int] = ()):
+        self.room, self.size = np.zeros(1024, kind), 0
+        self.add(np.asarray(first, kind))
+
+    def add(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.room):
+            more = np.zeros(max(2 * len(self.room), self.size + len(values)), self.room.dtype)
+            more[: self.size] = self.room[: self.size]
+            self.room = more
+        self.room[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+    @property
+    def now(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class GrowingRagged:
+    def __init__(self, kind: type = np.int64):
+        self.flat, self.at = Growing(kind), Growing(np.int64, [0])
+
+    def add(self, more: Ragged) -> None:
+        self.at.add(more.at[1:] + self.flat.size)
+        self.flat.add(more.flat)
+
+    @property
+    def now(self) -> Ragged:
+        return Ragged(self.flat.now, self.at.now)
+
+
 def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of each list of a ragged array with these offsets."""
     total = np.r_[0, np.cumsum(values)]
@@ -95,25 +129,37 @@ def _byte_alphabet() -> dict[str, int]:
 class Tokenizers:
     """Both tokenizers and the bytes of their tokens."""
 
-    def __init__(self, a_json: str, b_model: bytes):
+    def __init__(self, a_json: str, b_model: bytes, known: tuple | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         import sentencepiece
         from tokenizers import Tokenizer
 
+        self.content = a_json, b_model
         self.a = Tokenizer.from_str(a_json)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        if known is None:
+            self._read()
+        else:
+            self.spell_a, self.spell_b, self.cuts = Ragged(*known[0]), Ragged(*known[1]), known[2]
+        self.n_b = len(self.spell_b)
+
+    def _read(self) -> None:
         alphabet = _byte_alphabet()
         names = {i: t for t, i in self.a.get_vocab().items()}
         a = [bytes(alphabet.get(c, 63) for c in names.get(i, "")) for i in range(max(names) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         self.spell_a, self.spell_b = Ragged.of(a), Ragged.of(b)
-        parts = json.loads(a_json)
+        parts = json.loads(self.content[0])
         words = parts.get("pre_tokenizer") or {}
         plain = parts.get("normalizer") is None and words.get("type") == "ByteLevel" and words.get("use_regex") and not words.get("add_prefix_space")
         self.cuts = bool(plain) and not any(BLANK in p.lstrip(BLANK) for p in pieces)
 
+    def sent(self) -> tuple:
+        """What a task needs to have the same, as plain values."""
+        return *self.content, ((self.spell_a.flat, self.spell_a.at), (self.spell_b.flat, self.spell_b.at), self.cuts)
+
     def encode(self, bodies: list[bytes]) -> tuple[np.ndarray, Ragged, Ragged]:
         """Whether each body (that begins with a blank) is spelled byte for byte, and its tokens, none if it isn't."""
         texts = [b.decode() for b in bodies]
@@ -125,6 +171,33 @@ class Tokenizers:
             tokens.at = np.r_[0, np.cumsum(np.where(ok, np.diff(tokens.at), 0))]
         return ok, a, b
 
+    def encode_stretches(self, bodies: list[bytes]) -> tuple[np.ndarray, Ragged, Ragged]:
+        """The same of many short stretches: those that may stand beside each other are encoded as one text, and
+        parted where they meet. If such a text isn't spelled, its stretches are encoded one by one."""
+        if not self.cuts:
+            return self.encode(bodies)
+        data, at = np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([0, *map(len, bodies)])
+        meets = np.isin(at[:-1], safe_cuts(data, at[[0, -1]]))
+        begins = np.flatnonzero(~meets | (np.diff(at // ONE_TEXT, prepend=-1) > 0)[:-1])
+        runs = np.r_[begins, len(bodies)].tolist()
+        texts = [data[at[i] : at[j]].tobytes() for i, j in zip(runs, runs[1:])]
+        ok, a, b = self.encode(texts)
+        out = []
+        for tokens, spell in ((a, self.spell_a), (b, self.spell_b)):
+            # where the stretches of the spelled texts end, in tokens
+            ends = np.cumsum(np.diff(spell.at)[tokens.flat])
+            size = np.diff(at) * np.repeat(ok, np.diff(runs))
+            out.append(Ragged(tokens.flat, np.r_[0, np.searchsorted(ends, np.cumsum(size), "right")]))
+        every = np.repeat(ok, np.diff(runs))
+        if ok.all():
+            return every, *out
+        again = np.flatnonzero(~every)
+        ok_again, *more = self.encode([bodies[i] for i in again.tolist()])
+        every[again] = ok_again
+        order = np.arange(len(bodies))
+        order[again] = len(bodies) + np.arange(len(again))
+        return every, *(Ragged(np.concatenate([x.flat, y.flat]), np.r_[x.at, y.at[1:] + x.at[-1]]).take(order) for x, y in zip(out, more))
+
     @staticmethod
     def _spelled(tokens: Ragged, spell: Ragged, bodies: list[bytes]) -> np.ndarray:
         said = spell.take(tokens.flat)
@@ -139,33 +212,52 @@ class Tokenizers:
 
 @dataclass
 class Aligned:
-    """Links and groups of encoded bodies, in a row: id pairs, tokens of A and B in each group, and how many each body has."""
+    """Links and groups of encoded bodies, in a row: id pairs (A's times the size of B's vocabulary plus B's), tokens of A and B in each group, and how many each body has."""
 
     pairs: Ragged
     group_a: Ragged
     group_b: Ragged
 
 
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Members of both rising arrays."""
+    if not len(b):
+        return b
+    return a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a]
+
+
 def align(a: Ragged, b: Ragged, tokenizers: Tokenizers) -> Aligned:
     end_a, end_b = (np.cumsum(np.diff(s.at)[t.flat]) for t, s in ((a, tokenizers.spell_a), (b, tokenizers.spell_b)))
     stop = np.r_[0, end_a][a.at]  # the bodies' ends; both spell the same bytes
-    ends = np.union1d(end_a, end_b)
+    ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+    ends = ends[np.r_[True, ends[1:] != ends[:-1]]] if len(ends) else ends
     # between two neighbouring ends lie bytes of one token of each
-    pairs = (a.flat[np.searchsorted(end_a, ends)] << 32) | b.flat[np.searchsorted(end_b, ends)]
-    common = np.intersect1d(end_a, end_b, assume_unique=True)
+    pairs = a.flat[np.searchsorted(end_a, ends)].astype(np.int64) * tokenizers.n_b + b.flat[np.searchsorted(end_b, ends)]
+    common = _shared(end_a, end_b)
     sizes = [np.diff(np.searchsorted(e, common, "right"), prepend=0) for e in (end_a, end_b)]
     groups = np.searchsorted(common, stop, "right")
     return Aligned(Ragged(pairs, np.searchsorted(ends, stop, "right")), *(Ragged(s, groups) for s in sizes))
 
 
-def render(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> list[str]:
-    """a1,a2|b1 of each group."""
-    words_a, words_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    out, i, j = [], 0, 0
-    for m, n in zip(size_a.tolist(), size_b.tolist()):
-        out.append(",".join(words_a[i : i + m]) + "|" + ",".join(words_b[j : j + n]))
-        i, j = i + m, j + n
-    return out
+def render(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """a1,a2|b1; of each group, in a row, and where each group begins (and the end)."""
+    upto_a, upto_b = np.cumsum(size_a), np.cumsum(size_b)
+    groups = np.arange(len(size_a))
+    # a token's place: its own number and that of the other side's tokens before it
+    place_a = np.arange(len(a)) + np.repeat(upto_b - size_b, size_a)
+    place_b = np.arange(len(b)) + np.repeat(upto_a, size_b)
+    ids, ending = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[place_a], ids[place_b] = a, b
+    ending[place_a[upto_a[groups] - 1]] = ord("|")
+    ending[place_b[upto_b[groups] - 1]] = ord(";")
+    digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 10))
+    end = np.cumsum(digits + 1)
+    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+    out[end - 1] = ending
+    for k in range(int(digits.max(initial=0))):
+        with_digit = digits > k
+        out[end[with_digit] - 2 - k] = ord("0") + (ids[with_digit] // 10**k) % 10
+    return out.tobytes(), np.r_[0, end][np.r_[0, upto_a + upto_b]]
 
 
 @dataclass
@@ -185,7 +277,7 @@ class Fragment:
     @classmethod
     def of(cls, a: np.ndarray, end_a: np.ndarray, b: np.ndarray, end_b: np.ndarray) -> Fragment:
         """From token ids and the offsets at which they end in the document."""
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        common = _shared(end_a, end_b)
         if not len(common):
             return cls(True, False, a, b, len(a), len(b), *np.zeros((2, 0), np.int64))
         size_a, size_b = (np.diff(np.searchsorted(e, common, "right"), prepend=0) for e in (end_a, end_b))
@@ -241,25 +333,27 @@ def safe_cuts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Stretches:
-    """The distinct stretches a task has met, with their tokens, links and groups."""
+    """The distinct stretches a task has met, whether they are spelled, and either their tokens or their part of a digest."""
 
-    def __init__(self, tokenizers: Tokenizers, render_groups: bool):
-        self.tokenizers, self.render_groups = tokenizers, render_groups
+    def __init__(self, tokenizers: Tokenizers, tokens: bool = False):
+        self.tokenizers, self.tokens = tokenizers, tokens
         self.clear()
 
     def clear(self) -> None:
-        none = Ragged(np.zeros(0, np.int64), np.zeros(1, np.int64))
         self.number: dict[bytes, int] = {}
-        self.ok = np.zeros(0, bool)
-        self.a = self.b = self.pairs = none
-        self.groups = np.zeros(0, np.int64)
-        self.said: list[str] = []
+        self.ok = Growing(bool)
+        self.pairs, self.a, self.b = GrowingRagged(), GrowingRagged(np.int32), GrowingRagged(np.int32)
+        self.sizes = [Growing() for _ in range(4)]
+        self.said: list[bytes] = []
+
+    def __len__(self) -> int:
+        return self.ok.size
 
     def look_up(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """The number of every stretch of the chunk, and where each text's stretches begin (and the end)."""
         begin = safe_cuts(chunk.data, chunk.starts) if self.tokenizers.cuts else np.zeros(0, np.int64)
         filled = chunk.starts[:-1][np.diff(chunk.starts) > 0]
-        begin = np.union1d(begin, filled)
+        begin = np.sort(np.concatenate([begin, filled]), kind="stable")  # a safe cut is no text's begin
         offsets = np.r_[begin, len(chunk.data)].astype(np.int32)
         bodies = pa.BinaryArray.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(chunk.data))])
         named = bodies.dictionary_encode()
@@ -271,15 +365,21 @@ class Stretches:
         return number[named.indices.to_numpy()], np.searchsorted(begin, chunk.starts)
 
     def _learn(self, bodies: list[bytes]) -> None:
-        self.number.update(zip(bodies, range(len(self.number), len(self.number) + len(bodies))))
-        ok, a, b = self.tokenizers.encode(bodies)
+        self.number.update(zip(bodies, range(len(self), len(self) + len(bodies))))
+        ok, a, b = self.tokenizers.encode_stretches(bodies)
+        self.ok.add(ok)
+        if self.tokens:
+            self.a.add(a)
+            self.b.add(b)
+            return
         aligned = align(a, b, self.tokenizers)
-        self.ok, self.a, self.b, self.pairs = np.r_[self.ok, ok], self.a.plus(a), self.b.plus(b), self.pairs.plus(aligned.pairs)
+        self.pairs.add(aligned.pairs)
         at = aligned.group_a.at
-        self.groups = np.r_[self.groups, np.diff(at)]
-        if self.render_groups:
-            said = render(a.flat, b.flat, aligned.group_a.flat, aligned.group_b.flat)
-            self.said += [";".join(said[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+        for size, values in zip(self.sizes, (a.at, b.at, at, aligned.pairs.at)):
+            size.add(np.diff(values))
+        said, begins = render(a.flat, b.flat, aligned.group_a.flat, aligned.group_b.flat)
+        cuts = begins[at].tolist()
+        self.said += [said[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 # ---- tasks --------------------------------------------------------------------------------------------------------
@@ -289,87 +389,88 @@ def _loaded(files) -> Tokenizers:
     return Tokenizers(*files.value)
 
 
-def _tally(pairs: list[np.ndarray], weights: list[np.ndarray]) -> pa.RecordBatch:
-    found, which = np.unique(np.concatenate(pairs), return_inverse=True)
-    n = np.bincount(which, weights=np.concatenate(weights), minlength=len(found)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["pair", "n"])
-
-
-def _pair_counter(files):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = Stretches(_loaded(files), False), np.zeros(0, np.int64)
-        for chunk in chunks(batches):
-            number, at = known.look_up(chunk)
-            ok = sums(known.ok[number], at) == np.diff(at)
-            times = np.r_[times, np.zeros(len(known.ok) - len(times), np.int64)]
-            times += np.bincount(number[np.repeat(ok, np.diff(at))], minlength=len(times))
-            if len(known.ok) >= STRETCHES:
-                yield _tally([known.pairs.flat], [times[known.pairs.owner()]])
-                known.clear()
-                times = np.zeros(0, np.int64)
-        yield _tally([known.pairs.flat], [times[known.pairs.owner()]])
+DIGEST = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, times bigint, pairs array<bigint>, links array<int>"
+_NAMES = ["n_a", "n_b", "n_groups", "n_links"]
 
-    return count
 
+def _digests(doc_id: pa.Array, times: pa.Array, ok: np.ndarray, sizes: list[np.ndarray], said: list[bytes], pairs: Ragged, n_codes: int) -> pa.RecordBatch:
+    """``pairs`` are all links of each text; the row has each pair once."""
+    every, n = np.unique(pairs.owner() * n_codes + pairs.flat, return_counts=True)
+    at = pa.array(np.searchsorted(every, np.arange(len(ok) + 1) * n_codes).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(at, pa.array(v)) for v in (every % n_codes, n.astype(np.int32))]
+    sha = pa.array([hashlib.sha256(memoryview(s)[:-1]).hexdigest() if k else "" for s, k in zip(said, ok.tolist())], pa.string())
+    columns = [pa.array(np.where(ok, s, 0).astype(np.int64)) for s in sizes]
+    return pa.RecordBatch.from_arrays([doc_id.cast(pa.int64()), *columns, sha, times, *lists], names=["doc_id", *_NAMES, "groups_sha256", "times", "pairs", "links"])
 
-@dataclass
-class Counts:
-    """The counts of the most frequent pairs (rising), and the highest count of every B id."""
 
-    pair: np.ndarray
-    n: np.ndarray
-    best: np.ndarray
+def _digester(files):
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Stretches(_loaded(files))
+        n_codes = len(known.tokenizers.spell_a) * known.tokenizers.n_b
+        for chunk in chunks(batches):
+            if len(known) >= STRETCHES:
+                known.clear()
+            number, at = known.look_up(chunk)
+            # a text without bytes has no stretch, and no tokens
+            ok = (sums(known.ok.now[number], at) == np.diff(at)) & (np.diff(at) > 0)
+            said = list(map(known.said.__getitem__, number.tolist()))
+            texts = [b"".join(said[i:j]) if k else b"" for i, j, k in zip(at[:-1].tolist(), at[1:].tolist(), ok.tolist())]
+            held = np.repeat(ok, np.diff(at))
+            lists = known.pairs.now.take(number[held])
+            per_text = Ragged(lists.flat, lists.at[np.r_[0, np.cumsum(np.where(ok, np.diff(at), 0))]])
+            sizes = [sums(size.now[number], at) for size in known.sizes]
+            yield _digests(chunk.column("doc_id"), pa.array(np.ones(len(chunk), np.int64)), ok, sizes, texts, per_text, n_codes)
 
-    def weigh(self, pairs: Ragged) -> tuple[np.ndarray, np.ndarray, Ragged]:
-        """Of each list: sum of the known links' counts, how many of them are best, and the pairs that aren't known."""
-        where = np.minimum(np.searchsorted(self.pair, pairs.flat), max(0, len(self.pair) - 1))
-        hit = self.pair[where] == pairs.flat if len(self.pair) else np.zeros(len(pairs.flat), bool)
-        n = np.where(hit, self.n[where] if len(self.pair) else 0, 0)
-        best = hit & (n == self.best[pairs.flat & 0xFFFFFFFF])
-        return sums(n, pairs.at), sums(best, pairs.at), Ragged(pairs.flat[~hit], np.r_[0, np.cumsum(sums(~hit, pairs.at))])
+    return digest
 
 
-DIGEST = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string, times bigint, rare array<struct<pair:bigint,n:bigint>>"
-_RARE = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
+def _pair_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of ``times`` times the links of each pair, some rows at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def tally() -> pa.RecordBatch:
+        pairs, n = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        found, which = np.unique(pairs, return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.bincount(which, weights=n, minlength=len(found)).astype(np.int64))], names=["pair", "n"])
 
-def _rare_lists(rare: Ragged) -> pa.Array:
-    """Pair and count of each list, null for an empty one."""
-    out = []
-    for i in range(len(rare)):
-        found, n = np.unique(rare.flat[rare.at[i] : rare.at[i + 1]], return_counts=True)
-        out.append([{"pair": p, "n": c} for p, c in zip(found.tolist(), n.tolist())] or None)
-    return pa.array(out, _RARE)
+    for batch in batches:
+        links = _tokens(batch, "links")
+        held.append((batch.column("pairs").flatten().to_numpy(), links.flat * batch.column("times").to_numpy()[links.owner()]))
+        if sum(len(p) for p, _ in held) >= HELD:
+            yield tally()
+    if held:
+        yield tally()
 
 
-def _digests(doc_id: pa.Array, times: pa.Array, ok: np.ndarray, numbers: list[np.ndarray], said: list[str], rare: Ragged) -> pa.RecordBatch:
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    columns = [pa.array(np.where(ok, n, 0).astype(np.int64)) for n in numbers]
-    sha = pa.array([hashlib.sha256(s.encode()).hexdigest() if k else "" for s, k in zip(said, ok.tolist())], pa.string())
-    lists = _rare_lists(rare) if len(rare.flat) else pa.nulls(len(ok), _RARE)
-    return pa.RecordBatch.from_arrays([doc_id.cast(pa.int64()), *columns, sha, times, lists], names=["doc_id", *names, "groups_sha256", "times", "rare"])
+WEIGHED = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string, times bigint, rare array<struct<pair:bigint,m:bigint>>"
+_RARE = pa.list_(pa.struct([("pair", pa.int64()), ("m", pa.int64())]))
 
 
-def _digester(files, counted):
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = Stretches(_loaded(files), True), Counts(*counted.value)
-        for chunk in chunks(batches):
-            if len(known.ok) >= STRETCHES:
-                known.clear()
-            number, at = known.look_up(chunk)
-            # a text without bytes has no stretch, and no tokens
-            ok = (sums(known.ok[number], at) == np.diff(at)) & (np.diff(at) > 0)
-            used, which = np.unique(number, return_inverse=True)
-            total, best, rare = counts.weigh(known.pairs.take(used))
-            sizes = [np.diff(known.a.at)[number], np.diff(known.b.at)[number], known.groups[number], np.diff(known.pairs.at)[number], best[which], total[which]]
-            said = list(map(known.said.__getitem__, number.tolist()))
-            texts = [";".join(said[i:j]) if k else "" for i, j, k in zip(at[:-1].tolist(), at[1:].tolist(), ok.tolist())]
-            lists = rare.take(which)
-            per_text = Ragged(lists.flat, lists.at[at])
-            per_text = per_text if ok.all() else Ragged(per_text.flat[np.repeat(ok, np.diff(per_text.at))], np.r_[0, np.cumsum(np.where(ok, np.diff(per_text.at), 0))])
-            yield _digests(chunk.column("doc_id"), pa.array(np.ones(len(chunk), np.int64)), ok, [sums(s, at) for s in sizes], texts, per_text)
+def _weigher(counted, n_b: int):
+    """Sums of the known pairs' counts over each text's links, how many of these links are best, and the pairs that aren't known."""
 
-    return digest
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, n, most = counted.value
+        for batch in batches:
+            links, own = _tokens(batch, "links"), batch.column("pairs").flatten().to_numpy()
+            where = np.minimum(np.searchsorted(pair, own), max(0, len(pair) - 1))
+            hit = pair[where] == own if len(pair) else np.zeros(len(own), bool)
+            count = np.where(hit, n[where] if len(pair) else 0, 0)
+            total, best = sums(count * links.flat, links.at), sums(links.flat * (hit & (count == most[own % n_b])), links.at)
+            if hit.all():
+                rare = pa.nulls(len(batch), _RARE)
+            else:
+                at = np.r_[0, np.cumsum(~hit)][links.at]
+                fields = pa.StructArray.from_arrays([pa.array(own[~hit]), pa.array(links.flat[~hit])], ["pair", "m"])
+                rare = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), fields)
+            kept = batch.select(["row", "doc_id", *_NAMES])
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(best), pa.array(total), batch.column("groups_sha256"), batch.column("times"), rare],
+                names=["row", "doc_id", *_NAMES, "n_best", "count_sum", "groups_sha256", "times", "rare"],
+            )
+
+    return weigh
 
 
 PIECES = "doc_id bigint, print string, times bigint, no bigint, body string"
@@ -407,19 +508,19 @@ def _rows(keys: dict, fragments: list[Fragment]) -> dict:
 
 def _fragmenter(files):
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Stretches(_loaded(files), False)
+        known = Stretches(_loaded(files), tokens=True)
         size_a, size_b = (np.diff(s.at) for s in (known.tokenizers.spell_a, known.tokenizers.spell_b))
         ints = pa.list_(pa.int32())
         kinds = [pa.bool_(), pa.bool_(), ints, ints, pa.int32(), pa.int32(), ints, ints]
         for chunk in chunks(batches, "body"):
-            if len(known.ok) >= STRETCHES:
+            if len(known) >= STRETCHES:
                 known.clear()
             number, at = known.look_up(chunk)
             found = []
             for i in range(len(chunk)):
                 own = number[at[i] : at[i + 1]]
-                a, b = known.a.take(own).flat, known.b.take(own).flat
-                found.append(Fragment.of(a, np.cumsum(size_a[a]), b, np.cumsum(size_b[b])) if known.ok[own].all() else Fragment.failed())
+                a, b = known.a.now.take(own).flat, known.b.now.take(own).flat
+                found.append(Fragment.of(a, np.cumsum(size_a[a]), b, np.cumsum(size_b[b])) if known.ok.now[own].all() else Fragment.failed())
             columns = [pa.array([getattr(f, p) for f in found], t) for p, t in zip(_PARTS, kinds)]
             yield pa.RecordBatch.from_arrays([*(chunk.column(c) for c in ("doc_id", "print", "times", "no")), *columns], names=["doc_id", "print", "times", "no", *_PARTS])
 
@@ -450,34 +551,18 @@ def _tokens(batch: pa.RecordBatch, name: str) -> Ragged:
     return Ragged(column.flatten().to_numpy().astype(np.int64), np.r_[0, np.cumsum(column.value_lengths().to_numpy())].astype(np.int64))
 
 
-def _long_pair_counter(files):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers, pairs, times = _loaded(files), [], []
-        for batch in batches:
-            found = align(_tokens(batch, "a"), _tokens(batch, "b"), tokenizers).pairs
-            pairs.append(found.flat)
-            times.append(np.repeat(batch.column("times").to_numpy(), np.diff(found.at)))
-            if sum(map(len, pairs)) >= HELD:
-                yield _tally(pairs, times)
-                pairs, times = [], []
-        if pairs:
-            yield _tally(pairs, times)
-
-    return count
-
-
-def _long_digester(files, counted):
+def _long_digester(files):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers, counts = _loaded(files), Counts(*counted.value)
+        tokenizers = _loaded(files)
         for batch in batches:
             a, b = _tokens(batch, "a"), _tokens(batch, "b")
             pairs = align(a, b, tokenizers).pairs
-            total, best, rare = counts.weigh(pairs)
-            rows = [Fragment(**{k: np.asarray(v) if isinstance(v, list) else v for k, v in r.items()}) for r in batch.select(list(_PARTS)).to_pylist()]
+            rows = [Fragment(**{k: np.asarray(v, np.int64) if isinstance(v, list) else v for k, v in r.items()}) for r in batch.select(list(_PARTS)).to_pylist()]
             groups = [f.closed() for f in rows]
-            said = [";".join(render(f.a, f.b, *g)) for f, g in zip(rows, groups)]
-            numbers = [np.diff(a.at), np.diff(b.at), np.array([len(g[0]) for g in groups]), np.diff(pairs.at), best, total]
-            yield _digests(batch.column("doc_id"), batch.column("times"), np.array([f.ok for f in rows], bool), numbers, said, rare)
+            said = [render(f.a, f.b, *g)[0] for f, g in zip(rows, groups)]
+            sizes = [np.diff(a.at), np.diff(b.at), np.array([len(g[0]) for g in groups]), np.diff(pairs.at)]
+            ok = np.array([f.ok for f in rows], bool)
+            yield _digests(batch.column("doc_id"), batch.column("times"), ok, sizes, said, pairs, len(tokenizers.spell_a) * tokenizers.n_b)
 
     return digest
 
@@ -498,23 +583,23 @@ def _known(pairs: DataFrame, most: int) -> DataFrame:
     return pairs.where(level >= least) if least is not None else pairs.limit(0)
 
 
-def link_counts(pairs: DataFrame, vocabulary: int, most: int) -> tuple[np.ndarray, ...]:
-    best = pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b")).agg(F.max("n").alias("n")).toArrow()  # one row for each id of B
-    highest = np.zeros(vocabulary, np.int64)
+def link_counts(pairs: DataFrame, n_b: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent pairs, rising, with their counts, and the highest count of every B id."""
+    best = pairs.groupBy(F.pmod("pair", F.lit(n_b)).alias("b")).agg(F.max("n").alias("n")).toArrow()  # one row for each id of B
+    highest = np.zeros(n_b, np.int64)
     highest[best["b"].to_numpy()] = best["n"].to_numpy()
     known = _known(pairs, most).toArrow()
     pair, n = known["pair"].to_numpy(), known["n"].to_numpy()
     order = np.argsort(pair)
-    return pair[order], n[order], highest  # plain arrays, as executors have no copy of the package
+    return pair[order], n[order], highest
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text", known: int = KNOWN) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of ``docs``."""
     spark: SparkSession = docs.sparkSession
     with open(a_path, encoding="utf-8") as a_file, open(b_path, "rb") as b_file:  # vocabularies lie beside the driver
-        content = (a_file.read(), b_file.read())
-    files = spark.sparkContext.broadcast(content)
-    vocabulary = len(Tokenizers(*content).spell_b)
+        tokenizers = Tokenizers(a_file.read(), b_file.read())
+    files = spark.sparkContext.broadcast(tokenizers.sent())
     body = whole(F.col(text))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.when(body == "", "").otherwise(F.concat(F.lit(" "), body)).alias("text"))
     short = rows.where(F.octet_length("text") <= PIECE)
@@ -524,22 +609,19 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fragments = stored(long.repartition(tasks, "doc_id", "print", "no").mapInArrow(_fragmenter(files), FRAGMENT), "fragments")
     pieces = (fragments.agg(F.max("no")).head()[0] or 0) + 1
-    texts = stored(joined(fragments, pieces), "aligned-texts") if pieces > 1 else fragments
 
-    tally = short.mapInArrow(_pair_counter(files), "pair bigint, n bigint").unionByName(texts.mapInArrow(_long_pair_counter(files), "pair bigint, n bigint"))
-    pairs = stored(tally.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"), "pairs")
-    counted = spark.sparkContext.broadcast(link_counts(pairs, vocabulary, known))
-    digests = short.mapInArrow(_digester(files, counted), DIGEST).unionByName(texts.mapInArrow(_long_digester(files, counted), DIGEST))
+    digests = short.mapInArrow(_digester(files), DIGEST).unionByName(joined(fragments, pieces).mapInArrow(_long_digester(files), DIGEST))
     digests = stored(digests.withColumn("row", F.monotonically_increasing_id()), "alignments")
+    pairs = stored(digests.select("times", "pairs", "links").mapInArrow(_pair_counter, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
+    counted = spark.sparkContext.broadcast(link_counts(pairs, tokenizers.n_b, known))
+    weighed = digests.mapInArrow(_weigher(counted, tokenizers.n_b), WEIGHED)
 
     # links of the other pairs; the written rows have fixed numbers
-    highest = pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b")).agg(F.max("n").alias("most"))
-    rare = digests.select("row", F.inline("rare")).withColumnRenamed("n", "m").join(pairs, "pair")
-    rare = rare.withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))).join(highest, "b")
+    b = F.pmod("pair", F.lit(tokenizers.n_b))
+    highest = pairs.groupBy(b.alias("b")).agg(F.max("n").alias("most"))
+    rare = stored(weighed.where("rare is not null").select("row", F.inline("rare")), "rare-links").join(pairs, "pair").withColumn("b", b).join(highest, "b")
     more = rare.groupBy("row").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("m")).otherwise(0)).alias("more_best"), F.sum(F.col("m") * F.col("n")).alias("more_sum"))
-    both = digests.where("rare is not null").join(more, "row")
-    both = both.withColumns({"n_best": F.col("n_best") + F.col("more_best"), "count_sum": F.col("count_sum") + F.col("more_sum")})
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    every = digests.where("rare is null").select(*names, "times").unionByName(both.select(*names, "times"))
-    again = every.where("times > 1").select(*names, F.explode(F.sequence(F.lit(2), "times")).alias("_")).select(names)
-    return every.select(names).unionByName(again)
+    both = weighed.join(more, "row", "left")
+    both = both.withColumns({"n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0))})
+    both = both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "times")))
+    return both.select("doc_id", *_NAMES, "n_best", "count_sum", "groups_sha256")
