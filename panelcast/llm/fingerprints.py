@@ -139,7 +139,7 @@ def in_ranges(rows: DataFrame) -> DataFrame:
     copy = F.array(F.struct(F.get(to, F.col("part")).alias("part"), F.lit(True).alias("guest")))
     dealt = rows.select("doc_id", "print", "text", F.inline(F.when(leads, F.concat(own, copy)).otherwise(own)))
     order = ["part", "guest", F.col("doc_id").asc_nulls_last(), "print", "text"]
-    return dealt.repartition(len(bounds) + 1, "part").sortWithinPartitions(*order)
+    return dealt.repartitionById(len(bounds) + 1, "part").sortWithinPartitions(*order)  # a task for each range
 
 
 PAIRED = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
