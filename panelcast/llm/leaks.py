@@ -1,22 +1,24 @@
-"""Benchmark decontamination: word seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare word runs are seeds, Smith-Waterman alignment scores the candidates.
 
 Test items are cut into pieces of at most ``PIECE`` words that overlap by ``PASSAGE``, so any ``PASSAGE``
-words in a row lie within one piece, wherever they begin. The pieces' runs of ``SEED`` words are
-looked for in every position of every text, and every one found is a seed, however common. A seed's
-position in a text minus its place in the passage says where the passage would begin; seeds that agree
-on it, roughly, make one candidate. A candidate with fewer words of the passage nearby than ``LEAST``
-asks for can't score it and is left. The surroundings of the others are aligned with the passage word by
+words in a row lie within one piece, wherever they begin. A piece's seeds are its runs of ``SEED`` words that at most ``SHARED``
+different pieces have, and its ``OWN`` rarest in any case, so a phrase that many items share makes no candidates of all of them.
+Seeds are looked for in every position of every text. A seed's position in a text minus its place in the
+piece says where the piece would begin. A piece is a candidate for a text that holds a seed found at most ``RARE`` times in
+the corpus, or two different seeds of it (or its only one); copies of an item in any number of texts still have many seeds each. A candidate with fewer words of the
+piece nearby than ``LEAST`` asks for can't score it and is left. The surroundings of the others are aligned with the piece word by
 word, so copies with words changed, left out or added still score. The score is the part of the best
 possible one of the item, or of ``PASSAGE`` words of it if it is longer, and at most 1; from ``LEAST`` on the text holds a copy. Words are runs of letters and digits, in lower case, so punctuation doesn't matter.
+A copy that keeps no seed, or in a corpus full of its only seed just that one, isn't found.
 
-Scale: a bitmap of at most ``BITS`` bits lets positions through that may hold a benchmark run; it
-has a fixed size, and what it lets through by chance falls out of the join with the runs
-themselves. Texts move once, to meet their candidates; their number follows the places where runs are
-found, and the words of a passage are sent once a text. A run in a third of all texts is a hot key of a
+Scale: a bitmap of at most ``BITS`` bits lets positions through that may hold a seed; it
+has a fixed size, and what it lets through by chance falls out of the join with the seeds
+themselves. A hit meets at most ``SHARED`` pieces, but for pieces made of shared runs only. Texts are read twice and
+move once, if they have a candidate; a sieve of fixed size tells (``common.parted``). A run in a third of all texts is a hot key of a
 join only, which Spark splits.
 
 Edge cases: null or empty texts and items match nothing; an item of fewer words than a seed is
-looked for as a whole run. Repeated rows are matched each. Repeated items are matched each; a null
+looked for as a whole run. Repeated rows are matched each. Repeated items are matched each, found once; a null
 item id is an item. An empty benchmark finds nothing. Other columns are not looked at.
 """
 
@@ -26,13 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytescan import LOWERED, Chunk, chunks, grams, mixed, prefix_hashes, span_hashes
-from .common import same_text, stored, whole
+from .common import parted, quoted, same_text, stored, unused, whole
 
 SEED = 3
+#: A run in this many pieces is still a seed; the ``OWN`` rarest of a piece always are.
+SHARED, OWN = 32, 4
+#: A seed found so often in the corpus is rare: one is enough for a candidate.
+RARE = 1_000
 PASSAGE = 64
 PIECE = 2 * PASSAGE
 MARGIN = 24
@@ -60,25 +66,47 @@ def plain_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(chunk.starts, begin, "right") - 1
 
 
-RUNS = "item_id bigint, passage int, gram bigint, place int, words array<bigint>"
+PIECES = "item_id bigint, words array<bigint>"
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds of each piece of each item."""
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each piece of each item."""
     for chunk in chunks(batches):
         hashes, doc = plain_words(chunk)
         ids, out = chunk.column("item_id").to_pylist(), []
         for i in range(len(chunk)):
-            own = hashes[np.searchsorted(doc, i) : np.searchsorted(doc, i + 1)]
-            for k, a in enumerate(range(0, max(len(own) - PASSAGE, min(1, len(own))), PASSAGE)):
-                part = own[max(0, min(a, len(own) - PIECE)) : a + PIECE]  # the last is as long as the others
-                n = min(SEED, len(part))
-                found, first = grams(part, np.zeros(len(part), np.int64), n)
-                words = part.view(np.int64).tolist()
-                out += [(ids[i], k, g, p, words) for g, p in zip((found + np.uint64(SEED - n)).view(np.int64).tolist(), first.tolist())]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
-        columns = list(zip(*out)) if out else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["item_id", "passage", "gram", "place", "words"])
+            own = hashes[np.searchsorted(doc, i) : np.searchsorted(doc, i + 1)].view(np.int64)
+            for a in range(0, max(len(own) - PASSAGE, min(1, len(own))), PASSAGE):
+                # the last is as long as the others
+                out.append((ids[i], own[max(0, min(a, len(own) - PIECE)) : a + PIECE].tolist()))
+        columns = list(zip(*out)) if out else [[]] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(list(columns[0]), pa.int64()), pa.array(list(columns[1]), pa.list_(pa.int64()))], names=["item_id", "words"])
+
+
+RUNS = "piece bigint, size int, gram bigint, place int"
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of words of each piece; ``size`` words each."""
+    for batch in batches:
+        out = []
+        for piece, words in zip(batch.column("piece").to_pylist(), batch.column("words")):
+            part = words.values.to_numpy().view(np.uint64)
+            n = min(SEED, len(part))
+            found, first = grams(part, np.zeros(len(part), np.int64), n)
+            out += [(piece, n, g, p) for g, p in zip((found + np.uint64(SEED - n)).view(np.int64).tolist(), first.tolist())]
+        columns = list(zip(*out)) if out else [[]] * 4
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["piece", "size", "gram", "place"])
+
+
+def seeds(pieces: DataFrame) -> DataFrame:
+    """The runs that stand for their pieces: those that few pieces share, and the ``OWN`` rarest of every piece."""
+    runs = stored(pieces.select("piece", "words").mapInArrow(_runs, RUNS), "runs")
+    shared = runs.groupBy("gram").agg(F.count_distinct("piece").alias("sharers"))
+    order = Window.partitionBy("piece").orderBy("sharers", "gram", "place")
+    ranked = runs.join(shared, "gram").withColumn("rank", F.row_number().over(order))
+    return stored(ranked.where((F.col("sharers") <= SHARED) | (F.col("rank") <= OWN)).drop("rank"), "seeds")
 
 
 def bitmap(runs: DataFrame) -> np.ndarray:
@@ -135,7 +163,7 @@ def align(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray) -> tuple[np
     return best, end
 
 
-MATCHES = "doc_id bigint, print bigint, item_id bigint, passage int, score double, first_word bigint, last_word bigint"
+MATCHES = "doc_id bigint, print bigint, piece bigint, score double, first_word bigint, last_word bigint"
 ROWS = 2_000
 
 
@@ -184,10 +212,10 @@ def _aligner(least: float):
                 text, item = pa.array(own), pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        chunk.column("doc_id").take(text), chunk.column("print").take(text), rows.field("item_id").take(item), rows.field("passage").take(item),
+                        chunk.column("doc_id").take(text), chunk.column("print").take(text), rows.field("piece").take(item),
                         pa.array(np.minimum(1, best / (MATCH * np.minimum(sizes, PASSAGE)))), pa.array(first), pa.array(last),
                     ],
-                    names=["doc_id", "print", "item_id", "passage", "score", "first_word", "last_word"],
+                    names=["doc_id", "print", "piece", "score", "first_word", "last_word"],
                 )
 
     return score
@@ -199,23 +227,35 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole(F.col(text)).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("print"), F.lower("text").alias("text"))
     tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.lower(whole(F.col(item_text))).alias("text"))
-    runs = stored(tests.mapInArrow(_runs, RUNS), "runs")
-    lengths = [r.n for r in runs.select(F.least(F.size("words"), F.lit(SEED)).alias("n")).distinct().collect()]  # at most SEED rows
+    cut = stored(tests.mapInArrow(_pieces, PIECES).withColumn("piece", F.xxhash64("words")), "pieces")
+    pieces = cut.groupBy("piece").agg(F.first("words").alias("words"))
+    runs = seeds(pieces)
+    lengths = [r["size"] for r in runs.select("size").distinct().collect()]  # at most SEED rows
     shared = spark.sparkContext.broadcast(bitmap(runs))
     hits = stored(rows.mapInArrow(_finder(shared, lengths), HITS), "hits")
-    begins = F.collect_set(F.col("at") - F.col("place")).alias("ats")
-    found = hits.join(runs, "gram").groupBy("doc_id", "print", "item_id", "passage", "words").agg(begins)
-    todo = found.groupBy("doc_id", "print").agg(F.collect_list(F.struct("item_id", "passage", "words", "ats")).alias("todo"))
-    # copies of a text under one id are matched once
-    texts = same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"])
+
+    seen = hits.groupBy("gram").agg(F.count("*").alias("seen"))
+    known = stored(runs.join(seen, "gram").select("gram", "piece", "place", (F.col("seen") <= RARE).alias("rare")), "known")
+    found = hits.join(known, "gram").groupBy("doc_id", "print", "piece")
+    found = found.agg(F.max("rare").alias("rare"), F.min("place").alias("first"), F.max("place").alias("last"), F.collect_set(F.col("at") - F.col("place")).alias("ats"))
+    alone = runs.groupBy("piece").agg(F.count_distinct("place").alias("places")).where("places = 1").select("piece", F.lit(True).alias("single"))
+    found = found.join(alone, "piece", "left").where("rare or first < last or single")
+    todo = found.join(pieces, "piece").groupBy("doc_id", "print").agg(F.collect_list(F.struct("piece", "words", "ats")).alias("todo"))
+    todo = stored(todo, "todo")
+    # only texts with candidates move; copies of a text under one id are matched once
+    few, _ = parted(rows, F.col("print"), todo.select("print"))
+    texts = same_text(few, todo, "inner").dropDuplicates(["doc_id", "print"])
     scored = texts.select("doc_id", "print", "text", "todo").mapInArrow(_aligner(least), MATCHES).where(F.col("score") >= least)
     best = F.max(F.struct("score", (-F.col("first_word")).alias("minus"), "last_word")).alias("best")
-    scored = scored.groupBy("doc_id", "print", "item_id").agg(best)
+    scored = scored.join(cut.select("piece", "item_id"), "piece").groupBy("doc_id", "print", "item_id").agg(best)
     return scored.select("doc_id", "print", "item_id", "best.score", (-F.col("best.minus")).alias("first_word"), "best.last_word")
 
 
 def without_leaks(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no match."""
-    leaked = found.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(whole(F.col(text))) == F.col("_print"))
-    return docs.join(leaked, same, "left_anti")
+    own, hashed = unused(docs, "_id"), unused(docs, "_print")
+    leaked = stored(found.select(F.col("doc_id").alias(own), F.col("print").alias(hashed)).distinct(), "leaked")
+    key = F.xxhash64(whole(quoted(text)))
+    few, others = parted(docs, key, leaked.select(hashed))
+    same = quoted(doc_id).cast("bigint").eqNullSafe(F.col(own)) & (key == F.col(hashed))
+    return few.join(leaked, same, "left_anti").unionByName(others)
