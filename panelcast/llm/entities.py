@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytescan import Chunk, chunks, words
-from .common import unused
+from .common import quoted, unused
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
@@ -248,7 +248,7 @@ SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
 
-def _annotator(text: str, field):
+def _annotator(text: str, into: str, field):
     def annotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, text):
             graph = Graph(chunk)
@@ -258,7 +258,7 @@ def _annotator(text: str, field):
                 every = [(k, a, b, True) for k, a, b in graph.spans.get(i, ())] + [(k, a, b, False) for k, a, b in more.get(i, ())]
                 rows.append([{"kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in sorted(every)])
             part = chunk.batch.slice(chunk.first, len(chunk))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, _ARROW_SPAN)], names=[*part.schema.names, "_spans"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, _ARROW_SPAN)], names=[*part.schema.names, into])
 
     return annotate
 
@@ -267,14 +267,14 @@ def annotated(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """The rows of ``docs`` and ``into``: an array of (kind, start, end, base), by kind, then start."""
     field = potentials(docs, text)
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T._parse_datatype_string(SPAN))])
-    return docs.mapInArrow(_annotator(text, field), schema)
+    return docs.mapInArrow(_annotator(text, into, field), schema)
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with personal data in ``text`` replaced by its kind, as in ``<EMAIL>``."""
     spans = unused(docs, "spans")
     found = annotated(docs, spans, text)
-    body = F.col(text)
+    body = quoted(text)
     ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     walked = F.aggregate(
         ordered,
