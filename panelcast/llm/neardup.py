@@ -50,7 +50,7 @@ _rng = np.random.default_rng(7)
 _FACTORS = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
 
-SIGNED = "doc_id bigint, n bigint, f1 bigint, f2 bigint, " + ", ".join(f"c{i} bigint" for i in range(CHUNKS))
+SIGNED = "doc_id bigint, print bigint, n bigint, f1 bigint, f2 bigint, " + ", ".join(f"c{i} bigint" for i in range(CHUNKS))
 
 
 def shingle_sets(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +97,8 @@ def _signer(n: int):
                     parts[s // PER_CHUNK, full] |= symbol << (16 * (s % PER_CHUNK))
             f1, f2 = _prints(sets, at)
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id").cast(pa.int64()), *(pa.array(x) for x in (sizes.astype(np.int64), f1, f2, *parts))],
-                names=["doc_id", "n", "f1", "f2", *(f"c{i}" for i in range(CHUNKS))],
+                [chunk.column("doc_id").cast(pa.int64()), chunk.column("print"), *(pa.array(x) for x in (sizes.astype(np.int64), f1, f2, *parts))],
+                names=["doc_id", "print", "n", "f1", "f2", *(f"c{i}" for i in range(CHUNKS))],
             )
 
     return sign
@@ -193,9 +193,9 @@ def _keys(chunk_columns: list[Column]) -> Column:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
+    """doc_id, print (the text's hash), n_shingles, component_id, kept of every row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = stored(rows.mapInArrow(_signer(words), SIGNED), "signatures")
+    signed = stored(rows.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(_signer(words), SIGNED), "signatures")
     own = [f"c{i}" for i in range(CHUNKS)]
     classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in own))
     # equal ids with different sets: each set is a class, and the id joins them
@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     alone = F.col("n") == 0
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("root", "id"))
     return named.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
+        "doc_id", "print", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
     ).select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .phrases import LEAST, LONGEST, TOP
 from .quality import COUNTS, ROUNDS
-from .queries import SPAM_HOST, URL_RULES
+from .queries import URL_RULES
 from .secrets import BASE_RULES, MORE_RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -107,21 +107,28 @@ CHAT = r"""
             PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM safe
     ),
     cut AS (SELECT *, CAST(place // 64 AS BIGINT) AS example FROM placed),
-    speakers AS (SELECT DISTINCT conv_id, example, role AS speaker FROM cut WHERE role <> 'system'),
+    headings AS (
+        SELECT b.conv_id, 'system' AS role, arg_max(c.text, c.place) AS text, b.place - 1 AS place, b.example, TRUE AS headed
+        FROM cut b JOIN cut c ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND c.place < b.place AND c.role = 'system'
+        WHERE b.place % 64 = 0 AND b.role <> 'system' GROUP BY b.conv_id, b.place, b.example
+    ),
+    every AS (SELECT conv_id, role, text, place, example, FALSE AS headed FROM cut UNION ALL SELECT * FROM headings),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM cut WHERE role <> 'system'),
     pieces AS (
-        SELECT s.conv_id, s.example, s.speaker, c.place, c.role = s.speaker AS own,
+        SELECT s.conv_id, c.example, s.speaker, c.place, c.headed, c.role = s.speaker AS own,
             CASE WHEN c.role = s.speaker THEN '<|assistant|>' WHEN c.role = 'system' THEN '<|system|>'
                 ELSE '<|user name=' || c.role || '|>' END || chr(10) AS head,
             c.text || '<|end|>' AS body
-        FROM speakers s JOIN cut c ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.example = c.example
+        FROM speakers s JOIN every c ON s.conv_id IS NOT DISTINCT FROM c.conv_id
     ),
     walked AS (
         SELECT *, CAST(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, example, speaker ORDER BY place) AS BIGINT) - 1 AS stop
         FROM pieces
     )
-    SELECT conv_id, example, speaker, CAST(count(*) AS INTEGER) AS n_turns,
+    SELECT conv_id, example, speaker, CAST(count(*) FILTER (NOT headed) AS INTEGER) AS n_turns,
+        CAST(coalesce(max(stop + 1) FILTER (headed), 0) AS INTEGER) AS carried,
         string_agg(head || body, chr(10) ORDER BY place) AS rendered,
-        string_agg(CAST(stop - length(body) AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY place) FILTER (own) AS mask
+        coalesce(string_agg(CAST(stop - length(body) AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY place) FILTER (own), '') AS mask
     FROM walked GROUP BY conv_id, example, speaker"""
 
 
@@ -212,7 +219,7 @@ def _urls() -> str:
             || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canon
         FROM parts
     ),
-    listed AS (SELECT DISTINCT canon FROM named WHERE regexp_matches(host, '{SPAM_HOST}') AND canon <> '')
+    listed AS (SELECT DISTINCT canon FROM named WHERE CASE {verdict} END = 'block' AND canon <> '')
     SELECT page_id, host, path, CASE {rule} END AS rule,
         CASE {verdict} WHEN host <> '' AND canon IN (SELECT canon FROM listed) THEN 'block' ELSE 'allow' END AS verdict
     FROM named"""
@@ -241,7 +248,8 @@ def _collocations() -> str:
             SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
         ),
         cut AS (SELECT lang, unnest(string_split_regex(body, '[.,;:!?
--]')) AS piece FROM docs),
+-
+]')) AS piece FROM docs),
         pieces AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM cut),
         totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
         counts AS (SELECT lang, size, phrase, count(*) AS a FROM ({runs}) GROUP BY lang, size, phrase HAVING count(*) >= {LEAST}),

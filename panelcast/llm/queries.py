@@ -76,7 +76,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
+    found = neardup.near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 #: The rules, as (host, path, verdict).
@@ -87,15 +88,15 @@ URL_RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Hosts whose pages are put on the list of blocked URLs.
-SPAM_HOST = r"(^|\.)(spam-farm|cheap-pills)\."
 
 
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The listed URLs are those of the pages that a rule blocks: other forms of them are blocked too."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    spam = pages.where(urls.host(F.col("url")).rlike(SPAM_HOST)).select(urls.canonical(F.col("url")).alias("url"))
-    return urls.judge(pages, "page_id", "url", rules, spam).select("page_id", "host", "path", "rule", "verdict")
+    ruled = urls.judge(pages, "page_id", "url", rules, urls.nothing_listed(spark))
+    listed = ruled.where("verdict = 'block'").select(urls.canonical(F.col("url")).alias("url"))
+    return urls.judge(pages, "page_id", "url", rules, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,7 +18,7 @@ of equal keys, ``block``. Empty lists let every page pass. Other columns are not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, buckets, stored
@@ -94,6 +94,10 @@ def entries(rules: DataFrame, listed: DataFrame) -> DataFrame:
     return both.groupBy("key", "rule", "path_length").agg(F.max("verdict").alias("verdict"))
 
 
+def nothing_listed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "url string")
+
+
 def judge(pages: DataFrame, page_id: str, url: str, rules: DataFrame, listed: DataFrame) -> DataFrame:
     """page_id, url, host, path, rule, verdict, listed of every row of ``pages``."""
     known = stored(entries(rules, listed), "url-list")
