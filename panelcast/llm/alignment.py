@@ -47,7 +47,7 @@ from .common import stored, whole
 PIECE = 1 << 15
 FAN = 16
 KNOWN = 1 << 20
-STRETCHES = 500_000
+STRETCHES = 300_000
 #: Links a task holds before it hands its counts on.
 HELD = 4_000_000
 #: Bytes of stretches that are encoded as one text, about.
@@ -342,7 +342,8 @@ class Stretches:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.ok = Growing(bool)
-        self.pairs, self.a, self.b = GrowingRagged(), GrowingRagged(np.int32), GrowingRagged(np.int32)
+        few = len(self.tokenizers.spell_a) * self.tokenizers.n_b < 1 << 31
+        self.pairs, self.a, self.b = GrowingRagged(np.int32 if few else np.int64), GrowingRagged(np.int32), GrowingRagged(np.int32)
         self.sizes = [Growing() for _ in range(4)]
         self.said: list[bytes] = []
 
@@ -554,15 +555,17 @@ def _tokens(batch: pa.RecordBatch, name: str) -> Ragged:
 def _long_digester(files):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizers = _loaded(files)
-        for batch in batches:
-            a, b = _tokens(batch, "a"), _tokens(batch, "b")
-            pairs = align(a, b, tokenizers).pairs
-            rows = [Fragment(**{k: np.asarray(v, np.int64) if isinstance(v, list) else v for k, v in r.items()}) for r in batch.select(list(_PARTS)).to_pylist()]
-            groups = [f.closed() for f in rows]
-            said = [render(f.a, f.b, *g)[0] for f, g in zip(rows, groups)]
-            sizes = [np.diff(a.at), np.diff(b.at), np.array([len(g[0]) for g in groups]), np.diff(pairs.at)]
-            ok = np.array([f.ok for f in rows], bool)
-            yield _digests(batch.column("doc_id"), batch.column("times"), ok, sizes, said, pairs, len(tokenizers.spell_a) * tokenizers.n_b)
+        for whole_batch in batches:
+            for i in range(len(whole_batch)):  # a text at a time, as it is long
+                batch = whole_batch.slice(i, 1)
+                a, b, size_a, size_b = (_tokens(batch, c) for c in ("a", "b", "size_a", "size_b"))
+                one = {c: batch.column(c)[0].as_py() for c in ("ok", "cut", "pre_a", "pre_b")}
+                text = Fragment(a=a.flat, b=b.flat, size_a=size_a.flat, size_b=size_b.flat, **one)
+                pairs, groups = align(a, b, tokenizers).pairs, text.closed()
+                sizes = [np.array([n]) for n in (len(a.flat), len(b.flat), len(groups[0]), len(pairs.flat))]
+                said = [render(text.a, text.b, *groups)[0]]
+                n_codes = len(tokenizers.spell_a) * tokenizers.n_b
+                yield _digests(batch.column("doc_id"), batch.column("times"), np.array([text.ok]), sizes, said, pairs, n_codes)
 
     return digest
 
@@ -609,8 +612,9 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fragments = stored(long.repartition(tasks, "doc_id", "print", "no").mapInArrow(_fragmenter(files), FRAGMENT), "fragments")
     pieces = (fragments.agg(F.max("no")).head()[0] or 0) + 1
+    texts = stored(joined(fragments, pieces), "aligned-texts")
 
-    digests = short.mapInArrow(_digester(files), DIGEST).unionByName(joined(fragments, pieces).mapInArrow(_long_digester(files), DIGEST))
+    digests = short.mapInArrow(_digester(files), DIGEST).unionByName(texts.mapInArrow(_long_digester(files), DIGEST))
     digests = stored(digests.withColumn("row", F.monotonically_increasing_id()), "alignments")
     pairs = stored(digests.select("times", "pairs", "links").mapInArrow(_pair_counter, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     counted = spark.sparkContext.broadcast(link_counts(pairs, tokenizers.n_b, known))
