@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from panelcast.functions.derived import TARGETS, feature_names
 from panelcast.functions.numbers import log_target
 from panelcast.models.absorb import AbsorbedLinear, fit_absorbed
+from panelcast.models.leafwise import fit_trees
+from panelcast.models.levels import LEVEL, Levelled, stored_levels, with_running_levels
 from panelcast.models.matrix import FEATURES, linear_feature_names, matrix_stages, spread
+from panelcast.session import saved
 
 SEED = 42
 # Spark's own limit, standing in for "no depth limit".
@@ -89,14 +92,27 @@ def fit(
     name: str = "model",
     key: str | None = "city",
     log: bool = False,
-) -> Fitted:
+    time: str = "date",
+    gap: int = 1,
+) -> Fitted | Levelled:
     """Fit on rows whose label is known. ``log`` fits log1p of the label and
-    returns predictions on the label's own scale."""
-    stages = matrix_stages(features, key)
+    returns predictions on the label's own scale.
+
+    Trees read the key as its level (see ``levels``), learned from labels that are ``gap`` rows older; a
+    linear model, and trees on rows without a time, get a place for each key."""
+    levelled = key is not None and not isinstance(estimator, LinearRegression) and time in train.columns
+    if levelled:
+        train = saved(with_running_levels(train, label, key, time, gap), "levelled")
+        stages = matrix_stages([*features, LEVEL], None)
+    else:
+        stages = matrix_stages(features, key)
     if not isinstance(estimator, LinearRegression):
-        train = spread(train, [*features, *([key] if key else []), label])
+        read = [LEVEL] if levelled else [key] if key else []
+        rows = spread(train, [*features, *read, label])
+    else:
+        rows = train
     if log:
-        train = train.withColumn(LOG_LABEL, log_target(label))
+        rows = rows.withColumn(LOG_LABEL, log_target(label))
         estimator = estimator.copy(
             {estimator.labelCol: LOG_LABEL, estimator.predictionCol: "_log_prediction"}
         )
@@ -106,7 +122,10 @@ def fit(
         stages = [*stages, estimator, back]
     else:
         stages = [*stages, estimator.copy({estimator.labelCol: label})]
-    return Fitted(name, Pipeline(stages=stages).fit(train), tuple(features), key)
+    model = Pipeline(stages=stages).fit(rows)
+    if levelled:
+        return Levelled(name, model, tuple(features), key, stored_levels(train, label, key))
+    return Fitted(name, model, tuple(features), key)
 
 
 def fit_linear(train: DataFrame, horizon: int, key: str | None = "city") -> Fitted | AbsorbedLinear:
@@ -121,12 +140,22 @@ def fit_linear(train: DataFrame, horizon: int, key: str | None = "city") -> Fitt
     return fit_absorbed(train, names, label, key)
 
 
-def fit_forest(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted:
-    return fit(train, forest(**params), feature_names(horizon), TARGETS[horizon], "forest", key)
+def fit_forest(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted | Levelled:
+    return fit(train, forest(**params), feature_names(horizon), TARGETS[horizon], "forest", key, gap=horizon)
+
 
+def fit_boosted(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted | Levelled:
+    return fit(train, boosted(**params), feature_names(horizon), TARGETS[horizon], "boosted", key, gap=horizon)
 
-def fit_boosted(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted:
-    return fit(train, boosted(**params), feature_names(horizon), TARGETS[horizon], "boosted", key)
+
+def fit_leafwise(train: DataFrame, horizon: int, key: str | None = "city", **params) -> Fitted | Levelled:
+    """Boosted trees grown best first (see ``leafwise``)."""
+    names, label = feature_names(horizon), TARGETS[horizon]
+    if key is None:
+        return Fitted("leafwise", fit_trees(train, names, label, **params), tuple(names), None)
+    rows = saved(with_running_levels(train, label, key, gap=horizon), "levelled")
+    model = fit_trees(rows, [*names, LEVEL], label, **params)
+    return Levelled("leafwise", model, tuple(names), key, stored_levels(rows, label, key))
 
 
 def fit_log_forest(
@@ -136,8 +165,8 @@ def fit_log_forest(
     trees: int = 400,
     depth: int = 8,
     leaf: int = 3,
-) -> Fitted:
+) -> Fitted | Levelled:
     estimator = forest(trees, depth, leaf)
     return fit(
-        train, estimator, feature_names(horizon), TARGETS[horizon], "log_forest", key, log=True
+        train, estimator, feature_names(horizon), TARGETS[horizon], "log_forest", key, log=True, gap=horizon
     )

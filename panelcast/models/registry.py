@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from panelcast.models.absorb import AbsorbedLinear
 from panelcast.models.fit import Fitted
+from panelcast.models.levels import Levelled
 from panelcast.sources.store import path_exists
 
 MODELS = T.StructType(
@@ -51,7 +52,7 @@ class ModelRegistry:
     def register(
         self,
         name: str,
-        fitted: Fitted | AbsorbedLinear,
+        fitted: Fitted | AbsorbedLinear | Levelled,
         metrics: Mapping[str, float],
         description: str | None = None,
     ) -> int:
@@ -66,7 +67,7 @@ class ModelRegistry:
         self.spark.createDataFrame([row], MODELS).write.mode("append").parquet(self._rows_path)
         return version
 
-    def load(self, name: str, version: int | str = "latest") -> Fitted | AbsorbedLinear:
+    def load(self, name: str, version: int | str = "latest") -> Fitted | AbsorbedLinear | Levelled:
         rows = self.models().where(F.col("name") == name)
         if version != "latest":
             rows = rows.where(F.col("version") == version)
@@ -76,4 +77,6 @@ class ModelRegistry:
         path = self._path(name, row.version)
         if row.form == AbsorbedLinear.form:
             return AbsorbedLinear.load(self.spark, path, row.kind, row.features, row.key)
+        if row.form == Levelled.form:
+            return Levelled.load(self.spark, path, row.kind, row.features, row.key)
         return Fitted(row.kind, PipelineModel.load(path), tuple(row.features), row.key)

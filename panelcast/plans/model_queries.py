@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.derived import TARGETS, with_derived
-from panelcast.models import explain
+from panelcast.models import explain, levels
 from panelcast.models.absorb import fit_absorbed
-from panelcast.models.fit import boosted, fit, fit_boosted, fit_forest, fit_linear, fit_log_forest, forest
+from panelcast.models.fit import boosted, fit, fit_boosted, fit_forest, fit_leafwise, fit_linear, fit_log_forest, forest
+from panelcast.models.leafwise import fit_trees
 from panelcast.models.registry import ModelRegistry
 from panelcast.models.together import together
 from panelcast.operators import clean, metrics, split
@@ -24,6 +25,7 @@ from panelcast.sources.store import PanelStore
 
 SMALL_FOREST = {"trees": 20, "depth": 5, "leaf": 3}
 SMALL_BOOSTED = {"iterations": 10, "depth": 4, "rate": 0.1}
+SMALL_LEAFWISE = {"iterations": 4, "leaves": 8}
 SMALL_GRIDS = {
     "forest": {"depth": [3, 4], "leaf": [3], "trees": [5]},
     "boosted": {"rate": [0.1], "depth": [3], "iterations": [3]},
@@ -34,6 +36,7 @@ HOURLY_FEATURES = (
     "pm25_lag_1", "pm25_lag_24", "pm25_rolling_3", "pm25_rolling_24",
 )
 HOURLY_TARGETS = {"24h": "target_24h", "48h": "target_48h", "72h": "target_72h"}
+HOURLY_GAPS = {"24h": 24, "48h": 48, "72h": 72}
 
 
 def _stored(spark, sf) -> DataFrame:
@@ -118,6 +121,45 @@ def stump_forecasts(spark, sf):
     return test.select("city", "date", *(F.round(m.name, 4).alias(m.name) for m in models))
 
 
+def boosted_leafwise(spark, sf):
+    """Two boosted trees of three leaves, grown best first, on two features with few values."""
+    rows, test = _parts(_stored(spark, sf), 1)
+    model = fit_trees(rows, ("day_of_week", "month"), TARGETS[1], iterations=2, leaves=3, scale=2.0**20)
+    return model.transform(test).select("city", "date", F.round("prediction", 6).alias("prediction"))
+
+
+def leafwise_forecast(spark, sf):
+    """Boosted trees grown best first, for every horizon, keys by their levels."""
+    return rounded(_forecast(spark, sf, lambda rows, h: fit_leafwise(rows, h, **SMALL_LEAFWISE)))
+
+
+def key_levels(spark, sf):
+    """Every training row's key level, and the key's last one, at each horizon."""
+    table = _stored(spark, sf)
+
+    def found(horizon: int) -> DataFrame:
+        rows, _ = _parts(table, horizon)
+        last = levels.last_levels(rows, TARGETS[horizon]).withColumnRenamed(levels.LEVEL, "last")
+        running = levels.with_running_levels(rows, TARGETS[horizon], gap=horizon)
+        return running.join(last, F.col("city") == F.col("_k")).select(
+            F.lit(horizon).cast("bigint").alias("horizon"), "city", "date",
+            F.round(levels.LEVEL, 6).alias("level"), F.round("last", 6).alias("last_level"),
+        )
+
+    return union_frames([found(h) for h in TARGETS])
+
+
+def stump_attribution(spark, sf):
+    """Exact impacts of two boosted stumps on the newest rows, against the last 15 days of all keys."""
+    table = _stored(spark, sf)
+    rows, _ = _parts(table, 1)
+    fitted = fit(rows, boosted(iterations=2, depth=1), ("day_of_week", "month"), TARGETS[1], "boosted", key=None)
+    latest = features.latest_serving_rows(table)
+    recent = clean.trailing_days(features.serving_rows(table))
+    impacts = explain.tree_attribution(latest, fitted, recent)
+    return impacts.select("city", "date", "feature", F.round("impact", 4).alias("impact"))
+
+
 def _background(table: DataFrame) -> DataFrame:
     return explain.background_sample(
         with_derived(clean.trailing_days(features.serving_rows(table)))
@@ -187,7 +229,8 @@ def registered_linear(spark, sf):
 
 
 def shapley_gaps(spark, sf):
-    """Per key, a forest's forecast less the background's mean and all impacts: nothing is left."""
+    """Per key, a forest's forecast less the background's mean and all impacts: nothing is left, as the
+    orders are sampled but every order's steps add up."""
     table = _stored(spark, sf)
     latest = with_derived(features.latest_serving_rows(table))
     others = _background(table)
@@ -203,7 +246,7 @@ def shapley_gaps(spark, sf):
 
 def forest_attribution(spark, sf):
     table = _stored(spark, sf)
-    impacts = explain.shapley_attribution(
+    impacts = explain.tree_attribution(
         with_derived(features.latest_serving_rows(table)),
         fit_forest(_parts(table, 3)[0], 3, **SMALL_FOREST),
         _background(table),
@@ -255,14 +298,16 @@ def _hourly_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def horizon_comparison(spark, sf):
     rows, test = _hourly_parts(spark, sf)
-    return train.horizon_comparison(rows, test, HOURLY_FEATURES, HOURLY_TARGETS, **SMALL_FOREST)
+    return train.horizon_comparison(
+        rows, test, HOURLY_FEATURES, HOURLY_TARGETS, time="time", gaps=HOURLY_GAPS, **SMALL_FOREST
+    )
 
 
 def param_sweep(spark, sf):
     rows, test = _hourly_parts(spark, sf)
     settings = ({"trees": 10, "depth": 4}, {"trees": 20, "depth": 4}, {"trees": 20, "depth": 6})
     return train.param_sweep(
-        rows, test, HOURLY_FEATURES, HOURLY_TARGETS["24h"], settings=settings
+        rows, test, HOURLY_FEATURES, HOURLY_TARGETS["24h"], settings=settings, time="time", gap=24
     )
 
 
@@ -272,6 +317,6 @@ QUERIES = {
         linear_forecast, linear_metrics, linear_many_keys, forest_forecast, boosted_forecast, log_forest,
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
         horizon_comparison, param_sweep, linear_impacts, linear_errors, registered_linear, shapley_gaps,
-        stump_forecasts,
+        stump_forecasts, boosted_leafwise, leafwise_forecast, key_levels, stump_attribution,
     )
 }

@@ -435,6 +435,93 @@ ORACLES["stump_forecasts"] = _with(
 ) + f"""SELECT city, date, round({_by('one')}, 4) AS forest, round(exp({_by('logged')}) - 1, 4) AS log_forest,
        round({_by('one')} + 0.1 * {_by('two')}, 4) AS boosted FROM x WHERE NOT fitted"""
 
+_STUMPS = (
+    """x AS (SELECT city, date, date <= DATE '2000-06-30' AS fitted, CAST(day_of_week AS DOUBLE) AS f1,
+         CAST(month AS DOUBLE) AS f2, target_1d AS y FROM t WHERE date <= DATE '2001-08-01')""",
+    """cuts AS (SELECT k, (v + lead(v) OVER (PARTITION BY k ORDER BY v)) / 2 AS cut
+         FROM (SELECT 1 AS k, f1 AS v FROM x WHERE fitted UNION SELECT 2, f2 FROM x WHERE fitted))""",
+)
+
+
+def _credit(name: str, k: int) -> str:
+    """What a stump on feature ``k`` says of a row, less its mean over the recent rows."""
+    return f"(SELECT CASE WHEN k = {k} THEN {_by(name)} - (SELECT avg({_by(name)}) FROM recent2) ELSE 0 END FROM {name})"
+
+
+ORACLES["stump_attribution"] = _with(
+    *_TRAIN,
+    *_STUMPS,
+    _stump("one", "x", "y"),
+    f"x2 AS (SELECT *, 2 * (y - {_by('one')}) AS rest FROM x)",
+    _stump("two", "x2", "rest"),
+    _LATEST,
+    """recent AS (SELECT * FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL
+         AND date >= (SELECT max(date) FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL) - 15)""",
+    "recent2 AS (SELECT CAST(day_of_week AS DOUBLE) AS f1, CAST(month AS DOUBLE) AS f2 FROM recent)",
+    "latest2 AS (SELECT city, date, CAST(day_of_week AS DOUBLE) AS f1, CAST(month AS DOUBLE) AS f2 FROM latest)",
+) + " UNION ALL ".join(
+    f"SELECT city, date, '{name}' AS feature, round({_credit('one', k)} + 0.1 * {_credit('two', k)}, 4) AS impact FROM latest2"
+    for k, name in ((1, "day_of_week"), (2, "month"))
+)
+
+
+def _grown(number: int, source: str) -> list[str]:
+    """A best-first tree of three leaves on ``source`` (f1, f2, r): the root's split, the better side's split, the leaves."""
+    low = lambda k, cut: f"CASE {k} WHEN 1 THEN f1 ELSE f2 END <= {cut}"
+    gain = "CAST(gl AS DOUBLE) * gl / nl + CAST(gh AS DOUBLE) * gh / nh - CAST(gl + gh AS DOUBLE) * (gl + gh) / (nl + nh)"
+
+    def best(name: str, rows: str, extra: str = "") -> str:
+        return f"""{name} AS (SELECT k, cut, {gain} AS gain{extra} FROM (
+    SELECT k, cut, count(*) FILTER (side) AS nl, count(*) FILTER (NOT side) AS nh,
+           CAST(coalesce(sum(r) FILTER (side), 0) AS BIGINT) AS gl, CAST(coalesce(sum(r) FILTER (NOT side), 0) AS BIGINT) AS gh
+    FROM (SELECT k, cut, r, {low("k", "cut")} AS side FROM {rows}, steps WHERE fitted) GROUP BY k, cut)
+  WHERE nl >= 20 AND nh >= 20 ORDER BY gain DESC, k, cut LIMIT 1)"""
+
+    t = f"t{number}"
+    return [
+        best(f"{t}root", source),
+        f"{t}low AS (SELECT * FROM {source} WHERE (SELECT {low('k', 'cut')} FROM {t}root))",
+        f"{t}high AS (SELECT * FROM {source} WHERE NOT (SELECT {low('k', 'cut')} FROM {t}root))",
+        best(f"{t}a", f"{t}low", ", 1 AS side"),
+        best(f"{t}b", f"{t}high", ", 2 AS side"),
+        f"{t}next AS (SELECT * FROM (SELECT * FROM {t}a UNION ALL SELECT * FROM {t}b) ORDER BY gain DESC, side LIMIT 1)",
+        f"""{t}leaf AS (SELECT *, CASE WHEN side <> own THEN 0 WHEN {low("k2", "cut2")} THEN 1 ELSE 2 END AS leaf
+  FROM (SELECT s.*, CASE WHEN {low("p.k", "p.cut")} THEN 1 ELSE 2 END AS own, n.side, n.k AS k2, n.cut AS cut2
+        FROM {source} s, {t}root p, {t}next n))""",
+        f"""{t}value AS (SELECT leaf, CAST(floor(0.1 * CAST(sum(r) AS DOUBLE) / count(*) + 0.5) AS BIGINT) AS v
+  FROM {t}leaf WHERE fitted GROUP BY leaf)""",
+        f"""{t}rest AS (SELECT city, date, fitted, f1, f2, r - v AS r, told + v AS told
+  FROM {t}leaf l JOIN {t}value USING (leaf))""",
+    ]
+
+
+ORACLES["boosted_leafwise"] = _with(
+    *_TRAIN,
+    _STUMPS[0],
+    """steps AS (SELECT k, v AS cut FROM (SELECT 1 AS k, f1 AS v, max(f1) OVER () AS m FROM x WHERE fitted
+         UNION SELECT 2, f2, max(f2) OVER () FROM x WHERE fitted) WHERE v < m)""",
+    "whole AS (SELECT *, CAST(floor(y * 1048576 + 0.5) AS BIGINT) AS w FROM x)",
+    "base AS (SELECT CAST(floor(CAST(sum(w) AS DOUBLE) / count(*) + 0.5) AS BIGINT) AS b FROM whole WHERE fitted)",
+    "s0 AS (SELECT city, date, fitted, f1, f2, w - b AS r, b AS told FROM whole, base)",
+    *_grown(1, "s0"),
+    *_grown(2, "t1rest"),
+) + "SELECT city, date, round(told / 1048576.0::DOUBLE, 6) AS prediction FROM t2rest WHERE NOT fitted"
+
+
+def _levels(h: int) -> str:
+    """Running sums of the labels known by each day, of the key and of all keys."""
+    return f"""SELECT CAST({h} AS BIGINT) AS horizon, city, date,
+       round(CASE WHEN n > 0 THEN (s - n * als / aln) / (n + 1) ELSE 0 END, 6) AS level,
+       round((ls - ln * ts / tn) / (ln + 1), 6) AS last_level
+FROM (SELECT city, date, sum(known) OVER k AS s, count(known) OVER k AS n, sum(known) OVER d AS als, count(known) OVER d AS aln,
+             sum(y) OVER c AS ls, count(y) OVER c AS ln, sum(y) OVER () AS ts, count(y) OVER () AS tn
+      FROM (SELECT city, date, target_{h}d AS y, lag(target_{h}d, {h}) OVER (PARTITION BY city ORDER BY date) AS known
+            FROM t WHERE date <= DATE '2000-06-30')
+      WINDOW k AS (PARTITION BY city ORDER BY date), c AS (PARTITION BY city), d AS (ORDER BY date RANGE UNBOUNDED PRECEDING))"""
+
+
+ORACLES["key_levels"] = _with(*_TRAIN) + "\nUNION ALL ".join(_levels(h) for h in (1, 2, 3))
+
 ORACLES["linear_many_keys"] = """WITH r AS (
   SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS part,
          CAST(l_quantity AS DOUBLE) AS q, CAST(l_discount AS DOUBLE) AS d, CAST(l_extendedprice AS DOUBLE) AS y

@@ -113,7 +113,7 @@ def train_horizon(
         for family in SEARCHED[horizon] if families is None else families:
             grid = None if grids is None else grids.get(family)
             result = expanding_search(
-                train, family, feature_names(horizon), label, grid=grid, folds=folds
+                train, family, feature_names(horizon), label, grid=grid, folds=folds, gap=horizon
             )
             candidates.append(result.best)
             searches[family] = result.scores
@@ -186,13 +186,15 @@ def param_sweep(
     label: str,
     key: str | None = "city",
     settings: Sequence[Mapping[str, Any]] = SWEEP,
+    time: str = "date",
+    gap: int = 1,
 ) -> DataFrame:
-    """Rounded scores of a forest under each named setting."""
+    """Rounded scores of a forest under each named setting. ``gap``: rows until a label is known."""
     train = train.persist()
     try:
         fitted = together(
             train.sparkSession,
-            lambda s: fit(train, forest(**s), features, label, str(dict(s)), key),
+            lambda s: fit(train, forest(**s), features, label, str(dict(s)), key, time=time, gap=gap),
             settings,
         )
     finally:
@@ -206,14 +208,18 @@ def horizon_comparison(
     features: Sequence[str],
     labels: Mapping[str, str],
     key: str | None = "city",
+    time: str = "date",
+    gaps: Mapping[str, int] | None = None,
     **params: Any,
 ) -> DataFrame:
-    """One forest per label, compared: ``labels`` maps a horizon's name to its column."""
+    """One forest per label, compared: ``labels`` maps a horizon's name to its column, ``gaps`` to the rows
+    until its label is known."""
     train = train.persist()
 
     def scores(item: tuple[str, str]) -> DataFrame:
         name, label = item
-        fitted = fit(train, forest(**params), features, label, name, key)
+        gap = 1 if gaps is None else gaps[name]
+        fitted = fit(train, forest(**params), features, label, name, key, time=time, gap=gap)
         return evaluate([fitted], test, label).withColumnRenamed("model", "horizon").drop("listed")
 
     try:
