@@ -9,7 +9,7 @@ often as the corpus links it.
   common end all of them are prefix. ``then`` joins neighbours: the left suffix and the right
   prefix become a group. It is associative, so fragments of a document may be joined in any tree.
 - Texts over ``PIECE`` bytes are cut into pieces, which are dealt over the tasks and encoded apart; their fragments
-  are joined ``FAN`` at a time, in as many rounds as the longest text needs. Cuts lie before a blank
+  are joined ``FAN`` at a time, in as many rounds as the longest text needs, the last of which makes the digest. Cuts lie before a blank
   between two characters that are none. There neither tokenizer can have a token across (A parts words before it
   merges, and no piece of B has a blank after another character), which is checked when they are loaded;
   others encode whole texts.
@@ -36,7 +36,6 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,7 +125,29 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class Tokenizers:
+@dataclass
+class Spelling:
+    """The bytes of both vocabularies' tokens, and whether texts may be cut at blanks."""
+
+    spell_a: Ragged
+    spell_b: Ragged
+    cuts: bool
+
+    @classmethod
+    def sent(cls, content: tuple) -> Spelling:
+        (a, b), cuts = content[2][:2], content[2][2]
+        return cls(Ragged(*a), Ragged(*b), cuts)
+
+    @property
+    def n_b(self) -> int:
+        return len(self.spell_b)
+
+    @property
+    def n_codes(self) -> int:
+        return len(self.spell_a) * len(self.spell_b)
+
+
+class Tokenizers(Spelling):
     """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, a_json: str, b_model: bytes, known: tuple | None = None):
@@ -142,7 +163,6 @@ class Tokenizers:
             self._read()
         else:
             self.spell_a, self.spell_b, self.cuts = Ragged(*known[0]), Ragged(*known[1]), known[2]
-        self.n_b = len(self.spell_b)
 
     def _read(self) -> None:
         alphabet = _byte_alphabet()
@@ -226,7 +246,7 @@ def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a]
 
 
-def align(a: Ragged, b: Ragged, tokenizers: Tokenizers) -> Aligned:
+def align(a: Ragged, b: Ragged, tokenizers: Spelling) -> Aligned:
     end_a, end_b = (np.cumsum(np.diff(s.at)[t.flat]) for t, s in ((a, tokenizers.spell_a), (b, tokenizers.spell_b)))
     stop = np.r_[0, end_a][a.at]  # the bodies' ends; both spell the same bytes
     ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
@@ -342,7 +362,7 @@ class Stretches:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.ok = Growing(bool)
-        few = len(self.tokenizers.spell_a) * self.tokenizers.n_b < 1 << 31
+        few = self.tokenizers.n_codes < 1 << 31
         self.pairs, self.a, self.b = GrowingRagged(np.int32 if few else np.int64), GrowingRagged(np.int32), GrowingRagged(np.int32)
         self.sizes = [Growing() for _ in range(4)]
         self.said: list[bytes] = []
@@ -407,7 +427,7 @@ def _digests(doc_id: pa.Array, times: pa.Array, ok: np.ndarray, sizes: list[np.n
 def _digester(files):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Stretches(_loaded(files))
-        n_codes = len(known.tokenizers.spell_a) * known.tokenizers.n_b
+        n_codes = known.tokenizers.n_codes
         for chunk in chunks(batches):
             if len(known) >= STRETCHES:
                 known.clear()
@@ -503,10 +523,6 @@ FRAGMENT = "doc_id bigint, print string, times bigint, no bigint, ok boolean, cu
 _PARTS = ("ok", "cut", "a", "b", "pre_a", "pre_b", "size_a", "size_b")
 
 
-def _rows(keys: dict, fragments: list[Fragment]) -> dict:
-    return keys | {p: [getattr(f, p) for f in fragments] for p in _PARTS}
-
-
 def _fragmenter(files):
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Stretches(_loaded(files), tokens=True)
@@ -528,46 +544,61 @@ def _fragmenter(files):
     return fragments
 
 
-def _joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """At most ``FAN`` neighbouring fragments of a text as one."""
-    rows = rows.sort_values("no")
-    parts = [Fragment(**{p: getattr(r, p) for p in _PARTS}) for r in rows.itertuples()]
+def _product(rows: pa.Table) -> Fragment:
+    """Neighbouring fragments of a text as one, joined in pairs."""
+    rows = rows.sort_by("no").combine_chunks()
+    lists = {c: _tokens(rows, c) for c in ("a", "b", "size_a", "size_b")}
+    others = {c: rows.column(c).to_pylist() for c in ("ok", "cut", "pre_a", "pre_b")}
+    parts = [
+        Fragment(**{c: v.flat[v.at[i] : v.at[i + 1]] for c, v in lists.items()}, **{c: v[i] for c, v in others.items()}) for i in range(len(rows))
+    ]
     while len(parts) > 1:
         parts = [x.then(y) for x, y in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
-    out = pd.DataFrame(_rows({"doc_id": [rows["doc_id"].iloc[0]], "print": [key[1]], "times": [rows["times"].iloc[0]], "no": [key[2]]}, parts))
-    return out.astype({"doc_id": "Int64"})
+    return parts[0]
+
+
+_FRAGMENT_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *[pa.list_(pa.int32())] * 2, pa.int32(), pa.int32(), *[pa.list_(pa.int32())] * 2]
+
+
+def _joined(key: tuple, rows: pa.Table) -> pa.Table:
+    one = _product(rows)
+    head = [rows.column("doc_id")[0], rows.column("print")[0], rows.column("times")[0], key[2]]
+    values = [*(h.as_py() for h in head), *(getattr(one, p) for p in _PARTS)]
+    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(values, _FRAGMENT_KINDS)], names=["doc_id", "print", "times", "no", *_PARTS])
 
 
 def joined(fragments: DataFrame, pieces: int) -> DataFrame:
-    """One fragment for each text, by rounds that join ``FAN`` neighbours."""
-    while pieces > 1:
+    """At most ``FAN`` fragments for each text, by rounds that join ``FAN`` neighbours."""
+    while pieces > FAN:
         groups = fragments.withColumn("next", F.expr(f"no div {FAN}")).groupBy("doc_id", "print", "next")
-        fragments = groups.applyInPandas(_joined, FRAGMENT)
+        fragments = groups.applyInArrow(_joined, FRAGMENT)
         pieces = -(-pieces // FAN)
     return fragments
 
 
-def _tokens(batch: pa.RecordBatch, name: str) -> Ragged:
+def _tokens(batch: pa.RecordBatch | pa.Table, name: str) -> Ragged:
     column = batch.column(name)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return Ragged(column.flatten().to_numpy().astype(np.int64), np.r_[0, np.cumsum(column.value_lengths().to_numpy())].astype(np.int64))
 
 
-def _long_digester(files):
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers = _loaded(files)
-        for whole_batch in batches:
-            for i in range(len(whole_batch)):  # a text at a time, as it is long
-                batch = whole_batch.slice(i, 1)
-                a, b, size_a, size_b = (_tokens(batch, c) for c in ("a", "b", "size_a", "size_b"))
-                one = {c: batch.column(c)[0].as_py() for c in ("ok", "cut", "pre_a", "pre_b")}
-                text = Fragment(a=a.flat, b=b.flat, size_a=size_a.flat, size_b=size_b.flat, **one)
-                pairs, groups = align(a, b, tokenizers).pairs, text.closed()
-                sizes = [np.array([n]) for n in (len(a.flat), len(b.flat), len(groups[0]), len(pairs.flat))]
-                said = [render(text.a, text.b, *groups)[0]]
-                n_codes = len(tokenizers.spell_a) * tokenizers.n_b
-                yield _digests(batch.column("doc_id"), batch.column("times"), np.array([text.ok]), sizes, said, pairs, n_codes)
+def _finisher(files):
+    """The digest of a text from its fragments."""
+    held: list[Spelling] = []
 
-    return digest
+    def finish(rows: pa.Table) -> pa.Table:
+        if not held:
+            held.append(Spelling.sent(files.value))
+        spelling, text = held[0], _product(rows)
+        a, b = (Ragged(t.astype(np.int64), np.array([0, len(t)])) for t in (text.a, text.b))
+        pairs, groups = align(a, b, spelling).pairs, text.closed()
+        sizes = [np.array([n]) for n in (len(a.flat), len(b.flat), len(groups[0]), len(pairs.flat))]
+        said = [render(text.a, text.b, *groups)[0]]
+        one = rows.slice(0, 1).combine_chunks()
+        doc_id, times = (one.column(c).chunk(0) for c in ("doc_id", "times"))
+        return pa.Table.from_batches([_digests(doc_id, times, np.array([text.ok]), sizes, said, pairs, spelling.n_codes)])
+
+    return finish
 
 
 # ---- the corpus ---------------------------------------------------------------------------------------------------
@@ -610,11 +641,10 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     long = rows.where(F.octet_length("text") > PIECE).groupBy("doc_id", F.col("text").alias("body")).agg(F.count("*").alias("times"))
     long = long.select("doc_id", F.sha2("body", 256).alias("print"), "times", "body").mapInArrow(_cutter(files), PIECES)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fragments = stored(long.repartition(tasks, "doc_id", "print", "no").mapInArrow(_fragmenter(files), FRAGMENT), "fragments")
-    pieces = (fragments.agg(F.max("no")).head()[0] or 0) + 1
-    texts = stored(joined(fragments, pieces), "aligned-texts")
-
-    digests = short.mapInArrow(_digester(files), DIGEST).unionByName(texts.mapInArrow(_long_digester(files), DIGEST))
+    fragments = long.repartition(tasks, "doc_id", "print", "no").mapInArrow(_fragmenter(files), FRAGMENT)
+    longest = rows.agg(F.max(F.octet_length("text"))).head()[0] or 0
+    pieces = -(-longest // PIECE)  # all but the last have that many bytes
+    digests = short.mapInArrow(_digester(files), DIGEST).unionByName(joined(fragments, pieces).groupBy("doc_id", "print").applyInArrow(_finisher(files), DIGEST))
     digests = stored(digests.withColumn("row", F.monotonically_increasing_id()), "alignments")
     pairs = stored(digests.select("times", "pairs", "links").mapInArrow(_pair_counter, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     counted = spark.sparkContext.broadcast(link_counts(pairs, tokenizers.n_b, known))
