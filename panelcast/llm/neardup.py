@@ -6,7 +6,9 @@ similarity. The signature is split into 8 chunks of 3 symbols. If two signatures
 15 symbols, some chunk differs in at most one (8 chunks with two errors each need 16). So a row
 is filed, for each chunk, under the chunk with each of its symbols left out: 24 keys, one for every
 allowed error. All pairs within distance 15 share a key. A pair of similarity 0.8 differs in 4.8
-symbols on average and in more than 15 with probability 1e-6.
+symbols on average and in more than 15 with probability 1e-6. ``MORE`` further symbols are not filed; together with
+them, a pair of similarity 0.8 differs in more than ``MOST_OF_ALL`` symbols with probability 1e-6, one of similarity 0.4 in nine of ten cases,
+so few unlike texts under one key are compared on their sets.
 
 Pairs are never listed key by key:
 
@@ -43,14 +45,18 @@ from .graph import components
 SYMBOLS, CHUNKS = 24, 8
 PER_CHUNK = SYMBOLS // CHUNKS
 MOST_ERRORS = 2 * CHUNKS - 1
+MORE, MOST_OF_ALL = 24, 24
+ALL_CHUNKS = (SYMBOLS + MORE) // PER_CHUNK
+#: Members of sets that are compared at once.
+AT_ONCE = 1 << 22
 BLOCK = 256
 ROWS_PER_TASK = 2_000
 
 _rng = np.random.default_rng(7)
-_FACTORS = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
+_FACTORS, _SHIFTS = (np.concatenate([_rng.integers(low, 2**63, n, dtype=np.uint64) for n in (SYMBOLS, MORE)]) for low in (1, 0))
+_FACTORS = _FACTORS * np.uint64(2) + np.uint64(1)
 
-SIGNED = "doc_id bigint, print bigint, n bigint, f1 bigint, f2 bigint, " + ", ".join(f"c{i} bigint" for i in range(CHUNKS))
+SIGNED = "doc_id bigint, print bigint, n bigint, f1 bigint, f2 bigint, " + ", ".join(f"c{i} bigint" for i in range(ALL_CHUNKS))
 
 
 def shingle_sets(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,16 +95,16 @@ def _signer(n: int):
             sets, at = shingle_sets(chunk, n)
             sizes = np.diff(at)
             full = np.flatnonzero(sizes)
-            parts = np.zeros((CHUNKS, len(chunk)), np.int64)
+            parts = np.zeros((ALL_CHUNKS, len(chunk)), np.int64)
             if len(full):
-                for s in range(SYMBOLS):
+                for s in range(SYMBOLS + MORE):
                     least = np.minimum.reduceat(mixed(sets * _FACTORS[s] + _SHIFTS[s]), at[:-1][full])
                     symbol = (mixed(least) & np.uint64(0xFFFF)).astype(np.int64)
                     parts[s // PER_CHUNK, full] |= symbol << (16 * (s % PER_CHUNK))
             f1, f2 = _prints(sets, at)
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id").cast(pa.int64()), chunk.column("print"), *(pa.array(x) for x in (sizes.astype(np.int64), f1, f2, *parts))],
-                names=["doc_id", "print", "n", "f1", "f2", *(f"c{i}" for i in range(CHUNKS))],
+                names=["doc_id", "print", "n", "f1", "f2", *(f"c{i}" for i in range(ALL_CHUNKS))],
             )
 
     return sign
@@ -111,7 +117,7 @@ def _setter(n: int):
             f1, f2 = _prints(sets, at)
             own = (f1 == chunk.column("f1").to_numpy()) & (f2 == chunk.column("f2").to_numpy())
             body = pa.array([sets[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
-            kept = ["id", *(f"c{i}" for i in range(CHUNKS))]
+            kept = ["id", *(f"c{i}" for i in range(ALL_CHUNKS))]
             rows = pa.RecordBatch.from_arrays([*(chunk.column(c) for c in kept), body], names=[*kept, "items"])
             yield rows.filter(pa.array(own))
 
@@ -134,6 +140,21 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _linked_with(a: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sorted sets are linked with ``a``, many at a time."""
+    sizes = np.array([len(b) for b in others], np.int64)
+    ends = np.cumsum(sizes)
+    both = np.zeros(len(others), np.int64)
+    i = 0
+    while i < len(others):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + AT_ONCE, "right")))
+        held = np.concatenate(others[i:j])
+        at = np.minimum(np.searchsorted(a, held), len(a) - 1)
+        both[i:j] = np.add.reduceat((a[at] == held).astype(np.int64), np.r_[0, np.cumsum(sizes[i:j])[:-1]])
+        i = j
+    return 100 * both >= percent * (len(a) + sizes - both)
+
+
 def _verifier(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +177,7 @@ def _blocks(percent: int):
         blocks = rows[["key", "rb", "mb"]].to_numpy()
         begins = np.flatnonzero(np.r_[True, (blocks[1:] != blocks[:-1]).any(axis=1)])
         ids, roots, side = (rows[c].to_numpy() for c in ("id", "root", "side"))
-        signs = rows[[f"c{i}" for i in range(CHUNKS)]].to_numpy()
+        signs = rows[[c for c in (f"c{i}" for i in range(ALL_CHUNKS)) if c in rows]].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in rows["items"]]
         sizes = np.array([len(x) for x in sets])
         out = []
@@ -171,12 +192,13 @@ def _blocks(percent: int):
                     new &= (differ[:, k // PER_CHUNK] & masks[k % PER_CHUNK]) != 0
                 low, high = np.minimum(sizes[other], sizes[x]), np.maximum(sizes[other], sizes[x])
                 new &= 100 * low >= percent * high
-                errors = sum(np.count_nonzero((differ >> (16 * s)) & 0xFFFF, axis=1) for s in range(PER_CHUNK))
-                reached = set()
-                for y in other[new & (errors <= MOST_ERRORS)]:
-                    if roots[y] not in reached and _linked(sets[x], sets[y], percent):
-                        reached.add(roots[y])
-                        out.append((ids[x], ids[y]))
+                errors = sum(((differ >> (16 * s)) & 0xFFFF != 0).astype(np.int64) for s in range(PER_CHUNK))
+                near = (errors[:, :CHUNKS].sum(axis=1) <= MOST_ERRORS) & (errors.sum(axis=1) <= MOST_OF_ALL)
+                near = other[new & near]
+                linked = near[_linked_with(sets[x], [sets[y] for y in near], percent)]
+                # one link to each component is enough
+                _, first = np.unique(roots[linked], return_index=True)
+                out += [(ids[x], ids[y]) for y in linked[np.sort(first)]]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return compare
@@ -196,11 +218,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, print (the text's hash), n_shingles, component_id, kept of every row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = stored(rows.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(_signer(words), SIGNED), "signatures")
-    own = [f"c{i}" for i in range(CHUNKS)]
+    own = [f"c{i}" for i in range(ALL_CHUNKS)]
     classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in own))
     # equal ids with different sets: each set is a class, and the id joins them
     classes = stored(classes, "classes")
-    filed = classes.select("id", F.explode(_keys([F.col(c) for c in own])).alias("key"))
+    filed = classes.select("id", F.explode(_keys([F.col(c) for c in own[:CHUNKS]])).alias("key"))
     # written, so that the join can split a hot key
     shared = stored(filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     filed = stored(filed.join(shared, "key"), "filed")
