@@ -1,7 +1,8 @@
 """Saved models with their metrics, by name and version.
 
-``<root>/_models`` holds a row per version; the model lies next to it. One
-writer at a time registers versions of a name.
+``<root>/_models`` holds a folder with one row per version; the model lies next to it. A version is
+claimed by creating a file that must not exist yet, which a file system does for one of several writers only, so
+writers that register at once get different versions. A version is listed once its model is saved.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from panelcast.models.absorb import AbsorbedLinear
 from panelcast.models.fit import Fitted
 from panelcast.models.levels import Levelled
-from panelcast.sources.store import path_exists
+from panelcast.sources.store import create_file, path_exists
 
 MODELS = T.StructType(
     [
@@ -44,7 +45,8 @@ class ModelRegistry:
     def models(self) -> DataFrame:
         if not path_exists(self.spark, self._rows_path):
             return self.spark.createDataFrame([], MODELS)
-        return self.spark.read.schema(MODELS).parquet(self._rows_path)
+        # rows of older registries lie in the folder itself
+        return self.spark.read.schema(MODELS).option("recursiveFileLookup", True).parquet(self._rows_path)
 
     def _path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version}"
@@ -59,12 +61,14 @@ class ModelRegistry:
         """Save the model as the next version, with metrics as measured."""
         last = self.models().where(F.col("name") == name).agg(F.max("version")).first()[0]
         version = (last or 0) + 1
+        while not create_file(self.spark, f"{self._path(name, version)}.claim"):
+            version += 1
         fitted.save(self._path(name, version))
         row = (
             name, version, fitted.name, fitted.form, description,
             {k: float(v) for k, v in metrics.items()}, list(fitted.features), fitted.key,
         )
-        self.spark.createDataFrame([row], MODELS).write.mode("append").parquet(self._rows_path)
+        self.spark.createDataFrame([row], MODELS).coalesce(1).write.parquet(f"{self._rows_path}/{name}-{version}")
         return version
 
     def load(self, name: str, version: int | str = "latest") -> Fitted | AbsorbedLinear | Levelled:

@@ -95,7 +95,8 @@ def last_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """At most ``n`` rows, picked by a seeded hash of their key.
 
-    The pick does not depend on how the rows are partitioned.
+    The pick does not depend on how the rows are partitioned, nor on the engine: it goes by the MD5 of the
+    key's columns and the seed as text, parted by bars.
     """
-    pick = F.xxhash64(*keys, F.lit(seed))
+    pick = F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(seed).cast("string")))
     return df.orderBy(pick, *keys).limit(n)

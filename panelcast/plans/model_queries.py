@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.derived import TARGETS, with_derived
-from panelcast.models import explain, levels
+from panelcast.models import explain, levels, search
 from panelcast.models.absorb import fit_absorbed
 from panelcast.models.fit import boosted, fit, fit_boosted, fit_forest, fit_leafwise, fit_linear, fit_log_forest, forest
 from panelcast.models.leafwise import fit_trees
@@ -192,6 +192,21 @@ def linear_impacts(spark, sf):
     return rows.select("horizon", "city", "date", "feature", F.round("impact", 4).alias("impact"))
 
 
+def top_linear_impacts(spark, sf):
+    """The ten strongest impacts on tomorrow's forecast of each key."""
+    table = _stored(spark, sf)
+    recent = with_derived(clean.trailing_days(features.serving_rows(table)))
+    impacts = explain.linear_attribution(
+        with_derived(features.latest_serving_rows(table)), fit_linear(_parts(table, 1)[0], 1), recent
+    )
+    return explain.top_impacts(impacts.withColumn("impact", F.round("impact", 4)))
+
+
+def background_rows(spark, sf):
+    """The seeded sample of recent rows that attributions compare with."""
+    return _background(_stored(spark, sf)).select("city", "date")
+
+
 def linear_errors(spark, sf):
     """The error report of tomorrow's linear model: by key, the training target, the worst days."""
     trained = train.train_horizon(
@@ -311,6 +326,31 @@ def param_sweep(spark, sf):
     )
 
 
+def stump_search(spark, sf):
+    """A search whose trees can be checked: stumps, and stumps stopped at their root, over the folds of the training rows."""
+    rows, _ = _parts(_stored(spark, sf), 1)
+    grid = {"depth": [0, 1], "leaf": [1], "trees": [1], "resample": [False]}
+    found = search.expanding_search(rows, "forest", ("day_of_week", "month"), TARGETS[1], None, grid)
+    return found.scores.select("place", "fold", F.round("r2", 6).alias("r2"))
+
+
+def stump_sweep(spark, sf):
+    """Tomorrow's hour by the mean and by a stump, as a comparison of settings."""
+    rows, test = _hourly_parts(spark, sf)
+    settings = tuple({"trees": 1, "depth": d, "resample": False} for d in (0, 1))
+    table = train.param_sweep(rows, test, ("hour", "day_of_week"), HOURLY_TARGETS["24h"], None, settings)
+    return table.select("listed", "n", "mae", "rmse", "r2")
+
+
+def stump_horizons(spark, sf):
+    """One stump for each hourly horizon, compared."""
+    rows, test = _hourly_parts(spark, sf)
+    table = train.horizon_comparison(
+        rows, test, ("hour", "day_of_week"), HOURLY_TARGETS, None, trees=1, depth=1, resample=False
+    )
+    return table.select("horizon", "n", "mae", "rmse", "r2")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -318,5 +358,6 @@ QUERIES = {
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
         horizon_comparison, param_sweep, linear_impacts, linear_errors, registered_linear, shapley_gaps,
         stump_forecasts, boosted_leafwise, leafwise_forecast, key_levels, stump_attribution,
+        top_linear_impacts, background_rows, stump_search, stump_sweep, stump_horizons,
     )
 }

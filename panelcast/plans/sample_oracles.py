@@ -642,3 +642,93 @@ ORACLES["aligned_columns"] = (
     + f"""SELECT city, time, {_r('pm2_5')}, CAST(0 AS DOUBLE) AS humidity, CAST(0 AS DOUBLE) AS pressure
 FROM h"""
 )
+
+
+ORACLES["top_linear_impacts"] = (
+    _OLS
+    + """, serving AS (SELECT * FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL),
+recent AS (SELECT * FROM serving WHERE date >= (SELECT max(date) FROM serving) - 15),
+moved AS ("""
+    + _impacts(1)
+    + """)
+SELECT city, date, CAST(11 - place AS INTEGER) AS place, feature, impact,
+       CASE WHEN impact > 0 THEN 'raises' ELSE 'lowers' END AS direction,
+       CASE WHEN impact > 0 THEN '#e74c3c' ELSE '#2ecc71' END AS colour
+FROM (SELECT *, row_number() OVER (PARTITION BY city, date ORDER BY abs(impact) DESC, feature) AS place FROM moved)
+WHERE place <= 10"""
+)
+
+ORACLES["background_rows"] = _with(*_PANEL) + """, serving AS (SELECT * FROM f WHERE pm25_lag_7 IS NOT NULL AND pm25_rolling_7 IS NOT NULL),
+recent AS (SELECT * FROM serving WHERE date >= (SELECT max(date) FROM serving) - 15)
+SELECT city, date FROM recent ORDER BY md5(city || '|' || CAST(date AS VARCHAR) || '|42'), city, date LIMIT 20"""
+
+# --- one-split trees in the searches and comparisons ------------------------------
+
+
+def _scored(actual: str, predicted: str) -> str:
+    """R2 of one prediction."""
+    return f"1 - sum(({actual} - {predicted}) * ({actual} - {predicted})) / (var_pop({actual}) * count(*))"
+
+
+def _cuts_of(source: str) -> str:
+    return f"""(SELECT k, (v + lead(v) OVER (PARTITION BY k ORDER BY v)) / 2 AS cut
+         FROM (SELECT 1 AS k, f1 AS v FROM {source} WHERE fitted UNION SELECT 2, f2 FROM {source} WHERE fitted))"""
+
+
+def _stump_of(name: str, source: str, y: str) -> list[str]:
+    """A stump with cuts of its own rows."""
+    stump = _stump(name, source, y).replace("cuts WHERE", f"{name}cuts WHERE")
+    return [f"{name}cuts AS {_cuts_of(source)}", stump]
+
+
+_FOLDED = (
+    """x AS (SELECT date, CAST(day_of_week AS DOUBLE) AS f1, CAST(month AS DOUBLE) AS f2, target_1d AS y FROM t WHERE date <= DATE '2000-06-30')""",
+    "days AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM x))",
+    """folded AS (SELECT x.*, CASE WHEN i >= n - (n // 4) THEN 3 WHEN i >= n - 2 * (n // 4) THEN 2
+         WHEN i >= n - 3 * (n // 4) THEN 1 ELSE 0 END AS fold FROM x JOIN days USING (date))""",
+)
+
+
+def _fold(k: int) -> list[str]:
+    return [
+        f"r{k} AS (SELECT *, fold < {k} AS fitted FROM folded WHERE fold <= {k})",
+        *_stump_of(f"s{k}", f"r{k}", "y"),
+        f"m{k} AS (SELECT avg(y) AS mean FROM r{k} WHERE fitted)",
+        f"""v{k} AS (SELECT y, (SELECT mean FROM m{k}) AS p0, {_by(f's{k}')} AS p1 FROM r{k} WHERE NOT fitted)""",
+    ]
+
+
+ORACLES["stump_search"] = _with(*_TRAIN, *_FOLDED, *(part for k in (1, 2, 3) for part in _fold(k))) + "\nUNION ALL ".join(
+    f"SELECT CAST({place} AS INTEGER) AS place, CAST({k} AS INTEGER) AS fold, round({_scored('y', f'p{place}')}, 6) AS r2 FROM v{k}"
+    for place in (0, 1)
+    for k in (1, 2, 3)
+)
+
+_HOURLY = (
+    _H,
+    _HF,
+    """m AS (SELECT * FROM hf WHERE pm25_lag_24 IS NOT NULL AND pm25_rolling_24 IS NOT NULL AND target_72h IS NOT NULL)""",
+    "ranked AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS i, count(*) OVER () AS n FROM m)",
+    "cutoff AS (SELECT min(time) AS first_test FROM ranked WHERE i = CAST(floor(n * 0.8) AS BIGINT))",
+    """x AS (SELECT time < first_test AS fitted, CAST(hour AS DOUBLE) AS f1, CAST(day_of_week AS DOUBLE) AS f2, target_24h, target_48h, target_72h FROM m, cutoff)""",
+)
+
+
+def _compared(actual: str, predicted: str) -> str:
+    miss = f"({actual} - {predicted})"
+    mae, rmse, r2 = f"avg(abs{miss})", f"sqrt(avg({miss} * {miss}))", _scored(actual, predicted)
+    return ", ".join(f"round_even(({v}) * 100, 0) / 100 AS {n}" for v, n in ((mae, "mae"), (rmse, "rmse"), (r2, "r2")))
+
+
+ORACLES["stump_sweep"] = _with(*_HOURLY, *_stump_of("s", "x", "target_24h")) + f"""
+SELECT CAST(0 AS BIGINT) AS listed, count(*) AS n, {_compared('target_24h', 'p0')} FROM (SELECT *, (SELECT avg(target_24h) FROM x WHERE fitted) AS p0 FROM x WHERE NOT fitted)
+UNION ALL SELECT 1, count(*), {_compared('target_24h', 'p1')} FROM (SELECT *, {_by('s')} AS p1 FROM x WHERE NOT fitted)"""
+
+ORACLES["stump_horizons"] = _with(
+    *_HOURLY, *(part for h in (24, 48, 72) for part in _stump_of(f"s{h}", "x", f"target_{h}h"))
+) + "\nUNION ALL ".join(
+    f"SELECT '{h}h' AS horizon, count(*) AS n, {_compared(f'target_{h}h', 'p')} FROM (SELECT *, {_by(f's{h}')} AS p FROM x WHERE NOT fitted)"
+    for h in (24, 48, 72)
+)
+
+ORACLES["stream_repeated_hours"] = ORACLES["stream_daily_mean"]

@@ -151,8 +151,8 @@ def stream_daily_mean(spark, sf):
     return rounded(table.read())
 
 
-def stream_late_hours(spark, sf):
-    """Every hour lands again, higher: days the watermark has closed don't count the copies."""
+def _landed_twice(spark, sf, once: bool) -> DataFrame:
+    """Daily means of a stream in which every hour lands again, higher."""
     air = _land_air(spark, sf)
     store = PanelStore(spark, fresh_folder(spark, "store"))
     table = store.get_or_create("daily_air", ("city", "date"), "date")
@@ -162,10 +162,20 @@ def stream_late_hours(spark, sf):
         if late is not None:
             payloads.write_payloads(late, AIR_FIELDS, air)
         hours = payloads.read_air(spark, air, stream=True)
-        start_daily_mean(hours, AIR_MEASURES, table, checkpoint).awaitTermination()
+        start_daily_mean(hours, AIR_MEASURES, table, checkpoint, once=once).awaitTermination()
     return rounded(table.read())
 
 
+def stream_late_hours(spark, sf):
+    """Days the watermark has closed don't count the copies; open days count both arrivals."""
+    return _landed_twice(spark, sf, once=False)
+
+
+def stream_repeated_hours(spark, sf):
+    """Every hour counts once, as it arrived first: the same days as without the copies."""
+    return _landed_twice(spark, sf, once=True)
+
+
 def stored_features_step(spark, sf):
     """The feature table after most days, then after the rest, recomputed from the first new day."""
     store = PanelStore(spark, fresh_folder(spark, "store"))
@@ -222,6 +232,6 @@ QUERIES = {
     for f in (
         landing_check, upsert_empty_first, upsert_new_column, payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
         stored_tables, stored_features, stored_trailing_window, aligned_columns, stream_refresh, stream_daily_mean,
-        stream_late_hours, stored_features_step,
+        stream_late_hours, stream_repeated_hours, stored_features_step,
     )
 }

@@ -15,6 +15,7 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; False if it is there already. Of several callers, one gets True."""
+    files, where = _path(spark, path)
+    files.mkdirs(where.getParent())
+    try:
+        return files.createNewFile(where)
+    except Py4JJavaError as error:  # another caller was first
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     files, where = _path(spark, path)
     return sorted(f.getPath().getName() for f in files.listStatus(where) if f.isDirectory())

@@ -31,14 +31,17 @@ def streaming_daily_mean(
     late_bound: str = LATE_BOUND,
     key: str | Sequence[str] = "city",
     time: str = "time",
+    once: bool = True,
 ) -> DataFrame:
     """Tumbling one-day means. An hour later than the bound is not counted.
 
-    State is one row of sums per key and open day. Copies of an hour all count:
-    feed it hours that are unique, or refresh by key instead.
+    An hour that arrives again counts once, its first arrival; ``once=False`` counts all arrivals. State is one row of sums per key and
+    open day, and the keys and times of the hours that the watermark hasn't passed.
     """
     instants = hours.withColumn(time, as_instant(time)).withWatermark(time, late_bound)
     keys = [key] if isinstance(key, str) else list(key)
+    if once:
+        instants = instants.dropDuplicatesWithinWatermark([*keys, time])
     days = instants.groupBy(*keys, F.window(time, "1 day").alias("_day")).agg(
         *(F.avg(m).alias(m) for m in measures), F.count(F.lit(1)).alias("n_obs")
     )
@@ -54,6 +57,7 @@ def start_daily_mean(
     table: KeyedTable,
     checkpoint: str,
     late_bound: str = LATE_BOUND,
+    once: bool = True,
 ) -> StreamingQuery:
     """Keep ``table`` up to date: every batch upserts the days it changed."""
 
@@ -61,7 +65,7 @@ def start_daily_mean(
         table.upsert(batch)
 
     return (
-        streaming_daily_mean(hours, measures, late_bound)
+        streaming_daily_mean(hours, measures, late_bound, once=once)
         .writeStream.outputMode("update")
         .foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
