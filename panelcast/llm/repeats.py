@@ -14,11 +14,18 @@ corpus. A suffix is sorted for every start, but only those that can be equal mee
    passages begin and end. Their texts are cut out and dealt by core; each task
    sorts the suffixes of its contexts by merge sort, where a comparison takes binary search over
    prefix hashes (``suffixsort``). Neighbours with ``LENGTH`` bytes in common are repeated, which is
-   verified byte by byte. A core with more than ``MOST_CONTEXTS`` different contexts (a passage in very
-   many documents) is not gathered: its strings are counted one by one, by 128-bit hashes.
+   verified byte by byte.
+4. A core with more than ``MOST_CONTEXTS`` different contexts (the edge of a passage in very many documents) is split
+   before it is sorted: the distances of its strings are halved, and a half has a longer core of its own, what all its strings
+   cover. Contexts that are equal, byte by byte, in a half are one there, and repeated; those alone with their core are done. So a
+   half keeps what differs near the passage's edge only, and a single distance nothing but equal strings: eight
+   halvings at most.
+
+A context's name, by which whole contexts are counted in step 2, has 128 bits (its core's hash and its own).
 
 Scale: the first steps shuffle one short row per 96 bytes of text, summed before the shuffle where
-copies abound. Texts move twice, to cut out contexts and to remove what was found.
+copies abound. Only texts that hold a context to cut out, or a span to remove, move, once each; a sieve of fixed size
+tells (``common.parted``).
 
 Edge cases: a null text has no bytes. Texts shorter than ``LENGTH`` lose nothing. Repeated rows are copies
 of each other, with equal or null ids too. No rows give no rows. Removal may cut a character in
@@ -38,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import Chunk, chunks, mixed, prefix_hashes, span_hashes
-from .common import buckets, same_text, stored, whole
+from .common import buckets, parted, same_text, stored, whole
 from .suffixsort import Suffixes, merge_sort
 
 LENGTH = 400
@@ -165,25 +172,58 @@ def _sorted(rows: pd.DataFrame) -> pd.DataFrame:
     return spans.assign(b=spans["b"] + LENGTH, doc_id=spans["doc_id"].astype("Int64"))
 
 
-STRINGS = "doc_id bigint, print bigint, a bigint, n bigint, h1 bigint, h2 bigint"
+UNIT = "core bigint, lo int, hi int, n bigint, doc_id bigint, print bigint, place bigint, body binary"
+_NAMED = ["core", "lo", "hi", "near", "h1", "h2"]
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every owned string of a context, named by a 128-bit hash."""
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both halves of each unit's distances, with the core that all strings of a half cover, and a name of 128 bits."""
     for batch in batches:
-        place = batch.column("place").to_numpy()
-        owner, distance = _starts((place >> 8) & 255, place & 255)
-        most = (place & 255).tolist()
-        bodies = [memoryview(b.as_buffer()) for b in batch.column("body")]
-        names = b"".join(xxhash.xxh3_128_digest(bodies[i][most[i] - d : most[i] - d + LENGTH]) for i, d in zip(owner.tolist(), distance.tolist()))
-        pair = np.frombuffer(names, np.int64).reshape(-1, 2)
-        take = pa.array(owner)
+        ids = {c: batch.column(c) for c in ("n", "doc_id", "print")}
+        out: list[tuple] = []
+        for i, (lo, hi, place, body) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lo", "hi", "place", "body")))):
+            p, least, most, middle = place >> 16, (place >> 8) & 255, place & 255, (lo + hi) // 2
+            for low, high in ((lo, middle), (middle + 1, hi)):
+                a, b = max(low, least), min(high, most)
+                if a <= b:
+                    own = body[most - b : most - a + LENGTH]
+                    core = xxhash.xxh3_64_intdigest(own[b - low : b - high + LENGTH], low << 8 | high)
+                    h1, h2 = np.frombuffer(xxhash.xxh3_128_digest(own, a << 8 | b), np.int64).tolist()
+                    out.append((i, core, low, high, p << 16 | a << 8 | b, own, h1, h2))
+        take, core, low, high, place, body, h1, h2 = zip(*out) if out else [()] * 8
+        at = pa.array(take, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(take), batch.column("print").take(take), pa.array((place >> 16)[owner] - distance), batch.column("n").take(take), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-            names=["doc_id", "print", "a", "n", "h1", "h2"],
+            [
+                pa.array(np.array(core, np.uint64).view(np.int64)), pa.array(low, pa.int32()), pa.array(high, pa.int32()), *(c.take(at) for c in ids.values()),
+                pa.array(place, pa.int64()), pa.array(body, pa.binary()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+            ],
+            names=["core", "lo", "hi", *ids, "place", "body", "h1", "h2"],
         )
 
 
+def _whole_span() -> tuple:
+    """Begin and end of what a unit's strings cover together."""
+    nearest, most = F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
+    start = F.shiftright("place", 16)
+    return (start - most).alias("a"), (start - nearest + LENGTH).alias("b")
+
+
+def _halved(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The halves of ``hot`` units, equal ones as one, and the spans (doc_id, print, a, b) of those that are equal."""
+    near = F.col("place").bitwiseAND(F.lit(0xFFFF)).alias("near")
+    halves = stored(hot.mapInArrow(_halves, f"{UNIT}, h1 bigint, h2 bigint").select("*", near), "halves")
+    named = halves.groupBy(*_NAMED).agg(
+        F.count("*").alias("c"), F.sum("n").alias("sum"), F.min(F.struct("doc_id", "print", "place")).alias("one"), F.min("body").alias("body"), F.max("body").alias("other"),
+    )
+    named = stored(named.select(*_NAMED, "c", "sum", "one", "body", (F.col("body") == F.col("other")).alias("equal")), "named")
+    twice = named.where("c > 1 and equal").select(*_NAMED)
+    resolved = halves.where("n = 1").join(twice, _NAMED).select("doc_id", "print", *_whole_span())
+    one = named.where("equal").select("core", "lo", "hi", F.col("sum").alias("n"), "one.*", "body")
+    # a name of two bodies names nothing
+    apart = halves.join(named.where("not equal").select(*_NAMED), _NAMED).select(one.columns)
+    return stored(one.unionByName(apart), "units"), resolved
+
+
 STRIPPED = "doc_id bigint, n_bytes bigint, removed array<struct<a:bigint,b:bigint>>, kept_sha256 string"
 
 
@@ -220,29 +260,36 @@ def spans(rows: DataFrame) -> DataFrame:
     contexts = stored(contexts, "contexts")
 
     whole_ones = contexts.where("n > 1").select("core", "context")
-    nearest, most = F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
-    start = F.shiftright("place", 16)
-    resolved = shared.join(whole_ones, ["core", "context"]).select("doc_id", "print", (start - most).alias("a"), (start - nearest + LENGTH).alias("b"))
+    resolved = shared.join(whole_ones, ["core", "context"]).select("doc_id", "print", *_whole_span())
 
     mixed_cores = contexts.groupBy("core").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest"))
     mixed_cores = stored(mixed_cores.where("kinds > 1 and rarest = 1").select("core", "kinds"), "cores")
     wanted = contexts.join(mixed_cores, "core").select("one.doc_id", "one.print", F.struct("one.place", "core", "context", "n", "kinds").alias("w"))
-    todo = wanted.groupBy("doc_id", "print").agg(F.collect_list("w").alias("todo"))
-    cut = stored(same_text(rows, todo, "inner").dropDuplicates(["doc_id", "print"]).mapInArrow(_cut, CUT), "contexts-cut")
-
-    few = cut.where(F.col("kinds") <= MOST_CONTEXTS)
-    tasks = buckets(cut.count(), CONTEXTS_PER_TASK)
+    todo = stored(wanted.groupBy("doc_id", "print").agg(F.collect_list("w").alias("todo")), "todo")
+    holders, _ = parted(rows, F.col("print"), todo.select("print"))
+    cut = stored(same_text(holders, todo, "inner").dropDuplicates(["doc_id", "print"]).mapInArrow(_cut, CUT), "contexts-cut")
+
+    names = ["core", "n", "doc_id", "print", "place", "body"]
+    few = cut.where(F.col("kinds") <= MOST_CONTEXTS).select(names)
+    whole_range = (F.lit(0).alias("lo"), F.lit(WINDOW - 1).alias("hi"))
+    hot = cut.where(F.col("kinds") > MOST_CONTEXTS).select("core", *whole_range, *names[1:])
+    while not hot.isEmpty():
+        units, equal = _halved(hot)
+        sizes = units.groupBy("core").agg(F.count("*").alias("c"), F.min("n").alias("rarest")).where("c > 1 and rarest = 1").select("core", "c")
+        units = units.join(stored(sizes, "cores"), "core")
+        splits = (F.col("c") > MOST_CONTEXTS) & (F.col("lo") < F.col("hi"))
+        few, resolved = few.unionByName(units.where(~splits).select(names)), resolved.unionByName(equal)
+        hot = units.where(splits).select("core", "lo", "hi", *names[1:])
+    tasks = buckets(few.count(), CONTEXTS_PER_TASK)
     by_sort = few.groupBy(F.pmod(F.xxhash64("core"), F.lit(tasks)).alias("task")).applyInPandas(_sorted, "doc_id bigint, print bigint, a bigint, b bigint")
-    strings = cut.where(F.col("kinds") > MOST_CONTEXTS).select("n", "doc_id", "print", "place", "body").mapInArrow(_strings, STRINGS)
-    strings = stored(strings, "strings")
-    twice = strings.groupBy("h1", "h2").agg(F.sum("n").alias("all")).where(F.col("all") > 1)
-    by_count = strings.where("n = 1").join(twice, ["h1", "h2"]).select("doc_id", "print", "a", (F.col("a") + LENGTH).alias("b"))
-    return resolved.unionByName(by_sort).unionByName(by_count)
+    return resolved.unionByName(by_sort)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, removed (the maximal spans), kept_sha256 of every row of ``docs``."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), whole(F.col(text)).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("print"), "text")
-    found = spans(rows).groupBy("doc_id", "print").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    return same_text(rows, found, "left").mapInArrow(_strip, STRIPPED)
+    found = stored(spans(rows).groupBy("doc_id", "print").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "removed")
+    holders, others = parted(rows, F.col("print"), found.select("print"))
+    nothing = F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("spans")
+    return same_text(holders, found, "left").unionByName(others.select("*", nothing)).mapInArrow(_strip, STRIPPED)
