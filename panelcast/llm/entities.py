@@ -175,7 +175,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def potentials(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log potentials of looks, neighbours and mentions, from counts over all texts."""
-    parts = docs.select(F.col(text).alias("text")).mapInArrow(_counter, "cell bigint, n bigint")
+    parts = docs.select(quoted(text).alias("text")).mapInArrow(_counter, "cell bigint, n bigint")
     cells = parts.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # at most one row per cell
     total = np.zeros(LOOKS * LABELS + 2 * LABELS**2)
     total[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
@@ -266,8 +266,11 @@ def _annotator(text: str, into: str, field):
 def annotated(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """The rows of ``docs`` and ``into``: an array of (kind, start, end, base), by kind, then start."""
     field = potentials(docs, text)
-    schema = T.StructType([*docs.schema.fields, T.StructField(into, T._parse_datatype_string(SPAN))])
-    return docs.mapInArrow(_annotator(text, into, field), schema)
+    # numbers for names on the way, as names may hold dots
+    plain = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+    schema = T.StructType([*plain.schema.fields, T.StructField("_spans", T._parse_datatype_string(SPAN))])
+    found = plain.mapInArrow(_annotator(f"_{docs.columns.index(text)}", "_spans", field), schema)
+    return found.toDF(*docs.columns, into)
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
