@@ -12,7 +12,7 @@ so few unlike texts under one key are compared on their sets.
 
 Pairs are never listed key by key:
 
-1. Texts with equal sets are one class, represented by its smallest id.
+1. Texts with equal sets are one class; the smallest id of a component's classes names it.
 2. Under each key, the member that shares most keys with others is the pivot, and every member is
    compared with it, on full sets. Linked members are joined into components.
 3. Where a key still holds members outside its pivot's component, these are compared with every
@@ -25,7 +25,7 @@ of a group, and no task holds a group.
 Edge cases: a null or empty text, or one without words, has an empty set, is linked with nothing
 and kept. A text with fewer words than a shingle has its whole sequence as its only one. Rows
 with a null id are linked with nothing and kept. Rows with equal ids are one node if their sets
-are equal. No rows give no rows. Other columns are not looked at.
+are equal, and apart if not. No rows give no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -219,21 +219,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = stored(rows.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(_signer(words), SIGNED), "signatures")
     own = [f"c{i}" for i in range(ALL_CHUNKS)]
-    classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"), *(F.first(c).alias(c) for c in own))
-    # equal ids with different sets: each set is a class, and the id joins them
-    classes = stored(classes, "classes")
+    classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in own))
+    # a class goes by its set, as one id may have several
+    classes = stored(classes.withColumn("id", F.xxhash64("n", "f1", "f2")), "classes")
     filed = classes.select("id", F.explode(_keys([F.col(c) for c in own[:CHUNKS]])).alias("key"))
     # written, so that the join can split a hot key
     shared = stored(filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     filed = stored(filed.join(shared, "key"), "filed")
 
     weight = filed.groupBy("id").agg(F.sum("members").alias("weight"))
-    pivots = filed.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top"))
-    pivots = stored(pivots.select("key", (-F.col("top.minus")).alias("pivot")), "pivots")
+    pivots = filed.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("id").alias("minus"))).alias("top"))
+    pivots = stored(pivots.select("key", F.bitwise_not("top.minus").alias("pivot")), "pivots")
     pairs = stored(filed.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
 
     met = filed.select("id").distinct().join(classes.drop("n"), "id")
-    texts = met.join(rows, F.col("id") == F.col("doc_id")).select("id", "text", "f1", "f2", *own)
+    texts = met.join(rows, F.col("least") == F.col("doc_id")).select("id", "text", "f1", "f2", *own)
     sets = texts.mapInArrow(_setter(words), "id bigint, " + ", ".join(f"{c} bigint" for c in own) + ", items binary")
     sets = stored(sets, "sets")
     links = stored(_verify(pairs, sets, percent), "links")
@@ -247,10 +247,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more = _rest(labelled, outside, sets, percent)
         found = components(links.unionByName(more))
 
-    named = signed.join(classes.select("n", "f1", "f2", "id"), ["n", "f1", "f2"], "left")
-    named = named.join(found, F.col("id") == F.col("node"), "left")
-    alone = F.col("n") == 0
-    component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("root", "id"))
+    told = classes.select("n", "f1", "f2", "id", "least").join(found, F.col("id") == F.col("node"), "left")
+    told = stored(told.select("n", "f1", "f2", "least", F.coalesce("root", "id").alias("root")), "roots")
+    smallest = told.groupBy("root").agg(F.min("least").alias("smallest"))
+    named = signed.join(told.join(smallest, "root").select("n", "f1", "f2", "smallest"), ["n", "f1", "f2"], "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest"))
     return named.select(
         "doc_id", "print", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
     ).select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
