@@ -119,3 +119,43 @@ def _changed_features(daily: KeyedTable, since: dt.date, chunk: str | None) -> D
     wanted = marked.where(F.col("_place") <= F.col("_newer") + before + after)
     changed = daily_features(wanted, chunk=chunk).where(F.col("_place") <= F.col("_newer") + after)
     return changed.drop("_place", "_newer")
+
+
+def refresh_changed(store: PanelStore, changes: DataFrame, chunk: str | None = None) -> KeyedTable:
+    """Recompute the features that changed daily rows reach, and no others.
+
+    ``changes`` are primary keys of the daily table, as ``upsert_changes`` gives them. A row's features look
+    at the rows of its key up to ``rows_before`` before and ``rows_after`` behind it, so it is recomputed if a changed row is that near.
+    """
+    table, daily = feature_table(store), store.get("daily_measures")
+    span = changes.agg(F.min(DAILY.time).alias("first"), F.max(DAILY.time).alias("last")).first()
+    if span.first is None:
+        return table
+    before, after = DAILY_RECIPE.rows_before, DAILY_RECIPE.rows_after
+    reach = before + after
+    parts = daily.parts()
+    inside = [p for p in parts if daily.part_of(span.first) <= p <= daily.part_of(span.last)]
+    earlier = [p for p in parts if p < daily.part_of(span.first)]
+    later = [p for p in parts if p > daily.part_of(span.last)]
+    keys = changes.groupBy(*DAILY.keys).agg(F.min(DAILY.time).alias("_first"), F.max(DAILY.time).alias("_last"))
+    back = 1
+    while True:
+        rows = daily.read(parts=[*earlier[-back:], *inside, *later[:back]]).join(keys, list(DAILY.keys))
+        # windows count rows: look at more folders until every changed key has enough on both sides
+        held = rows.groupBy(*DAILY.keys).agg(
+            F.count_if(F.col(DAILY.time) < F.col("_first")).alias("n"), F.count_if(F.col(DAILY.time) > F.col("_last")).alias("m")
+        )
+        least = held.agg(F.min("n").alias("n"), F.min("m").alias("m")).first()
+        enough = (back >= len(earlier) or (least.n or 0) >= reach) and (back >= len(later) or (least.m or 0) >= reach)
+        if enough:
+            break
+        back *= 2
+    series = Window.partitionBy(*DAILY.keys).orderBy(DAILY.time)
+    marked = rows.drop("_first", "_last").join(changes.withColumn("_hit", F.lit(1)), [*DAILY.keys, DAILY.time], "left")
+    marked = marked.withColumns({
+        "_reached": F.max("_hit").over(series.rowsBetween(-before, after)).isNotNull(),
+        "_near": F.max("_hit").over(series.rowsBetween(-reach, reach)).isNotNull(),
+    })
+    wanted = marked.where("_near").drop("_hit", "_near")
+    table.upsert(serving_rows(daily_features(wanted, chunk=chunk).where("_reached").drop("_reached")))
+    return table

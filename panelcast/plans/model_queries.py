@@ -12,7 +12,9 @@ from panelcast.models import explain, levels, search
 from panelcast.models.absorb import fit_absorbed
 from panelcast.models.fit import boosted, fit, fit_boosted, fit_forest, fit_leafwise, fit_linear, fit_log_forest, forest
 from panelcast.models.leafwise import fit_trees
+from panelcast.models.matrix import linear_feature_names
 from panelcast.models.registry import ModelRegistry
+from panelcast.models.statistics import LinearStatistics
 from panelcast.models.together import together
 from panelcast.operators import clean, metrics, split
 from panelcast.operators.reshape import union_frames
@@ -66,6 +68,25 @@ def linear_forecast(spark, sf):
     )
 
 
+def linear_from_statistics(spark, sf):
+    """The forecasts of ``linear_forecast`` from stored moments, brought up to date in two steps."""
+    table = _stored(spark, sf)
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+
+    def fit_one(rows: DataFrame, horizon: int):
+        kept = LinearStatistics.in_store(store, f"moments_{horizon}d", linear_feature_names(horizon), TARGETS[horizon])
+        for span in (F.col("date") < F.lit(dt.date(2000, 1, 1)), F.col("date") >= F.lit(dt.date(2000, 1, 1))):
+            kept.update(rows.where(span))
+        return kept.fit()
+
+    models = {h: fit_one(_parts(table, h)[0], h) for h in TARGETS}
+    rows = serve.forecast_rows(train.score_horizons(features.latest_serving_rows(table), models), train.prediction_columns(models))
+    return rows.select(
+        "city", "as_of_date", F.col("horizon").cast("bigint").alias("horizon"), "target_date",
+        F.round("prediction", 4).alias("prediction"), "category", "alert",
+    )
+
+
 def linear_metrics(spark, sf):
     stored = _stored(spark, sf)
 
@@ -358,6 +379,6 @@ QUERIES = {
         linear_attribution, forest_attribution, registered_forecast, model_comparison,
         horizon_comparison, param_sweep, linear_impacts, linear_errors, registered_linear, shapley_gaps,
         stump_forecasts, boosted_leafwise, leafwise_forecast, key_levels, stump_attribution,
-        top_linear_impacts, background_rows, stump_search, stump_sweep, stump_horizons,
+        top_linear_impacts, background_rows, linear_from_statistics, stump_search, stump_sweep, stump_horizons,
     )
 }

@@ -732,3 +732,17 @@ ORACLES["stump_horizons"] = _with(
 )
 
 ORACLES["stream_repeated_hours"] = ORACLES["stream_daily_mean"]
+ORACLES["linear_from_statistics"] = ORACLES["linear_forecast"]
+
+ORACLES["trailing_of_silent_keys"] = _with(_P) + f""", q AS (SELECT *, max(date) OVER (PARTITION BY city) AS last FROM p
+            WHERE city <> '5-LOW' OR date < DATE '1998-03-01')
+SELECT city, date, {_r(*_MEASURES)} FROM q WHERE date >= last - 15"""
+
+ORACLES["changed_features"] = ORACLES["stored_features"].replace(
+    _P,
+    _P.replace("p AS (", "p0 AS (", 1)
+    + """,
+p AS (SELECT * REPLACE (CASE WHEN city = '2-HIGH' AND date BETWEEN DATE '2001-03-01' AND DATE '2001-03-07'
+                            THEN pm2_5 + 1 ELSE pm2_5 END AS pm2_5) FROM p0)""",
+    1,
+)

@@ -123,6 +123,33 @@ def stored_trailing_window(spark, sf):
     return rounded(table.trailing(until=PANEL_AS_OF))
 
 
+def _silent(rows: DataFrame) -> DataFrame:
+    """One key falls silent years before the others."""
+    return rows.where((F.col("city") != "5-LOW") | (F.col("date") < F.lit(dt.date(1998, 3, 1))))
+
+
+def trailing_of_silent_keys(spark, sf):
+    """Every key's last 15 days, however long ago, found by the tracked last days."""
+    table = ingest.daily_table(PanelStore(spark, fresh_folder(spark, "store")))
+    rows, half = _silent(P(spark, sf)), F.lit(dt.date(1999, 1, 1))
+    table.upsert(rows.where(F.col("date") < half))
+    table.track_latest()
+    table.upsert(rows.where(F.col("date") >= half))
+    return rounded(table.trailing_per_key(15))
+
+
+def changed_features(spark, sf):
+    """The feature table after one key's week was corrected: only the rows that it reaches are recomputed."""
+    store = PanelStore(spark, fresh_folder(spark, "store"))
+    daily, rows = ingest.daily_table(store), P(spark, sf)
+    daily.upsert(rows)
+    ingest.refresh_features(store)
+    week = rows.where(F.col("date").between(dt.date(2001, 3, 1), dt.date(2001, 3, 7)))
+    corrected = F.when(F.col("city") == "2-HIGH", F.col("pm2_5") + 1).otherwise(F.col("pm2_5"))
+    changes = daily.upsert_changes(week.withColumn("pm2_5", corrected))
+    return rounded(ingest.refresh_changed(store, changes).read())
+
+
 def aligned_columns(spark, sf):
     """The hourly feed under the daily panel's columns, absent ones filled."""
     hours = H(spark, sf).withColumn("date", F.to_date("time"))
@@ -232,6 +259,6 @@ QUERIES = {
     for f in (
         landing_check, upsert_empty_first, upsert_new_column, payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
         stored_tables, stored_features, stored_trailing_window, aligned_columns, stream_refresh, stream_daily_mean,
-        stream_late_hours, stream_repeated_hours, stored_features_step,
+        stream_late_hours, stream_repeated_hours, stored_features_step, trailing_of_silent_keys, changed_features,
     )
 }

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import saved
+
 #: How a unit names its folders: the column, and the same format for Spark and for Python.
 UNITS = {"month": ("month_part", "yyyy-MM", "%Y-%m"), "day": ("day_part", "yyyy-MM-dd", "%Y-%m-%d")}
 
@@ -213,6 +215,63 @@ class KeyedTable:
             return self.read().where(F.lit(False))
         return self.read(last - dt.timedelta(days=days), last)
 
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """The primary key without the event time: what has one row per time."""
+        return tuple(c for c in self.primary_key if c != self.event_time)
+
+    @property
+    def _latest_path(self) -> str:
+        return f"{self.path}.latest"
+
+    def track_latest(self) -> None:
+        """Keep every key's last day from now on, in a table of one row per key that each upsert brings up to date.
+
+        Call it again should an upsert have failed after its rows were written."""
+        days = self.read() if self.exists() else self.spark.createDataFrame([], self.schema())
+        self._write_latest(self._last_of(days))
+
+    def _last_of(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.keys).agg(F.max(F.to_date(self.event_time)).alias("last_day"))
+
+    def _latest_versions(self) -> list[int]:
+        if not path_exists(self.spark, self._latest_path):
+            return []
+        names = folder_names(self.spark, self._latest_path)
+        done = [n for n in names if path_exists(self.spark, f"{self._latest_path}/{n}/_SUCCESS")]
+        return sorted(int(n.removeprefix("v")) for n in done)
+
+    def _write_latest(self, last: DataFrame) -> None:
+        """A new version beside the one in use, which readers keep until the new one is complete."""
+        version = max(self._latest_versions(), default=0) + 1
+        last.write.mode("overwrite").parquet(f"{self._latest_path}/v{version}")
+
+    def last_days(self) -> DataFrame:
+        """``(keys, last_day)``: every key's last day, from the tracked table."""
+        versions = self._latest_versions()
+        if not versions:
+            raise ValueError("the table's last days aren't tracked: call track_latest first")
+        return self.spark.read.parquet(f"{self._latest_path}/v{versions[-1]}")
+
+    def _touched(self, days: int) -> list[str]:
+        """The folders that hold some key's last ``days`` days: a short string each."""
+        name = UNITS[self.unit][1]
+        spans = F.explode(F.sequence(F.date_sub("last_day", days), F.col("last_day"), F.expr("INTERVAL 1 DAY"))).alias("d")
+        found = self.last_days().select("last_day").distinct().select(spans).select(F.date_format("d", name)).distinct()
+        return [r[0] for r in found.collect()]
+
+    def trailing_per_key(self, days: int = 15) -> DataFrame:
+        """Rows at most ``days`` before their key's last day, however long ago that is; only folders that hold such days are read."""
+        rows = self.read(parts=self._touched(days))
+        last = self.last_days().withColumnsRenamed({k: f"_{k}" for k in self.keys})
+        same = [F.col(k) == F.col(f"_{k}") for k in self.keys]
+        near = F.to_date(self.event_time) >= F.date_sub("last_day", days)
+        return rows.join(last, [*same, near]).select(*(rows[c] for c in rows.columns))
+
+    def latest(self) -> DataFrame:
+        """Every key's rows of its last day."""
+        return self.trailing_per_key(0)
+
     def upsert(self, batch: DataFrame, newest: Sequence[str] = ()) -> None:
         """Replace rows with equal primary key, add the rest, delete nothing.
 
@@ -220,26 +279,49 @@ class KeyedTable:
         table's columns, and a value in each key column. Where one batch
         holds a key twice, the row with the highest ``newest`` columns wins.
         """
+        self._upsert(batch, newest, changes=False)
+
+    def upsert_changes(self, batch: DataFrame, newest: Sequence[str] = ()) -> DataFrame:
+        """Upsert, and the primary keys of the rows that this really changed: new ones, and those with another value."""
+        return self._upsert(batch, newest, changes=True)
+
+    def _upsert(self, batch: DataFrame, newest: Sequence[str], changes: bool) -> DataFrame | None:
         batch = self._checked(latest_per_pk(batch, self.primary_key, newest).drop(*newest))
-        if not self.exists():
-            self._write(batch)
-            return
         # The batch is used three times below; executors keep it, spilling to disk.
         batch = batch.persist()
         try:
-            # One short string per folder touched: the driver holds no rows.
-            parts = [r[0] for r in batch.select(self.part()).distinct().collect()]
-            if parts:
-                self._write(merge_rows(self.read(parts=parts), batch, self.primary_key))
+            changed = None
+            if not self.exists():
+                self._write(batch)
+                changed = saved(batch.select(*self.primary_key), "changes") if changes else None
+            else:
+                # One short string per folder touched: the driver holds no rows.
+                parts = [r[0] for r in batch.select(self.part()).distinct().collect()]
+                if changes:
+                    changed = saved(self._changed(batch, parts), "changes")
+                if parts:
+                    self._write(merge_rows(self.read(parts=parts), batch, self.primary_key))
+            if self.keys and self._latest_versions():
+                self._write_latest(self.last_days().unionByName(self._last_of(batch)).groupBy(*self.keys).agg(F.max("last_day").alias("last_day")))
+            return changed
         finally:
             batch.unpersist()
 
+    def _changed(self, batch: DataFrame, parts: Sequence[str]) -> DataFrame:
+        pk, values = list(self.primary_key), [c for c in batch.columns if c not in self.primary_key]
+        as_one = F.struct(*(F.col(c) for c in values)) if values else F.lit(True)
+        before = self.read(parts=parts).select(*pk, as_one.alias("_before"), F.lit(True).alias("_there"))
+        both = batch.select(*pk, as_one.alias("_now")).join(before, pk, "left")
+        return both.where(F.col("_there").isNull() | ~F.col("_now").eqNullSafe(F.col("_before"))).select(*pk)
+
     def replace(self, df: DataFrame) -> None:
         """Make ``df`` the whole table, dropping rows it lacks.
 
         ``df`` must not read this table: write it elsewhere first.
         """
         self._write(self._checked(latest_per_pk(df, self.primary_key, ())), "static")
+        if self.keys and self._latest_versions():
+            self.track_latest()
 
     def _write(self, df: DataFrame, partitions: str = "dynamic") -> None:
         out = df.withColumn(self._part, self.part())

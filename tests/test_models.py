@@ -325,3 +325,15 @@ def test_rows_without_a_key_share_an_effect(made):
     named = made.withColumn("city", F.when(F.col("city") != "a", F.col("city")).otherwise("none"))
     gap = fit_linear(rows, 1).score(rows, "p").join(fit_linear(named, 1).score(named, "q").drop("city"), [c for c in made.columns if c != "city"])
     assert gap.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-8
+
+
+def test_two_writers_get_two_versions(spark, made):
+    """Both look at the registry before either has registered."""
+    from panelcast.models.together import together
+
+    registry = ModelRegistry(spark, fresh_folder(spark, "models"))
+    fitted = fit_linear(made, 1)
+    versions = together(spark, lambda i: registry.register("m", fitted, {"r2": float(i)}), range(4), 4)
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert registry.models().where("name = 'm'").count() == 4 and registry.load("m", 3).features == fitted.features
+    assert registry.register("m", fitted, {}) == 5

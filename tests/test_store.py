@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from panelcast.plans import ingest
 from panelcast.plans.features import daily_features, serving_rows
 from panelcast.session import fresh_folder
-from panelcast.sources.store import PanelStore
-from panelcast.spec import DAILY
+from panelcast.sources.store import KeyedTable, PanelStore
+from panelcast.spec import DAILY, MEASURES
 
 
 @pytest.fixture
@@ -203,3 +203,72 @@ def test_changed_features_equal_a_full_recomputation(spark, store, start):
     after = files(table)
     first = {f for f in before if "2024-0" in f}
     assert first and all(after[f] == before[f] for f in first)
+
+
+# --- last days and changes ---------------------------------------------------------
+
+
+def _many_months(spark):
+    days = [(k, dt.date(2020, 1, 1) + dt.timedelta(days=d), float(d)) for k, end in (("a", 900), ("b", 100), ("c", 500)) for d in range(end)]
+    return spark.createDataFrame(days, "city string, date date, pm2_5 double")
+
+
+def test_trailing_per_key_touches_only_the_last_folders(spark):
+    table = PanelStore(spark, fresh_folder(spark, "store")).get_or_create("t", ("city", "date"), "date")
+    rows = _many_months(spark)
+    table.upsert(rows.where("date < '2020-06-01'"))
+    with pytest.raises(ValueError, match="track_latest"):
+        table.last_days()
+    table.track_latest()
+    table.upsert(rows.where("date >= '2020-06-01'"))
+    found = table.trailing_per_key(15)
+    assert {(r.city, r.n, r.last) for r in found.groupBy("city").agg(F.count("*").alias("n"), F.max("date").alias("last")).collect()} == {
+        ("a", 16, dt.date(2022, 6, 18)), ("b", 16, dt.date(2020, 4, 9)), ("c", 16, dt.date(2021, 5, 14)),
+    }
+    read = {f.split("month_part=")[1][:7] for f in found.inputFiles() if "month_part=" in f}
+    assert read == {"2022-06", "2020-03", "2020-04", "2021-04", "2021-05"}
+    assert {(r.city, r.date) for r in table.latest().collect()} == {("a", dt.date(2022, 6, 18)), ("b", dt.date(2020, 4, 9)), ("c", dt.date(2021, 5, 14))}
+    table.replace(rows.where("city = 'b'"))
+    assert [r.city for r in table.last_days().collect()] == ["b"]
+
+
+def test_upsert_tells_what_it_changed(spark):
+    table = PanelStore(spark, fresh_folder(spark, "store")).get_or_create("t", ("city", "date"), "date")
+    rows = _many_months(spark).where("date < '2020-03-01'")
+    assert table.upsert_changes(rows).count() == rows.count()
+    batch = rows.where("date >= '2020-02-01'").withColumn("pm2_5", F.when((F.col("city") == "a") & (F.col("date") == "2020-02-03"), None).otherwise(F.col("pm2_5")))
+    new = spark.createDataFrame([("d", dt.date(2020, 2, 2), 1.0)], "city string, date date, pm2_5 double")
+    changed = table.upsert_changes(batch.unionByName(new))
+    assert {(r.city, r.date.day) for r in changed.collect()} == {("a", 3), ("d", 2)}
+    assert table.upsert_changes(batch).count() == 0
+
+
+def test_one_changed_key_rewrites_its_rows_only(store, spark, monkeypatch):
+    rng = random.Random(1)
+    data = [(k, day(d), *(rng.random() for _ in MEASURES)) for k in "abc" for d in range(120) if rng.random() < 0.8]
+    table = spark.createDataFrame(data, "city string, date date, " + ", ".join(f"{n} double" for n in MEASURES))
+    daily = ingest.daily_table(store)
+    daily.upsert(table)
+    found = ingest.refresh_features(store)
+    read = lambda: {(r.city, r.date): tuple(r)[2:] for r in found.read().collect()}
+    before = read()
+    span = F.col("date").between(day(40), day(42))
+    changes = daily.upsert_changes(table.where(span).withColumn("pm2_5", F.when(F.col("city") == "b", F.col("pm2_5") + 1).otherwise(F.col("pm2_5"))))
+    assert {r.city for r in changes.collect()} == {"b"}
+    written, upsert = [], KeyedTable.upsert
+
+    def spy(self, batch, newest=()):
+        written.extend((r.city, r.date) for r in batch.select("city", "date").collect())
+        return upsert(self, batch, newest)
+
+    monkeypatch.setattr(KeyedTable, "upsert", spy)
+    ingest.refresh_changed(store, changes)
+    monkeypatch.undo()
+    after = read()
+    assert {k for k, _ in written} == {"b"} and len(written) <= 3 + 7 + 3
+    assert {k for k in before if before[k] != after[k]} <= set(written)
+    ingest.refresh_features(store, replace=True)
+    full = read()
+    assert full.keys() == after.keys()
+    assert all(x == pytest.approx(y) for k in full for x, y in zip(full[k], after[k], strict=True))
+    assert ingest.refresh_changed(store, changes.limit(0)).read().count() == len(full)

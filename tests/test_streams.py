@@ -191,3 +191,15 @@ def test_key_dimension(spark):
     assert {r.city: r.lat for r in with_location(df, sites).collect()} == {
         "Karachi": 24.8607, "Nowhere": None,
     }
+
+
+def test_a_feed_delivered_twice_counts_once(spark, landing):
+    """Copies in the same run and in a later one; the first arrival of an hour counts."""
+    table = ingest.daily_table(PanelStore(spark, fresh_folder(spark, "store")))
+    checkpoint = fresh_folder(spark, "cp")
+    for more in (0.0, 50.0):
+        for _ in range(2):
+            landing.put("air", "a", range(48), lambda h, more=more: h + more)
+        hours = payloads.read_air(spark, landing.path("air"), stream=True)
+        start_daily_mean(hours, ["pm2_5", "pm10"], table, checkpoint).awaitTermination()
+    assert {r.date.day: (r.pm2_5, r.n_obs) for r in table.read().collect()} == {1: (11.5, 24), 2: (35.5, 24)}
