@@ -32,27 +32,39 @@ def _pairs(columns: Sequence[str]) -> list[tuple[int, int]]:
 
 
 def moments(rows: DataFrame, columns: Sequence[str], key: str, time: str) -> DataFrame:
-    """``key, known, month, n, mean_*, c_*_*``: a row per key and month of the rows that have all ``columns``."""
-    values = [F.col(c).cast("double") for c in columns]
+    """``key, known, month, n, means, products``: a row per key and month of the rows that have all ``columns``; the
+    products are centred, a pair of columns each."""
+    places, own = range(len(columns)), [KEY, KNOWN, MONTH]
     full = rows.dropna(subset=list(columns)).select(
         F.coalesce(F.col(key).cast("string"), F.lit("")).alias(KEY), F.col(key).isNotNull().alias(KNOWN),
-        F.trunc(time, "month").alias(MONTH), *(v.alias(f"v{i}") for i, v in enumerate(values)),
+        F.trunc(time, "month").alias(MONTH), F.array(*(F.col(c).cast("double") for c in columns)).alias("v"),
     )
-    n = F.count(F.lit(1))
-    # Spark's covariance is centred as it goes
-    products = [(F.covar_pop(f"v{i}", f"v{j}") * n).alias(f"c_{i}_{j}") for i, j in _pairs(columns)]
-    return full.groupBy(KEY, KNOWN, MONTH).agg(n.alias("n"), *(F.avg(f"v{i}").alias(f"mean_{i}") for i in range(len(columns))), *products)
+    # counted from one row of each key and month, so that no digits are lost far from zero
+    start = full.groupBy(*own).agg(F.min("v").alias("s"))
+    near = full.join(start, own).select(*own, "s", F.zip_with("v", "s", lambda x, y: x - y).alias("d"))
+    sums = near.groupBy(*own).agg(
+        F.count("*").alias("n"), F.first("s").alias("s"), *(F.sum(F.get("d", F.lit(i))).alias(f"t{i}") for i in places),
+        *(F.sum(F.get("d", F.lit(i)) * F.get("d", F.lit(j))).alias(f"p{i}_{j}") for i, j in _pairs(columns)),
+    )
+    means = F.array(*(F.get("s", F.lit(i)) + F.col(f"t{i}") / F.col("n") for i in places))
+    products = F.array(*(F.col(f"p{i}_{j}") - F.col(f"t{i}") * F.col(f"t{j}") / F.col("n") for i, j in _pairs(columns)))
+    return sums.select(*own, "n", means.alias("means"), products.alias("products"))
+
+
+def merged_means(parts: DataFrame) -> DataFrame:
+    """``key, known, all_n, all_means``: each key's rows and means over all its ``parts``."""
+    each = parts.select(KEY, KNOWN, "n", F.posexplode("means").alias("i", "m")).groupBy(KEY, KNOWN, "i")
+    each = each.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("m")).groupBy(KEY, KNOWN)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"])
+    return each.agg(F.max("n").alias("all_n"), ordered.alias("all_means"))
 
 
-def merged(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The moments of each key over all its ``parts``."""
-    places = range(len(columns))
-    whole = parts.groupBy(KEY, KNOWN).agg(F.sum("n").alias("_n"), *((F.sum(F.col("n") * F.col(f"mean_{i}")) / F.sum("n")).alias(f"_m{i}") for i in places))
-    away = [(F.col(f"mean_{i}") - F.col(f"_m{i}")).alias(f"d{i}") for i in places]
-    both = parts.join(whole, [KEY, KNOWN]).select("*", *away)
-    products = [F.sum(F.col(f"c_{i}_{j}") + F.col("n") * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c_{i}_{j}") for i, j in _pairs(columns)]
-    means = [F.first(f"_m{i}").alias(f"mean_{i}") for i in places]
-    return both.groupBy(KEY, KNOWN).agg(F.sum("n").alias("n"), *means, *products)
+def within(parts: DataFrame, means: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``k, c``: the products of all rows, each centred on its key's mean, a row per pair of columns."""
+    first, second = (F.array(*(F.lit(p[side]) for p in _pairs(columns))) for side in (0, 1))
+    both = parts.join(means, [KEY, KNOWN]).withColumn("d", F.zip_with("means", "all_means", lambda x, y: x - y))
+    moved = F.transform("products", lambda c, k: c + F.col("n") * F.get("d", F.get(first, k)) * F.get("d", F.get(second, k)))
+    return both.select(F.posexplode(moved).alias("k", "c")).groupBy("k").agg(F.sum("c").alias("c"))
 
 
 @dataclass(frozen=True)
@@ -94,19 +106,19 @@ class LinearStatistics:
         """The least-squares fit, with an effect per key, of all rows or those earlier than ``before``.
 
         ``rows`` is read for the month of ``before`` only."""
-        keys = saved(merged(self._span(before, rows), self.columns), "moments")
+        parts = saved(self._span(before, rows), "moments")
+        means = saved(merged_means(parts), "means")
         pairs, size = _pairs(self.columns), len(self.columns)
-        sums = keys.agg(*(F.sum(f"c_{i}_{j}").alias(f"c_{i}_{j}") for i, j in pairs)).first()
+        sums = {r.k: r.c for r in within(parts, means, self.columns).collect()}  # a number for each pair of columns
         gram = np.zeros((size, size))
-        for i, j in pairs:
-            gram[i, j] = gram[j, i] = sums[f"c_{i}_{j}"] or 0.0
+        for k, (i, j) in enumerate(pairs):
+            gram[i, j] = gram[j, i] = sums.get(k, 0.0)
         scale = np.sqrt(np.maximum(np.diag(gram)[:-1], 1e-300))
         scaled = gram[:-1, :-1] / np.outer(scale, scale)
         weights = (np.linalg.lstsq(scaled, gram[:-1, -1] / scale, rcond=None)[0] / scale).tolist()
-        effect = F.col(f"mean_{size - 1}")
-        for i, w in enumerate(weights):
-            effect = effect - F.col(f"mean_{i}") * F.lit(w)
-        effects = saved(keys.select(F.when(F.col(KNOWN), F.col(KEY)).alias(self.key), effect.alias("_effect")), "effects")
+        told = F.array(*(F.lit(-w) for w in weights), F.lit(1.0))
+        effect = F.aggregate(F.zip_with("all_means", told, lambda m, w: m * w), F.lit(0.0), lambda a, x: a + x)
+        effects = saved(means.select(F.when(F.col(KNOWN), F.col(KEY)).alias(self.key), effect.alias("_effect")), "effects")
         unseen = effects.agg(F.avg("_effect")).first()[0]
         return AbsorbedLinear("linear", self.features, self.key, tuple(weights), effects, unseen)
 

@@ -73,13 +73,15 @@ def linear_from_statistics(spark, sf):
     table = _stored(spark, sf)
     store = PanelStore(spark, fresh_folder(spark, "store"))
 
-    def fit_one(rows: DataFrame, horizon: int):
-        kept = LinearStatistics.in_store(store, f"moments_{horizon}d", linear_feature_names(horizon), TARGETS[horizon])
+    kept = {h: LinearStatistics.in_store(store, f"moments_{h}d", linear_feature_names(h), TARGETS[h]) for h in TARGETS}
+
+    def fit_one(horizon: int):
+        rows, _ = _parts(table, horizon)
         for span in (F.col("date") < F.lit(dt.date(2000, 1, 1)), F.col("date") >= F.lit(dt.date(2000, 1, 1))):
-            kept.update(rows.where(span))
-        return kept.fit()
+            kept[horizon].update(rows.where(span))
+        return kept[horizon].fit()
 
-    models = {h: fit_one(_parts(table, h)[0], h) for h in TARGETS}
+    models = dict(zip(TARGETS, together(spark, fit_one, TARGETS), strict=True))
     rows = serve.forecast_rows(train.score_horizons(features.latest_serving_rows(table), models), train.prediction_columns(models))
     return rows.select(
         "city", "as_of_date", F.col("horizon").cast("bigint").alias("horizon"), "target_date",
