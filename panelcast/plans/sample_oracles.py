@@ -746,3 +746,11 @@ p AS (SELECT * REPLACE (CASE WHEN city = '2-HIGH' AND date BETWEEN DATE '2001-03
                             THEN pm2_5 + 1 ELSE pm2_5 END AS pm2_5) FROM p0)""",
     1,
 )
+ORACLES["clustered_features"] = ORACLES["panel_features_gaps"]
+
+ORACLES["sketched_profile"] = _with(_P) + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS n, CAST(count(*) - count({c}) AS BIGINT) AS nulls, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS "min", round(max({c}), 6) AS "max", TRUE AS near
+FROM p WHERE date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"""
+    for c in ("pm2_5", "pm10")
+)

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.calendar import time_text
 from panelcast.operators import reshape, windows
-from panelcast.plans import ingest
+from panelcast.operators.summaries import SummaryTable
+from panelcast.plans import features, ingest
 from panelcast.plans.sample_queries import PANEL_AS_OF, H, P, W, rounded
 from panelcast.session import fresh_folder
 from panelcast.sources import dimension, files, payloads, sample
+from panelcast.sources.clustered import ClusteredTable
 from panelcast.sources.store import PanelStore
 from panelcast.spec import AIR_FIELDS, AIR_MEASURES, AIR_PAYLOAD, DAILY, HOURLY_AIR, WEATHER_FIELDS
 from panelcast.streaming.daily import start_daily_mean
@@ -150,6 +153,36 @@ def changed_features(spark, sf):
     return rounded(ingest.refresh_changed(store, changes).read())
 
 
+def clustered_features(spark, sf):
+    """All features from a table clustered by key, written in two overlapping steps: its windows need no shuffle."""
+    table = ClusteredTable(spark, f"panel_{uuid.uuid4().hex}", DAILY.keys, DAILY.time, 8)
+    rows = P(spark, sf)
+    table.create(rows.where(F.col("date") <= F.lit(dt.date(2001, 6, 30))).withColumn("pm2_5", F.col("pm2_5") * 2))
+    table.upsert(rows)
+    return rounded(features.training_rows(features.daily_features(table.read())))
+
+
+def sketched_profile(spark, sf):
+    """A year's profile from monthly summaries; ``near`` says that every quartile's rank is within the sketch's error."""
+    kept = SummaryTable.in_store(PanelStore(spark, fresh_folder(spark, "store")), "summaries", AIR_MEASURES)
+    rows, half = P(spark, sf), F.lit(dt.date(2000, 7, 1))
+    for span in (F.col("date") < half, F.col("date") >= half):
+        kept.update(rows.where(span))
+    found = kept.profile(dt.date(2000, 1, 1), dt.date(2000, 12, 31))
+    year = rows.where(F.col("date").between(dt.date(2000, 1, 1), dt.date(2000, 12, 31)))
+    values = year.select(*(F.col(c) for c in AIR_MEASURES)).unpivot([], list(AIR_MEASURES), "column", "value")
+
+    def near(name: str, q: float):
+        low, high = (F.avg(test.cast("double")) for test in (F.col("value") < F.col(name), F.col("value") <= F.col(name)))
+        return (low - F.max("rank_error") <= q) & (high + F.max("rank_error") >= q)
+
+    held = values.join(found, "column").groupBy("column").agg(
+        *(F.round(F.first(c), 6).alias(c) for c in ("n", "nulls", "mean", "std", "min", "max")),
+        (near("p25", 0.25) & near("p50", 0.5) & near("p75", 0.75)).alias("near"),
+    )
+    return held.select("column", "n", "nulls", "mean", "std", "min", "max", "near")
+
+
 def aligned_columns(spark, sf):
     """The hourly feed under the daily panel's columns, absent ones filled."""
     hours = H(spark, sf).withColumn("date", F.to_date("time"))
@@ -260,5 +293,6 @@ QUERIES = {
         landing_check, upsert_empty_first, upsert_new_column, payload_air, payload_weather, payload_current, csv_round_trip, merged_csv, key_locations,
         stored_tables, stored_features, stored_trailing_window, aligned_columns, stream_refresh, stream_daily_mean,
         stream_late_hours, stream_repeated_hours, stored_features_step, trailing_of_silent_keys, changed_features,
+        clustered_features, sketched_profile,
     )
 }
