@@ -13,7 +13,7 @@ so few unlike texts under one key are compared on their sets.
 Pairs are never listed key by key:
 
 1. Texts with equal sets are one class; the smallest id of a component's classes names it.
-2. Under each key, the member that shares most keys with others is the pivot, and every member is
+2. Under each key, the member that shares most keys with others (of equals, the one with the smallest id) is the pivot, and every member is
    compared with it, on full sets. Linked members are joined into components.
 3. Where a key still holds members outside its pivot's component, these are compared with every
    member of the key, in blocks of bounded size, and only links come out. Members
@@ -222,14 +222,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = signed.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in own))
     # a class goes by its set, as one id may have several
     classes = stored(classes.withColumn("id", F.xxhash64("n", "f1", "f2")), "classes")
-    filed = classes.select("id", F.explode(_keys([F.col(c) for c in own[:CHUNKS]])).alias("key"))
+    filed = classes.select("id", "least", F.explode(_keys([F.col(c) for c in own[:CHUNKS]])).alias("key"))
     # written, so that the join can split a hot key
     shared = stored(filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     filed = stored(filed.join(shared, "key"), "filed")
 
     weight = filed.groupBy("id").agg(F.sum("members").alias("weight"))
-    pivots = filed.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("id").alias("minus"))).alias("top"))
-    pivots = stored(pivots.select("key", F.bitwise_not("top.minus").alias("pivot")), "pivots")
+    pivots = filed.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("least").alias("first"), "id")).alias("top"))
+    pivots = stored(pivots.select("key", F.col("top.id").alias("pivot")), "pivots")
     pairs = stored(filed.join(pivots, "key").where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
 
     met = filed.select("id").distinct().join(classes.drop("n"), "id")
