@@ -4,14 +4,19 @@ Layout: ``<root>/_tables`` holds one catalog row per table and version;
 ``<root>/<name>/v<version>/month_part=YYYY-MM/`` holds the rows, and
 ``<root>/<name>/v<version>.schema`` their columns, declared by the first batch and used
 by every read. A table whose unit is the day has a folder per day instead: what a batch rewrites is
-whole units. A table has one writer at a time: Spark replaces the touched folders when the write
-commits, and folders it does not touch are left alone.
+whole units. A table has one writer at a time.
+
+A batch is visible as a whole or not at all, however many folders it touches: its folders are written beside the table, in
+``v<version>.pending``, and the file that Spark writes last makes them valid. From then on readers take them in place of the
+table's own. They are then moved to their places, one by one; what a failed writer left is moved by the next one, and folders that were
+never made valid are dropped. Folders a batch does not touch are left alone.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -26,6 +31,9 @@ from panelcast.session import saved
 #: How a unit names its folders: the column, and the same format for Spark and for Python.
 UNITS = {"month": ("month_part", "yyyy-MM", "%Y-%m"), "day": ("day_part", "yyyy-MM-dd", "%Y-%m-%d")}
 
+#: Ends the name of a pending batch that is the whole table.
+REPLACING = "-whole"
+
 CATALOG = T.StructType(
     [
         T.StructField("name", T.StringType(), False),
@@ -117,7 +125,56 @@ class KeyedTable:
         return F.coalesce(F.date_format(self.event_time, UNITS[self.unit][1]), missing)
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        return path_exists(self.spark, self.path) or bool(self._pending()[0])
+
+    @property
+    def _pending_path(self) -> str:
+        return f"{self.path}.pending"
+
+    def _batches(self) -> list[tuple[str, bool]]:
+        """The folders of batches that aren't in place, oldest first, and whether they are valid."""
+        if not path_exists(self.spark, self._pending_path):
+            return []
+        at = [f"{self._pending_path}/{n}" for n in folder_names(self.spark, self._pending_path)]
+        return [(a, path_exists(self.spark, f"{a}/_SUCCESS")) for a in at]
+
+    def _folders(self, path: str) -> dict[str, str]:
+        """The unit folders below ``path``, by month or day."""
+        prefix = f"{self._part}="
+        return {n.removeprefix(prefix): f"{path}/{n}" for n in folder_names(self.spark, path) if n.startswith(prefix)}
+
+    def _pending(self) -> tuple[dict[str, str], bool]:
+        """Valid folders that aren't in place yet, and whether they are all there is (a replaced table)."""
+        found, alone = {}, False
+        for at, valid in self._batches():
+            if valid:
+                whole = at.endswith(REPLACING)
+                found, alone = {} if whole else found, alone or whole
+                found |= self._folders(at)
+        return found, alone
+
+    def _settle(self) -> None:
+        """Move the folders of valid batches to their places and drop the others."""
+        for at, valid in self._batches():
+            files, where = _path(self.spark, at)
+            if valid:
+                files.mkdirs(_path(self.spark, self.path)[1])
+                if at.endswith(REPLACING):
+                    kept = {f.rsplit("/", 1)[1] for f in self._folders(at).values()}
+                    for folder in self._folders(self.path).values():
+                        if folder.rsplit("/", 1)[1] not in kept:
+                            files.delete(_path(self.spark, folder)[1], True)
+                for folder in self._folders(at).values():
+                    self._put(folder)
+            files.delete(where, True)
+
+    def _put(self, folder: str) -> None:
+        files, where = _path(self.spark, folder)
+        _, target = _path(self.spark, f"{self.path}/{where.getName()}")
+        files.mkdirs(target.getParent())
+        files.delete(target, True)
+        if not files.rename(where, target):
+            raise OSError(f"{where} can't be moved to {target}")
 
     @property
     def _schema_path(self) -> str:
@@ -158,9 +215,9 @@ class KeyedTable:
 
     def parts(self) -> list[str]:
         """The months, or days, present: from one look at the table's folder."""
-        prefix = f"{self._part}="
-        names = folder_names(self.spark, self.path)
-        return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+        pending, alone = self._pending()
+        placed = {} if alone or not path_exists(self.spark, self.path) else self._folders(self.path)
+        return sorted(placed | pending)
 
     def _reader(self) -> DataFrameReader:
         schema = self.schema()
@@ -176,7 +233,8 @@ class KeyedTable:
 
         With any bound only the folders of those months, or days, are listed and read.
         """
-        if since is None and until is None and parts is None:
+        pending, _ = self._pending()
+        if since is None and until is None and parts is None and not pending:
             return self._reader().parquet(self.path).drop(self._part)
         asked = None if parts is None else set(parts)
         wanted = [
@@ -187,9 +245,12 @@ class KeyedTable:
             and (until is None or p <= self.part_of(until))
         ]
         if not wanted:
-            return self.read().where(F.lit(False))
-        folders = [f"{self.path}/{self._part}={p}" for p in wanted]
-        df = self._reader().option("basePath", self.path).parquet(*folders).drop(self._part)
+            return self.spark.createDataFrame([], self.schema())
+        folders = [pending.get(p, f"{self.path}/{self._part}={p}") for p in wanted]
+        reader = self._reader()
+        # folders in one place have it as their base; others stand for themselves
+        reader = reader if pending else reader.option("basePath", self.path)
+        df = reader.parquet(*folders).drop(self._part)
         day = F.to_date(self.event_time)
         if since is not None:
             df = df.where(day >= F.lit(since))
@@ -286,6 +347,7 @@ class KeyedTable:
         return self._upsert(batch, newest, changes=True)
 
     def _upsert(self, batch: DataFrame, newest: Sequence[str], changes: bool) -> DataFrame | None:
+        self._settle()  # what a failed writer left
         batch = self._checked(latest_per_pk(batch, self.primary_key, newest).drop(*newest))
         # The batch is used three times below; executors keep it, spilling to disk.
         batch = batch.persist()
@@ -315,25 +377,18 @@ class KeyedTable:
         return both.where(F.col("_there").isNull() | ~F.col("_now").eqNullSafe(F.col("_before"))).select(*pk)
 
     def replace(self, df: DataFrame) -> None:
-        """Make ``df`` the whole table, dropping rows it lacks.
-
-        ``df`` must not read this table: write it elsewhere first.
-        """
-        self._write(self._checked(latest_per_pk(df, self.primary_key, ())), "static")
+        """Make ``df`` the whole table, dropping rows it lacks."""
+        self._write(self._checked(latest_per_pk(df, self.primary_key, ())), replace=True)
         if self.keys and self._latest_versions():
             self.track_latest()
 
-    def _write(self, df: DataFrame, partitions: str = "dynamic") -> None:
+    def _write(self, df: DataFrame, replace: bool = False) -> None:
         out = df.withColumn(self._part, self.part())
+        at = f"{self._pending_path}/{len(self._batches()):06d}-{uuid.uuid4().hex}{REPLACING if replace else ''}"
         # Rebalancing gathers each folder into few files, and splits one too
         # large for one task.
-        (
-            out.hint("rebalance", self._part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", partitions)
-            .partitionBy(self._part)
-            .parquet(self.path)
-        )
+        out.hint("rebalance", self._part).write.partitionBy(self._part).parquet(at)
+        self._settle()
 
 
 class PanelStore:

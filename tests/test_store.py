@@ -272,3 +272,59 @@ def test_one_changed_key_rewrites_its_rows_only(store, spark, monkeypatch):
     assert full.keys() == after.keys()
     assert all(x == pytest.approx(y) for k in full for x, y in zip(full[k], after[k], strict=True))
     assert ingest.refresh_changed(store, changes.limit(0)).read().count() == len(full)
+
+
+# --- all or nothing -----------------------------------------------------------------
+
+
+def _three_months(spark, value):
+    return spark.createDataFrame([("a", dt.date(2024, m, 5), value) for m in (1, 2, 3)], "city string, date date, pm2_5 double")
+
+
+def test_readers_see_a_batch_as_a_whole_after_a_failure(store, spark, monkeypatch):
+    table = keyed(store)
+    table.upsert(_three_months(spark, 1.0).unionByName(spark.createDataFrame([("b", dt.date(2023, 12, 1), 1.0)], "city string, date date, pm2_5 double")))
+    put, moved = KeyedTable._put, []
+
+    def fails(self, folder):
+        if moved:
+            raise OSError("lost")
+        moved.append(folder)
+        put(self, folder)
+
+    monkeypatch.setattr(KeyedTable, "_put", fails)
+    with pytest.raises(OSError, match="lost"):
+        table.upsert(_three_months(spark, 2.0))
+    monkeypatch.undo()
+    # one folder is in place, two aren't
+    again = keyed(PanelStore(spark, store.root))
+    new = [("a", dt.date(2024, m, 5), 2.0) for m in (1, 2, 3)]
+    assert rows(again.read()) == [*new, ("b", dt.date(2023, 12, 1), 1.0)]
+    assert again.parts() == ["2023-12", "2024-01", "2024-02", "2024-03"]
+    assert rows(again.read(since=dt.date(2024, 2, 1))) == new[1:] and again.last_day() == dt.date(2024, 3, 5)
+    again.upsert(_three_months(spark, 3.0).where("date < '2024-02-01'"))
+    assert [r[2] for r in rows(again.read())] == [3.0, 2.0, 2.0, 1.0]
+    assert not Path(again.path + ".pending").exists() or not list(Path(again.path + ".pending").iterdir())
+
+
+def test_a_batch_that_was_not_completed_is_not_there(store, spark):
+    table = keyed(store)
+    table.upsert(_three_months(spark, 1.0))
+    _three_months(spark, 9.0).withColumn("month_part", F.date_format("date", "yyyy-MM")).write.partitionBy("month_part").parquet(f"{table.path}.pending/broken")
+    Path(f"{table.path}.pending/broken/_SUCCESS").unlink()
+    assert [r[2] for r in rows(table.read())] == [1.0, 1.0, 1.0]
+    table.upsert(_three_months(spark, 2.0).limit(1))
+    assert sorted(r[2] for r in rows(table.read())) == [1.0, 1.0, 2.0]
+
+
+def test_replacing_is_all_or_nothing(store, spark, monkeypatch):
+    table = keyed(store)
+    table.upsert(_three_months(spark, 1.0))
+    monkeypatch.setattr(KeyedTable, "_put", lambda self, folder: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        table.replace(_three_months(spark, 5.0).where("date > '2024-02-01'"))
+    monkeypatch.undo()
+    assert [r[1:] for r in rows(table.read())] == [(dt.date(2024, 2, 5), 5.0), (dt.date(2024, 3, 5), 5.0)]
+    # its input may read the table
+    table.replace(table.read().where("date > '2024-03-01'"))
+    assert table.parts() == ["2024-03"] and rows(table.read()) == [("a", dt.date(2024, 3, 5), 5.0)]
