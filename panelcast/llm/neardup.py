@@ -49,12 +49,13 @@ MORE, MOST_OF_ALL = 24, 24
 ALL_CHUNKS = (SYMBOLS + MORE) // PER_CHUNK
 #: Members of sets that are compared at once.
 AT_ONCE = 1 << 22
-BLOCK = 256
+BLOCK = 1_024
 ROWS_PER_TASK = 2_000
 
 _rng = np.random.default_rng(7)
-_FACTORS, _SHIFTS = (np.concatenate([_rng.integers(low, 2**63, n, dtype=np.uint64) for n in (SYMBOLS, MORE)]) for low in (1, 0))
-_FACTORS = _FACTORS * np.uint64(2) + np.uint64(1)
+_draws = [_rng.integers(low, 2**63, n, dtype=np.uint64) for n in (SYMBOLS, MORE) for low in (1, 0)]
+_FACTORS = np.concatenate(_draws[::2]) * np.uint64(2) + np.uint64(1)
+_SHIFTS = np.concatenate(_draws[1::2])
 
 SIGNED = "doc_id bigint, print bigint, n bigint, f1 bigint, f2 bigint, " + ", ".join(f"c{i} bigint" for i in range(ALL_CHUNKS))
 
