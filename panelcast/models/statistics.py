@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.models.absorb import AbsorbedLinear
+from panelcast.models.absorb import AbsorbedLinear, solved
 from panelcast.operators.split import Folds
 from panelcast.session import saved
 from panelcast.sources.store import KeyedTable, PanelStore
@@ -113,9 +113,7 @@ class LinearStatistics:
         gram = np.zeros((size, size))
         for k, (i, j) in enumerate(pairs):
             gram[i, j] = gram[j, i] = sums.get(k, 0.0)
-        scale = np.sqrt(np.maximum(np.diag(gram)[:-1], 1e-300))
-        scaled = gram[:-1, :-1] / np.outer(scale, scale)
-        weights = (np.linalg.lstsq(scaled, gram[:-1, -1] / scale, rcond=None)[0] / scale).tolist()
+        weights = solved(gram)
         told = F.array(*(F.lit(-w) for w in weights), F.lit(1.0))
         effect = F.aggregate(F.zip_with("all_means", told, lambda m, w: m * w), F.lit(0.0), lambda a, x: a + x)
         effects = saved(means.select(F.when(F.col(KNOWN), F.col(KEY)).alias(self.key), effect.alias("_effect")), "effects")

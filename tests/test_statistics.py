@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.models import absorb
 from panelcast.models.absorb import fit_absorbed
 from panelcast.models.statistics import LinearStatistics
 from panelcast.operators.split import expanding_folds
@@ -75,3 +76,50 @@ def test_a_month_given_again_replaces_itself(statistics, rows):
     statistics.update(rows.withColumn("y", F.col("y") * 2).where("date < '2024-03-01'"))
     statistics.update(rows)
     same(statistics.fit(), fit_absorbed(rows, NAMES, "y"), rows)
+
+
+def keyed(spark, levels):
+    """Rows of 40 keys, one of them null, whose columns lie ``levels`` apart, with the weights and effects of numpy."""
+    rng = np.random.default_rng(3)
+    key = np.arange(2000) % 40
+    x = rng.normal(size=(2000, 2)) + key[:, None] * levels
+    y = x @ [2.0, -3.0] + rng.normal(size=2000) + key * levels
+    each = [np.flatnonzero(key == k) for k in range(40)]
+    within = lambda v: v - np.array([v[i].mean(axis=0) for i in each])[key]
+    weights = np.linalg.lstsq(within(x), within(y), rcond=None)[0]
+    effects = {k or None: y[i].mean() - x[i].mean(axis=0) @ weights for k, i in enumerate(each)}
+    data = [(int(k) or None, float(a), float(b), float(t)) for k, (a, b), t in zip(key, x, y, strict=True)]
+    return spark.createDataFrame(data, "key long, a double, b double, y double"), weights, effects
+
+
+def fits(fitted, weights, effects):
+    assert fitted.weights == pytest.approx(weights.tolist(), rel=1e-9)
+    assert {r.key: r._effect for r in fitted.effects.collect()} == pytest.approx(effects, rel=1e-9)
+    assert fitted.unseen == pytest.approx(np.mean(list(effects.values())), rel=1e-9)
+
+
+def test_a_fit_with_many_keys_moves_no_rows(spark, monkeypatch):
+    rows, weights, effects = keyed(spark, 0.1)
+
+    def refused(*_, **__):
+        raise AssertionError("the rows are joined with the means of their keys")
+
+    monkeypatch.setattr(type(rows), "join", refused)
+    monkeypatch.setattr(absorb, "SUMS", 4)  # 6 products: two passes
+    fits(fit_absorbed(rows, ["a", "b"], "y", "key"), weights, effects)
+
+
+def test_keys_that_explain_nearly_everything_lose_no_digits(spark):
+    rows, weights, effects = keyed(spark, 1e5)
+    fits(fit_absorbed(rows, ["a", "b"], "y", "key"), weights, effects)
+
+
+@pytest.mark.parametrize("value", ["CAST(NULL AS DOUBLE)", "double('NaN')", "double('Infinity')"])
+@pytest.mark.parametrize("column", ["a", "y"])
+def test_rows_that_cannot_be_fitted_are_refused(spark, column, value):
+    rows, _, _ = keyed(spark, 0.1)
+    broken = rows.limit(1).withColumn(column, F.expr(value))
+    with pytest.raises(ValueError, match="1 of 2001 rows lack a finite value"):
+        fit_absorbed(rows.unionByName(broken), ["a", "b"], "y", "key")
+    with pytest.raises(ValueError, match="no rows"):
+        fit_absorbed(rows.where("false"), ["a", "b"], "y", "key")
